@@ -5,13 +5,17 @@ Each function mirrors the view of the same purpose in ``inputs_sql``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.schemas import COMPANY_XML, EMPLOYEE_XML, REGION_XML
-from stagehouse.sources.tables import FrameSource, read_table
+from stagehouse.sources.tables import TableSource, read_table
 
 C = F.col
+Given = Callable[[str], DataFrame]
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -27,110 +31,188 @@ def label(prefix: str, value: Column) -> Column:
 
 
 # --- club sales -------------------------------------------------------------
-def sales_source(spark: SparkSession, sf_dir: str) -> FrameSource:
-    """The 14 source tables."""
+@dataclass(frozen=True)
+class GivenSales:
+    """The 14 source tables, each built from the given ones when it is asked for."""
+
+    spark: SparkSession
+    sf_dir: str
+
+    def load(self, table: str) -> DataFrame:
+        return SALES[table](lambda name: given(self.spark, self.sf_dir, name))
+
+
+def _brand_number() -> Column:
+    return F.substring("p_brand", 7, 9).cast("long")
+
+
+def _age() -> Column:
+    """5 to 94, null for one customer in 97."""
+    return F.when(C("c_custkey") % 97 != 0, 5 + C("c_custkey") % 90)
+
+
+def _age_group(t: Given) -> DataFrame:
+    low = C("age_min")
+    return (
+        t("customer")
+        .select((_age() - _age() % 10).cast("long").alias("age_min"))
+        .where(low.isNotNull())
+        .distinct()
+        .select(
+            (low / 10).cast("long").alias("age_group_id"),
+            "age_min",
+            (low + 9).alias("age_max"),
+            F.concat(text(low), F.lit("-"), text(low + 9)).alias("age_range"),
+        )
+    )
+
+
+def _city(t: Given) -> DataFrame:
+    return t("nation").select(
+        C("n_nationkey").alias("city_id"),
+        F.concat(F.lit("City "), C("n_name")).alias("city"),
+        C("n_regionkey").alias("region_id"),
+    )
+
 
-    def t(name: str) -> DataFrame:
-        return given(spark, sf_dir, name)
+def _country(t: Given) -> DataFrame:
+    return t("region").select(C("r_regionkey").alias("country_id"), C("r_name").alias("country"))
 
-    brand = F.substring("p_brand", 7, 9).cast("long")
+
+def _customer(t: Given) -> DataFrame:
     key = C("c_custkey")
-    age = F.when(key % 97 != 0, 5 + key % 90)
-    decade = (age - age % 10).cast("long")
-    return FrameSource(
-        {
-            "age_group": t("customer")
-            .select(decade.alias("age_min"))
-            .where(C("age_min").isNotNull())
-            .distinct()
-            .select(
-                (C("age_min") / 10).cast("long").alias("age_group_id"),
-                "age_min",
-                (C("age_min") + 9).alias("age_max"),
-                F.concat(text(C("age_min")), F.lit("-"), text(C("age_min") + 9)).alias("age_range"),
-            ),
-            "city": t("nation").select(
-                C("n_nationkey").alias("city_id"),
-                F.concat(F.lit("City "), C("n_name")).alias("city"),
-                C("n_regionkey").alias("region_id"),
-            ),
-            "country": t("region").select(
-                C("r_regionkey").alias("country_id"), C("r_name").alias("country")
-            ),
-            "customer": t("customer").select(
-                key.alias("cust_id"),
-                F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-                F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-                age.alias("age"),
-                F.concat(F.lit("+7"), F.lpad(text(key), 10, "0")).alias("phone_number"),
-                C("c_mktsegment").alias("address"),
-                C("c_nationkey").alias("city_id"),
-                (key % 10).alias("sales_id"),
-                F.when(key % 7 != 0, key - key % 7).alias("sponsor_id"),
-            ),
-            "invoice_line": t("lineitem").select(
-                C("l_orderkey").alias("inv_id"),
-                C("l_partkey").alias("service_id"),
-                C("l_linenumber").alias("days"),
-                C("l_quantity").alias("nb_guests"),
-            ),
-            "region": t("region").select(
-                C("r_regionkey").alias("region_id"),
-                F.concat(F.lit("Region "), C("r_name")).alias("region"),
-                C("r_regionkey").alias("country_id"),
-            ),
-            "region_sline": t("part")
-            .groupBy(brand.alias("sl_id"), (C("p_size") % 5).alias("region_id"))
-            .agg(F.sum(C("p_retailprice").cast("decimal(12,2)")).alias("sales_revenue")),
-            "reservation_line": t("lineitem")
-            .where(C("l_linestatus") == "O")
-            .select(
-                C("l_orderkey").alias("res_id"),
-                C("l_partkey").alias("service_id"),
-                C("l_linenumber").alias("res_days"),
-                C("l_quantity").alias("future_guests"),
-            ),
-            "reservations": t("orders")
-            .where(C("o_orderstatus") == "O")
-            .select(
-                C("o_orderkey").alias("res_id"),
-                C("o_custkey").alias("cust_id"),
-                C("o_orderdate").alias("res_date"),
-            ),
-            "resort": t("nation").select(
-                C("n_nationkey").alias("resort_id"),
-                C("n_name").alias("resort"),
-                C("n_regionkey").alias("country_id"),
-            ),
-            "sales": t("orders").select(
-                C("o_orderkey").alias("inv_id"),
-                C("o_custkey").alias("cust_id"),
-                C("o_orderdate").alias("invoice_date"),
-            ),
-            "sales_person": t("supplier").select(
-                C("s_suppkey").alias("sales_id"), C("s_name").alias("sales_person")
-            ),
-            "service": t("part").select(
-                C("p_partkey").alias("service_id"),
-                C("p_name").alias("service"),
-                brand.alias("sl_id"),
-                C("p_retailprice").alias("price"),
-            ),
-            "service_line": t("part")
-            .select(
-                brand.alias("sl_id"),
-                C("p_brand").alias("service_line"),
-                (brand - 1).alias("resort_id"),
-            )
-            .distinct(),
-        }
+    return t("customer").select(
+        key.alias("cust_id"),
+        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
+        _age().alias("age"),
+        F.concat(F.lit("+7"), F.lpad(text(key), 10, "0")).alias("phone_number"),
+        C("c_mktsegment").alias("address"),
+        C("c_nationkey").alias("city_id"),
+        (key % 10).alias("sales_id"),
+        F.when(key % 7 != 0, key - key % 7).alias("sponsor_id"),
+    )
+
+
+def _invoice_line(t: Given) -> DataFrame:
+    return t("lineitem").select(
+        C("l_orderkey").alias("inv_id"),
+        C("l_partkey").alias("service_id"),
+        C("l_linenumber").alias("days"),
+        C("l_quantity").alias("nb_guests"),
+    )
+
+
+def _region(t: Given) -> DataFrame:
+    return t("region").select(
+        C("r_regionkey").alias("region_id"),
+        F.concat(F.lit("Region "), C("r_name")).alias("region"),
+        C("r_regionkey").alias("country_id"),
+    )
+
+
+def _region_sline(t: Given) -> DataFrame:
+    return (
+        t("part")
+        .groupBy(_brand_number().alias("sl_id"), (C("p_size") % 5).alias("region_id"))
+        .agg(F.sum(C("p_retailprice").cast("decimal(12,2)")).alias("sales_revenue"))
+    )
+
+
+def _reservation_line(t: Given) -> DataFrame:
+    return (
+        t("lineitem")
+        .where(C("l_linestatus") == "O")
+        .select(
+            C("l_orderkey").alias("res_id"),
+            C("l_partkey").alias("service_id"),
+            C("l_linenumber").alias("res_days"),
+            C("l_quantity").alias("future_guests"),
+        )
+    )
+
+
+def _reservations(t: Given) -> DataFrame:
+    return (
+        t("orders")
+        .where(C("o_orderstatus") == "O")
+        .select(
+            C("o_orderkey").alias("res_id"),
+            C("o_custkey").alias("cust_id"),
+            C("o_orderdate").alias("res_date"),
+        )
+    )
+
+
+def _resort(t: Given) -> DataFrame:
+    return t("nation").select(
+        C("n_nationkey").alias("resort_id"),
+        C("n_name").alias("resort"),
+        C("n_regionkey").alias("country_id"),
+    )
+
+
+def _sales(t: Given) -> DataFrame:
+    return t("orders").select(
+        C("o_orderkey").alias("inv_id"),
+        C("o_custkey").alias("cust_id"),
+        C("o_orderdate").alias("invoice_date"),
+    )
+
+
+def _sales_person(t: Given) -> DataFrame:
+    return t("supplier").select(
+        C("s_suppkey").alias("sales_id"), C("s_name").alias("sales_person")
+    )
+
+
+def _service(t: Given) -> DataFrame:
+    return t("part").select(
+        C("p_partkey").alias("service_id"),
+        C("p_name").alias("service"),
+        _brand_number().alias("sl_id"),
+        C("p_retailprice").alias("price"),
+    )
+
+
+def _service_line(t: Given) -> DataFrame:
+    return (
+        t("part")
+        .select(
+            _brand_number().alias("sl_id"),
+            C("p_brand").alias("service_line"),
+            (_brand_number() - 1).alias("resort_id"),
+        )
+        .distinct()
     )
 
 
+SALES: dict[str, Callable[[Given], DataFrame]] = {
+    "age_group": _age_group,
+    "city": _city,
+    "country": _country,
+    "customer": _customer,
+    "invoice_line": _invoice_line,
+    "region": _region,
+    "region_sline": _region_sline,
+    "reservation_line": _reservation_line,
+    "reservations": _reservations,
+    "resort": _resort,
+    "sales": _sales,
+    "sales_person": _sales_person,
+    "service": _service,
+    "service_line": _service_line,
+}
+
+
+def sales_source(spark: SparkSession, sf_dir: str) -> GivenSales:
+    return GivenSales(spark, sf_dir)
+
+
 class SalesStage(dict):
     """Source tables by name, read with their declared columns on first use."""
 
-    def __init__(self, source: FrameSource):
+    def __init__(self, source: TableSource):
         super().__init__()
         self.source = source
 

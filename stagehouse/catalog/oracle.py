@@ -129,7 +129,7 @@ SELECTS.update(
         "intersect_known_ids": """
             SELECT CAST(id_employee AS BIGINT) AS id_employee FROM emp_batch
             INTERSECT SELECT id_employee FROM live""",
-        "append_new_dim_values": "SELECT * FROM all_type_com",
+        "append_new_dim_values": "SELECT * FROM all_type_ind",
         "insert_ignore": """
             SELECT cust_id, CASE WHEN age >= 18 THEN last_name ELSE first_name END AS last_name
             FROM fx_customer""",

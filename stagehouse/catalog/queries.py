@@ -291,9 +291,9 @@ def append_new_dim_values(spark, sf_dir):
         inputs.company_ledger(spark, sf_dir),
         COMPANY_XML.table,
     )
-    dim = inputs.type_company(spark, sf_dir)
+    dim = inputs.type_industry(spark, sf_dir)
     return merge.append_new_values(
-        dim, rows.select("type_company"), "type_company_name", "type_company_cd"
+        dim, rows.select("type_industry"), "type_indystry_name", "type_industry_cd"
     )
 
 
