@@ -35,4 +35,5 @@ def day_of_week(column: Column) -> Column:
 
 def weekday_label(column: Column, labels: tuple[str, ...] = SUNDAY_FIRST) -> Column:
     names = F.array(*[F.lit(name) for name in labels])
-    return F.coalesce(F.element_at(names, F.dayofweek(column)), F.lit(UNKNOWN_DAY))
+    # get, not element_at: the latter reads a null index as some element.
+    return F.coalesce(F.get(names, F.dayofweek(column) - 1), F.lit(UNKNOWN_DAY))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from stagehouse.schemas import LEDGER, struct
 
 # States of a request.
 CREATED, RUNNING, SUCCESS, FAILED = "CREATE", "RUNNING", "SUCCESS", "FAILED"
+# A loaded file none of whose rows could enter the change log.
+EMPTY = "EMPTY"
 
 EVENTS = struct("request_id table_name filename status at:time")
 
@@ -54,10 +57,10 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _append(self, *row) -> None:
+    def _append(self, events: list[tuple]) -> None:
         at = datetime.now(timezone.utc).replace(tzinfo=None)
-        event = self.spark.createDataFrame([(*row, at)], EVENTS)
-        event.coalesce(1).write.mode("append").parquet(self.path)
+        rows = self.spark.createDataFrame([(*event, at) for event in events], EVENTS)
+        rows.coalesce(1).write.mode("append").parquet(self.path)
 
     def open(
         self,
@@ -67,11 +70,20 @@ class Ledger:
         status: str = RUNNING,
     ) -> str:
         request_id = request_id or str(uuid.uuid4())
-        self._append(request_id, table, filename, status)
+        self._append([(request_id, table, filename, status)])
         return request_id
 
+    def open_all(self, tables: Iterable[str], status: str = CREATED) -> dict[str, str]:
+        """One request per table; their ids by table."""
+        ids = {table: str(uuid.uuid4()) for table in tables}
+        self._append([(request, table, None, status) for table, request in ids.items()])
+        return ids
+
     def close(self, request_id: str, status: str) -> None:
-        self._append(request_id, None, None, status)
+        self.close_all([request_id], status)
+
+    def close_all(self, request_ids: Iterable[str], status: str) -> None:
+        self._append([(request, None, None, status) for request in request_ids])
 
     def _events(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

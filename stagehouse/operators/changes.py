@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stagehouse.operators.joins import unplaced
 from stagehouse.operators.typing import to_typed
 from stagehouse.schemas import EMPLOYEE_LOG, EMPLOYEE_NDS
 
@@ -88,7 +89,9 @@ def classify(batch: DataFrame, log: DataFrame, strict_text_key: bool = True) ->
         batch = batch.where(F.col("id_employee").isNotNull())
     rows = to_typed(batch, EMPLOYEE_NDS, keep=("request_id", "record_id"))
     ids = batch.select(F.col("id_employee").cast(T.LongType()).alias("id_employee")).distinct()
-    known = live_ids(log).join(ids, "id_employee", "left_semi").withColumn("_known", F.lit(True))
+    known = unplaced(live_ids(log).join(ids, "id_employee", "left_semi")).withColumn(
+        "_known", F.lit(True)
+    )
     mode = F.when(F.col("_known"), UPDATE).otherwise(CREATE).alias("mode")
     return (
         rows.join(known, "id_employee", "left")

@@ -102,17 +102,3 @@ def surrogate_keys(
     return numbered.join(F.broadcast(shift), "_part").select(
         *columns, (F.col("_pos") + F.col("_shift") + F.lit(start)).alias(id_column)
     )
-
-
-def join_null_safe(
-    df: DataFrame, other: DataFrame, columns: Sequence[str], how: str = "left"
-) -> DataFrame:
-    """Join on equal tuples, null being equal to null; ``columns`` come once."""
-    renamed = other.select(
-        *[F.col(c).alias(f"_k_{c}") for c in columns],
-        *[c for c in other.columns if c not in columns],
-    )
-    match = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in columns]
-    )
-    return df.join(renamed, match, how).drop(*[f"_k_{c}" for c in columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagehouse.operators.joins import unplaced
 from stagehouse.operators.keys import assert_unique
 
 BROADCAST_ENTRIES = 10_000
@@ -28,6 +29,8 @@ def lookup(
     unique = assert_unique(entries.where(F.col("_key").isNotNull()), ["_key"], f"index {index_key}")
     if max_entries is not None and max_entries <= BROADCAST_ENTRIES:
         unique = F.broadcast(unique)
+    else:
+        unique = unplaced(unique)
     return df.join(unique, df[key] == unique["_key"], "left").drop("_key")
 
 

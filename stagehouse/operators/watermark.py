@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagehouse.operators.joins import unplaced
+
 
 def count_drift(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: both row counts and whether they differ."""
@@ -51,4 +53,4 @@ def rows_not_loaded(source: DataFrame, target: DataFrame, keys: Sequence[str]) -
     The target's keys are made distinct first, so a key that fills much of it
     costs one row per map task.
     """
-    return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
+    return source.join(unplaced(target.select(*keys).distinct()), list(keys), "left_anti")

@@ -15,7 +15,8 @@ from stagehouse.functions.text import (
     org_name,
     parse_decimal,
 )
-from stagehouse.operators.keys import join_null_safe, surrogate_keys
+from stagehouse.operators.joins import join_null_safe
+from stagehouse.operators.keys import surrogate_keys
 from stagehouse.operators.lookup import lookup
 from stagehouse.operators.typing import MEASURES, fill_measures
 from stagehouse.session import materialize
@@ -137,6 +138,19 @@ def dim_category(extract: DataFrame) -> DataFrame:
     )
 
 
+def new_categories(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Categories of a run that no earlier run has stored.
+
+    A position starts at 0 again in every run, so their ids are moved past the
+    last known one; the step of the ids stays the same.
+    """
+    last = known.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    shift = -(-last // CATEGORY_FACTOR) * CATEGORY_FACTOR
+    return found.join(known.select("category_code"), "category_code", "left_anti").select(
+        (F.col("id") + shift).alias("id"), "category_name", "category_code", "category_num"
+    )
+
+
 def object_id(column: str = "nvos_id"):
     return F.col(column) * OBJECT_FACTOR
 
@@ -194,22 +208,33 @@ class EmissionTables:
 
 
 def normalise(
-    extract: DataFrame, start: int = FULL_START, compat_literal: bool = False
+    extract: DataFrame,
+    start: int = FULL_START,
+    compat_literal: bool = False,
+    known_category: DataFrame | None = None,
 ) -> EmissionTables:
-    """All six tables. Parsing and id assignment are done once and written down,
-    since every table reads them."""
+    """All six tables. The extract, its parsed texts and the ids are written down
+    once, since several tables read each of them.
+
+    With ``known_category`` objects take the stored id of their category, and
+    ``object_category`` holds only what is new.
+    """
+    extract = materialize(extract, "emissions-extract")
     parsed = materialize(parsed_extract(extract), "emissions-parsed")
     address = dim_address(parsed, start)
     organizations = organization_keys(parsed, start)
     parties = materialize(object_parties(parsed, organizations, address), "emissions-parties")
     bridge = bridge_org_address(parties, start)
-    category = dim_category(extract)
+    category = all_categories = dim_category(extract)
+    if known_category is not None:
+        category = new_categories(category, known_category)
+        all_categories = known_category.unionByName(category)
     return EmissionTables(
         address=address,
         organizations=clean_organizations(organizations),
         organizations_x_address=bridge,
         object_category=category,
-        objects=objects(extract, category, compat_literal),
+        objects=objects(extract, all_categories, compat_literal),
         environmental_emissions=emissions_fact(extract, parties, bridge),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagehouse.functions.text import name_part
+from stagehouse.operators.joins import unplaced
 from stagehouse.operators.keys import latest_per_key
 from stagehouse.schemas import EMPLOYMENT
 
@@ -16,7 +17,7 @@ def entries_of(log: DataFrame, ids: DataFrame | None) -> DataFrame:
     """Log entries of the given ids only, all entries without a list."""
     if ids is None:
         return log
-    return log.join(ids.select(KEY).distinct(), KEY, "left_semi")
+    return log.join(unplaced(ids.select(KEY).distinct()), KEY, "left_semi")
 
 
 def current_persons(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:

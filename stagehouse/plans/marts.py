@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stagehouse.functions.buckets import HISTORY, AgeBuckets, age_bucket
 from stagehouse.functions.dates import SUNDAY_FIRST, sale_month, sale_year, weekday_label
+from stagehouse.operators.joins import unplaced
 
 
 def _average(total: Column, count: Column) -> Column:
@@ -88,10 +89,13 @@ def _by_key(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _named(sums: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
+    return sums.join(unplaced(dim.select(key, name)), key)
+
+
 def average_sales_by_seller(fact: DataFrame, seller: DataFrame) -> DataFrame:
     return (
-        _by_key(fact, ["seller_id"])
-        .join(seller.select("seller_id", "sales_person"), "seller_id")
+        _named(_by_key(fact, ["seller_id"]), seller, "seller_id", "sales_person")
         .groupBy("sales_person")
         .agg(_average(F.sum("_total"), F.sum("_count")).alias("average_sale"))
     )
@@ -99,8 +103,7 @@ def average_sales_by_seller(fact: DataFrame, seller: DataFrame) -> DataFrame:
 
 def sales_by_service(fact: DataFrame, service: DataFrame) -> DataFrame:
     return (
-        _by_key(fact, ["service_id"])
-        .join(service.select("service_id", "service"), "service_id")
+        _named(_by_key(fact, ["service_id"]), service, "service_id", "service")
         .groupBy("service")
         .agg(F.sum("_total").alias("total_sales"))
     )
@@ -118,19 +121,17 @@ def customer_age_groups(customer: DataFrame, buckets: AgeBuckets = HISTORY) -> D
 def sales_by_country_and_region(
     fact: DataFrame, country: DataFrame, resort: DataFrame
 ) -> DataFrame:
-    return (
-        _by_key(fact, ["country_id", "resort_id", "invoice_date"])
-        .join(country.select("country_id", "country"), "country_id")
-        .join(resort.select("resort_id", "resort"), "resort_id")
-        .groupBy("country", "resort", "invoice_date")
-        .agg(F.sum("_total").alias("total_sales"))
+    sums = _by_key(fact, ["country_id", "resort_id", "invoice_date"])
+    named = _named(_named(sums, country, "country_id", "country"), resort, "resort_id", "resort")
+    return named.groupBy("country", "resort", "invoice_date").agg(
+        F.sum("_total").alias("total_sales")
     )
 
 
 def sales_by_employee(fact: DataFrame, seller: DataFrame) -> DataFrame:
+    sums = _by_key(fact, ["seller_id", "invoice_date"])
     return (
-        _by_key(fact, ["seller_id", "invoice_date"])
-        .join(seller.select("seller_id", "sales_person"), "seller_id")
+        _named(sums, seller, "seller_id", "sales_person")
         .groupBy("sales_person", "invoice_date")
         .agg(F.sum("_total").alias("total_price"))
     )

@@ -10,13 +10,15 @@ from stagehouse.schemas import RecordType
 RECORD = "record"
 # FAILFAST: a damaged file must fail its load, not turn into null rows.
 OPTIONS = {"rowTag": RECORD, "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}
+# What the binaryFile source offers.
+FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
 # Files above this size are cut between records and parsed by many tasks.
 SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
 
 
-def _renamed(df: DataFrame, record: RecordType, *extra: str) -> DataFrame:
+def _renamed(df: DataFrame, record: RecordType) -> DataFrame:
     return df.select(
-        *[F.col(f"`{element}`").alias(name) for element, name in record.elements.items()], *extra
+        *[F.col(f"`{element}`").alias(name) for element, name in record.elements.items()]
     )
 
 
@@ -57,7 +59,7 @@ def read_xml_split(spark: SparkSession, path: str | list[str], record: RecordTyp
         .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
     )
     is_record = F.col("value").rlike(f"<{RECORD}[\\s>]")
-    is_tail = ~is_record & F.col("value").rlike(r"(?s)</[^>]+>\s*$")
+    is_tail = ~is_record & F.col("value").rlike(r"(?s)(</[^>]+|/)>\s*$")
     broken = (
         chunks.groupBy("file")
         .agg(F.sum(is_tail.cast("long")).alias("tails"))
@@ -78,32 +80,23 @@ def read_xml_split(spark: SparkSession, path: str | list[str], record: RecordTyp
     return _renamed(parsed.select("r.*"), record)
 
 
-def stream_xml(
-    spark: SparkSession,
-    folder: str,
-    record: RecordType,
-    glob: str,
-    archive: str | None = None,
-    max_files: int = 1,
+def stream_files(
+    spark: SparkSession, folder: str, archive: str | None = None, max_files: int = 1
 ) -> DataFrame:
-    """Files arriving in ``folder`` as a stream, with their name in ``file_name``.
+    """Paths of files arriving in ``folder``, oldest first; their content is not read.
 
-    With ``archive`` the source moves a file there after the batch that follows
-    its own; the folder must lie outside the watched one.
+    With ``archive`` the source moves a file there once the batch after its own
+    has begun; that folder must lie outside the watched one.
     """
     reader = (
-        spark.readStream.format("xml")
-        .options(**OPTIONS)
-        .option("pathGlobFilter", glob)
+        spark.readStream.format("binaryFile")
+        .schema(FILE_COLUMNS)
         .option("maxFilesPerTrigger", str(max_files))
-        .schema(record.xml_schema)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return _renamed(
-        reader.load(folder).select("*", F.col("_metadata.file_name").alias("file_name")),
-        record,
-        "file_name",
+    return reader.load(folder).select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("filename")
     )
 
 
