@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stagehouse.schemas import RecordType
 
 RECORD = "record"
+START, END = f"<{RECORD}[\\s>]", f"</{RECORD}>"
 # FAILFAST: a damaged file must fail its load, not turn into null rows.
 OPTIONS = {"rowTag": RECORD, "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}
 # What the binaryFile source offers.
@@ -22,6 +23,34 @@ def _renamed(df: DataFrame, record: RecordType) -> DataFrame:
     )
 
 
+def _chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``file, value``: the text between two record ends. Splits at any of them."""
+    return (
+        spark.read.option("lineSep", END)
+        .text(path)
+        .select(F.col("_metadata.file_path").alias("file"), "value")
+    )
+
+
+def check_complete(spark: SparkSession, path: str | list[str]) -> None:
+    """Raise when a file lacks the end of its root element.
+
+    FAILFAST notices a record that is cut off, but not a file that stops
+    between two records. What follows the last record of a whole file is the
+    closing root tag, so each file has exactly one chunk like that.
+    """
+    is_tail = ~F.col("value").rlike(START) & F.col("value").rlike(r"(?s)(</[^>]+|/)>\s*$")
+    broken = (
+        _chunks(spark, path)
+        .groupBy("file")
+        .agg(F.count_if(is_tail).alias("tails"))
+        .where(F.col("tails") != 1)
+    )
+    damaged = broken.first()
+    if damaged is not None:
+        raise ValueError(f"XML file is cut off: {damaged['file']}")
+
+
 def read_xml(
     spark: SparkSession,
     path: str | list[str],
@@ -30,12 +59,12 @@ def read_xml(
 ) -> DataFrame:
     """Staging columns of every record; a missing child is null, an empty one ``''``.
 
-    The built-in XML source gives one task per file. Once a file is larger than
-    ``split_above`` the files are read by :func:`read_xml_split` instead.
+    A damaged file raises: at once when it ends too early, else when it is
+    parsed. The built-in XML source gives one task per file, so once a file is
+    larger than ``split_above`` the files are read by :func:`read_xml_split`.
     """
-    largest = (
-        spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    )
+    check_complete(spark, path)
+    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
     if largest is not None and largest > split_above:
         return read_xml_split(spark, path, record)
     return _renamed(
@@ -44,38 +73,18 @@ def read_xml(
 
 
 def read_xml_split(spark: SparkSession, path: str | list[str], record: RecordType) -> DataFrame:
-    """As :func:`read_xml` for huge files: splits end at ``</record>``.
+    """The records of files too large for one task each.
 
-    The text source cuts a file at any record end, so its splits spread over
-    all tasks. Every chunk but a file's tail holds one record; the tail holds
-    the closing root tag only. A file without such a tail is cut off, which
-    the check below turns into an error as FAILFAST does for a small file.
-    Expects flat records (no nested ``<record>``, no end tag inside CDATA).
+    The text source cuts a file at any record end, so its parts spread over
+    all tasks and each chunk is parsed on its own. Expects flat records: no
+    ``<record>`` inside another, no record end inside a comment or CDATA.
     """
-    end, start = f"</{RECORD}>", f"(?s)^.*?(?=<{RECORD}[\\s>])"
-    chunks = (
-        spark.read.option("lineSep", end)
-        .text(path)
-        .select(F.col("value"), F.col("_metadata.file_path").alias("file"))
-    )
-    is_record = F.col("value").rlike(f"<{RECORD}[\\s>]")
-    is_tail = ~is_record & F.col("value").rlike(r"(?s)(</[^>]+|/)>\s*$")
-    broken = (
-        chunks.groupBy("file")
-        .agg(F.sum(is_tail.cast("long")).alias("tails"))
-        .where(F.col("tails") != 1)
-        .select("file")
-    )
-    damaged = broken.first()
-    if damaged is not None:
-        raise ValueError(f"XML file is cut off: {damaged[0]}")
-    body = F.concat(F.regexp_replace("value", start, ""), F.lit(end))
-    parsed = chunks.where(is_record).select(
-        F.from_xml(
-            body,
-            record.xml_schema,
-            {"mode": "FAILFAST", "ignoreSurroundingSpaces": "false", "rowTag": RECORD},
-        ).alias("r")
+    head = f"(?s)^.*?(?={START})"
+    body = F.concat(F.regexp_replace("value", head, ""), F.lit(END))
+    parsed = (
+        _chunks(spark, path)
+        .where(F.col("value").rlike(START))
+        .select(F.from_xml(body, record.xml_schema, OPTIONS).alias("r"))
     )
     return _renamed(parsed.select("r.*"), record)
 
