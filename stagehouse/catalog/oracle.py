@@ -260,6 +260,49 @@ SELECTS.update(
 )
 
 
+# Jobs end in tables that a query above gives too; the rest reads staged text.
+_XML_EMPLOYEES = """
+    SELECT id_employee, fio, CAST(id_region AS VARCHAR) AS id_region,
+        CAST(id_company AS VARCHAR) AS id_company, CAST(l_faktor AS VARCHAR) AS l_faktor,
+        CAST(j_faktor AS VARCHAR) AS j_faktor, CAST(x_faktor AS VARCHAR) AS x_faktor,
+        CAST(CAST(birth_date AS DATE) AS VARCHAR) AS birth_date,
+        CAST(date_devations AS VARCHAR) AS date_devations, uik, CAST(uik_num AS VARCHAR) AS uik_num
+    FROM stg_emp"""
+_CANONICAL = "id_employee = CAST(CAST(id_employee AS BIGINT) AS VARCHAR)"
+SELECTS.update(
+    {
+        "xml_employees": _XML_EMPLOYEES,
+        "xml_employees_split": _XML_EMPLOYEES,
+        "xml_regions": """
+            SELECT region_name, id_region, region_parent, population, name_eng, code,
+                region_oktmo, region_okato, f_value
+            FROM stg_reg""",
+        "xml_companies": """
+            SELECT CAST(id_company AS VARCHAR) AS id_company, company_name, company_parent,
+                CAST(id_region AS VARCHAR) AS id_region, type_company, type_industry,
+                CAST(rosstat AS VARCHAR) AS rosstat,
+                CAST(CAST(create_date AS DATE) AS VARCHAR) AS create_date,
+                CAST(date2 AS VARCHAR) AS date2, inn
+            FROM stg_com""",
+        "job_regions_file": SELECTS["upsert_regions"],
+        "job_companies_file": SELECTS["load_companies"],
+        "job_employees_files": f"""
+            SELECT CAST(id_employee AS BIGINT) AS id_employee, first_name, last_name, sur_name, birth_date
+            FROM (
+                SELECT {_PERSON}, row_number() OVER (PARTITION BY id_employee ORDER BY ts DESC) AS rn
+                FROM stg_emp JOIN events ON event_id = record_id WHERE {_CANONICAL})
+            WHERE rn = 1""",
+        "folder_stream": f"""
+            SELECT CAST(id_employee AS BIGINT) AS id_employee, fio, id_region, birth_date,
+                ts AS date_devations
+            FROM stg_emp JOIN events ON event_id = record_id WHERE {_CANONICAL}""",
+        "job_initial_load": SELECTS["sales_by_employee"],
+        "job_repeated_load": SELECTS["average_sales_by_day_of_week_shifted"],
+        "job_emissions": SELECTS["emissions_fact"],
+    }
+)
+
+
 def with_views(select: str) -> str:
     """``select`` behind the views it needs, in the order they are defined."""
     needed: set[str] = set()

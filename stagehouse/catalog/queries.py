@@ -367,9 +367,9 @@ def cdc_update(spark, sf_dir):
     return changes.updated(_changes(spark, sf_dir))
 
 
-def _log_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _log_after(spark: SparkSession, sf_dir: str, batch: DataFrame | None = None) -> DataFrame:
     log = inputs.employee_log(spark, sf_dir)
-    return log.unionByName(_changes(spark, sf_dir))
+    return log.unionByName(batch or _changes(spark, sf_dir))
 
 
 @query
@@ -387,7 +387,7 @@ def upsert_latest(spark, sf_dir):
     """Persons of the old log, brought up to date for the ids of the new batch."""
     before = employees.current_persons(inputs.employee_log(spark, sf_dir))
     batch = _changes(spark, sf_dir)
-    after = employees.current_persons(_log_after(spark, sf_dir), ids=batch)
+    after = employees.current_persons(_log_after(spark, sf_dir, batch), ids=batch)
     return merge.upsert(before, after, ["id_employee"], check_unique=False)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,9 +39,9 @@ ORG_KEY = ["org_name", "inn"]
 
 
 def parsed_extract(extract: DataFrame) -> DataFrame:
-    """Object id, five address parts, organisation name and INN digits per row."""
+    """The extract with five address parts, the organisation name and the INN digits."""
     return extract.select(
-        "nvos_id",
+        *[c for c in extract.columns if c not in ("org_address", *ORG_KEY)],
         *address_parts("org_address"),
         org_name(F.col("org_name")).alias("org_name"),
         digits_only(F.col("inn")).alias("inn"),
@@ -213,19 +214,20 @@ def normalise(
     compat_literal: bool = False,
     known_category: DataFrame | None = None,
 ) -> EmissionTables:
-    """All six tables. The extract, its parsed texts and the ids are written down
-    once, since several tables read each of them.
+    """All six tables. The parsed extract and the ids are written down once,
+    since several tables read each of them.
 
     With ``known_category`` objects take the stored id of their category, and
     ``object_category`` holds only what is new.
     """
-    extract = materialize(extract, "emissions-extract")
     parsed = materialize(parsed_extract(extract), "emissions-parsed")
-    address = dim_address(parsed, start)
-    organizations = organization_keys(parsed, start)
+    with ThreadPoolExecutor(2) as pool:
+        addresses = pool.submit(dim_address, parsed, start)
+        organizations = organization_keys(parsed, start)
+        address = addresses.result()
     parties = materialize(object_parties(parsed, organizations, address), "emissions-parties")
     bridge = bridge_org_address(parties, start)
-    category = all_categories = dim_category(extract)
+    category = all_categories = dim_category(parsed)
     if known_category is not None:
         category = new_categories(category, known_category)
         all_categories = known_category.unionByName(category)
@@ -234,8 +236,8 @@ def normalise(
         organizations=clean_organizations(organizations),
         organizations_x_address=bridge,
         object_category=category,
-        objects=objects(extract, all_categories, compat_literal),
-        environmental_emissions=emissions_fact(extract, parties, bridge),
+        objects=objects(parsed, all_categories, compat_literal),
+        environmental_emissions=emissions_fact(parsed, parties, bridge),
     )
 
 

@@ -90,16 +90,12 @@ def _measure(name: str) -> Column:
 def fact_sale(stage: Mapping[str, DataFrame], measure: str = "price") -> DataFrame:
     """One row per invoice line with its invoice, seller, service, resort and country.
 
-    The dimensions are joined among themselves first, so the invoice lines,
-    the one table that outgrows all others, take part in two joins and not
-    five. ``measure="amount"`` puts price x days x guests into ``price``.
+    The service side is joined table by table: each is a plain scan whose size
+    Catalyst knows, so a small one is broadcast and no invoice line moves for
+    it. Invoices and customers both grow with the sales, so they are joined to
+    each other first and the lines, the widest table, move once for the pair.
+    ``measure="amount"`` puts price x days x guests into ``price``.
     """
-    offers = (
-        stage["service"]
-        .select("service_id", "sl_id", "price")
-        .join(stage["service_line"].select("sl_id", "resort_id"), "sl_id")
-        .join(stage["resort"].select("resort_id", "country_id"), "resort_id")
-    )
     invoices = (
         stage["sales"]
         .select("inv_id", "cust_id", "invoice_date")
@@ -107,9 +103,12 @@ def fact_sale(stage: Mapping[str, DataFrame], measure: str = "price") -> DataFra
             stage["customer"].select("cust_id", F.col("sales_id").alias("seller_id")), "cust_id"
         )
     )
-    lines = stage["invoice_line"].select("inv_id", "service_id", "days", "nb_guests")
     return (
-        lines.join(offers, "service_id")
+        stage["invoice_line"]
+        .select("inv_id", "service_id", "days", "nb_guests")
+        .join(stage["service"].select("service_id", "sl_id", "price"), "service_id")
+        .join(stage["service_line"].select("sl_id", "resort_id"), "sl_id")
+        .join(stage["resort"].select("resort_id", "country_id"), "resort_id")
         .join(invoices, "inv_id")
         .select(
             "inv_id",

@@ -38,14 +38,18 @@ def request_for(checkpoint: str, batch_id: int, path: str) -> str:
 
 
 def load_files(
-    batch: DataFrame, batch_id: int, warehouse: Warehouse, checkpoint: str
+    batch: DataFrame,
+    batch_id: int,
+    warehouse: Warehouse,
+    checkpoint: str,
+    names: dict[str, str] | None = None,
 ) -> list[str]:
     """Stage and apply the routed files of one batch, in name order.
 
     The batch holds file paths, as many as ``maxFilesPerTrigger`` lets in; the
     rows of a file never leave the Spark jobs that load it.
     """
-    routed = batch.withColumn("route", route_by_name(F.col("filename")))
+    routed = batch.withColumn("route", route_by_name(F.col("filename"), names))
     files = routed.where(F.col("route").isNotNull()).orderBy("filename").collect()
     for path, filename, name in files:
         route = ROUTES[name]
@@ -64,16 +68,18 @@ def watch_folder(
     archive: str | None = None,
     max_files: int = 1,
     once: bool = False,
+    names: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the watch. ``once`` takes what lies there and stops.
 
-    The checkpoint says which files were taken. A file that does not load stops
+    ``names`` maps a text in the file name to a route, if the usual ones do not
+    fit. The checkpoint says which files were taken. A file that does not load stops
     the stream with its request marked FAILED; starting it again tries that
     file again. Files no route takes are skipped.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load_files(batch, batch_id, warehouse, checkpoint)
+        load_files(batch, batch_id, warehouse, checkpoint, names)
 
     writer = (
         stream_files(spark, folder, archive, max_files)
