@@ -66,12 +66,12 @@ def dim_organization(parsed: DataFrame, start: int = FULL_START) -> DataFrame:
 
 
 def object_parties(parsed: DataFrame, organizations: DataFrame, address: DataFrame) -> DataFrame:
-    """``nvos_id, organization_id, address_id`` per object."""
+    """Organisation and address key per object, its totals riding along."""
     with_org = join_null_safe(
         parsed, organizations.withColumnRenamed("id", "organization_id"), ORG_KEY
     )
     both = join_null_safe(with_org, address.withColumnRenamed("id", "address_id"), PARTS)
-    return both.select("nvos_id", "organization_id", "address_id")
+    return both.select("nvos_id", "organization_id", "address_id", *MEASURES)
 
 
 def bridge_org_address(parties: DataFrame, start: int = FULL_START) -> DataFrame:
@@ -181,15 +181,19 @@ def objects(extract: DataFrame, category: DataFrame, compat_literal: bool = Fals
     )
 
 
-def emissions_fact(extract: DataFrame, parties: DataFrame, bridge: DataFrame) -> DataFrame:
+def one_row_per_object(parsed: DataFrame) -> None:
+    """Raise when an object comes twice: its keys would be ambiguous."""
+    twice = parsed.groupBy("nvos_id").count().where(F.col("count") > 1).first()
+    if twice is not None:
+        raise ValueError(f"object {twice['nvos_id']} comes {twice['count']} times")
+
+
+def emissions_fact(parties: DataFrame, bridge: DataFrame) -> DataFrame:
     """Bridge id, object id and the four totals per object; missing totals are 0."""
     pair = ["organization_id", "address_id"]
     links = join_null_safe(parties, bridge.withColumnRenamed("id", "org_address_id"), pair)
-    rows = lookup(
-        extract, "nvos_id", links.select("nvos_id", "org_address_id"), "nvos_id", "org_address_id"
-    )
     return fill_measures(
-        rows.select(
+        links.select(
             "nvos_id",
             "org_address_id",
             object_id().alias("obj_id"),
@@ -221,6 +225,7 @@ def normalise(
     ``object_category`` holds only what is new.
     """
     parsed = materialize(parsed_extract(extract), "emissions-parsed")
+    one_row_per_object(parsed)
     with ThreadPoolExecutor(2) as pool:
         addresses = pool.submit(dim_address, parsed, start)
         organizations = organization_keys(parsed, start)
@@ -237,7 +242,7 @@ def normalise(
         organizations_x_address=bridge,
         object_category=category,
         objects=objects(parsed, all_categories, compat_literal),
-        environmental_emissions=emissions_fact(parsed, parties, bridge),
+        environmental_emissions=emissions_fact(parties, bridge),
     )
 
 

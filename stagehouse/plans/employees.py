@@ -20,15 +20,18 @@ def entries_of(log: DataFrame, ids: DataFrame | None) -> DataFrame:
     return log.join(unplaced(ids.select(KEY).distinct()), KEY, "left_semi")
 
 
-def current_persons(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """Name parts and birth date of every employee's newest entry.
+def newest_entries(entries: DataFrame) -> DataFrame:
+    """Each employee's newest entry, all columns."""
+    return latest_per_key(entries, [KEY], "date_devations", ["record_id"])
+
+
+def persons_of(newest: DataFrame) -> DataFrame:
+    """Name parts and birth date.
 
     Parts are taken by position: first, last and sur name are the first three
     words of the full name in that order.
     """
-    rows = entries_of(log, ids).select(KEY, "date_devations", "record_id", "fio", "birth_date")
-    latest = latest_per_key(rows, [KEY], "date_devations", ["record_id"])
-    return latest.select(
+    return newest.select(
         KEY,
         name_part(F.col("fio"), 1).alias("first_name"),
         name_part(F.col("fio"), 2).alias("last_name"),
@@ -37,11 +40,38 @@ def current_persons(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     )
 
 
+def employment_of(newest: DataFrame) -> DataFrame:
+    """Region, company, factors and polling station."""
+    return newest.select(*[F.col(f.name).cast(f.dataType) for f in EMPLOYMENT.fields])
+
+
+def current_persons(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Persons as of the newest entry of the whole log."""
+    rows = entries_of(log, ids).select(KEY, "date_devations", "record_id", "fio", "birth_date")
+    return persons_of(newest_entries(rows))
+
+
 def current_employment(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """Region, company, factors and polling station of the newest entry."""
-    columns = EMPLOYMENT.fieldNames()
-    rows = entries_of(log, ids).select("record_id", *columns)
-    latest = latest_per_key(rows, [KEY], "date_devations", ["record_id"])
-    return latest.select(*[F.col(f.name).cast(f.dataType) for f in EMPLOYMENT.fields])
+    """Employment as of the newest entry of the whole log."""
+    rows = entries_of(log, ids).select("record_id", *EMPLOYMENT.fieldNames())
+    return employment_of(newest_entries(rows))
 
 
+def advance(batch: DataFrame, employment: DataFrame) -> DataFrame:
+    """Newest entries of a new batch that take the place of the current ones.
+
+    The employment table holds the date of each employee's newest entry, so
+    the log itself need not be read again. As in the log, a missing date is
+    the newest, and of two equal dates the later batch wins.
+    """
+    held = employment.select(
+        KEY, F.col("date_devations").alias("_held"), F.lit(True).alias("_is_held")
+    )
+    is_newer = (
+        F.col("_is_held").isNull()
+        | F.col("date_devations").isNull()
+        | (F.col("date_devations") >= F.col("_held"))
+    )
+    return (
+        newest_entries(batch).join(held, KEY, "left").where(is_newer).drop("_held", "_is_held")
+    )

@@ -88,9 +88,7 @@ def stage_sales(source: TableSource, warehouse: Warehouse) -> dict[str, str]:
 def staged_sales(warehouse: Warehouse, requests: Mapping[str, str]) -> dict[str, DataFrame]:
     """The staged rows of the given requests, without their batch column."""
     return {
-        table: changes.rows_of(
-            warehouse.stage(STAGE_NAMES[table], SALES_TABLES[table]), request
-        ).drop("request_id")
+        table: warehouse.staged(STAGE_NAMES[table], SALES_TABLES[table], request).drop("request_id")
         for table, request in requests.items()
     }
 
@@ -191,11 +189,9 @@ def repeated_load(
 def source_drift(source: TableSource, warehouse: Warehouse) -> DataFrame:
     """Whether the source's invoice lines outnumber the staged ones, or the reverse."""
     name = STAGE_NAMES["invoice_line"]
-    staged = warehouse.stage(name, SALES_TABLES["invoice_line"])
     request = changes.pick(changes.latest_request(warehouse.ledger.rows(), name))
-    return watermark.count_drift(
-        read_table(source, "invoice_line"), changes.rows_of(staged, request)
-    )
+    staged = warehouse.staged(name, SALES_TABLES["invoice_line"], request)
+    return watermark.count_drift(read_table(source, "invoice_line"), staged)
 
 
 def refresh_if_changed(source: TableSource, warehouse: Warehouse, **options) -> bool:
@@ -236,30 +232,35 @@ def next_record_id(warehouse: Warehouse, request_id: str) -> int:
         (F.col("request_id") != request_id) & (F.col("status") == ledger.SUCCESS)
     )
     last = changes.pick(changes.latest_request(earlier, EMPLOYEE_XML.table))
-    staged = changes.rows_of(staged_file_rows(warehouse, EMPLOYEE_XML), last)
+    staged = staged_file(warehouse, EMPLOYEE_XML, last)
     return (staged.agg(F.max("record_id")).first()[0] or 0) + 1
 
 
-def staged_file_rows(warehouse: Warehouse, record: RecordType) -> DataFrame:
+def staged_file(warehouse: Warehouse, record: RecordType, request_id: str | None) -> DataFrame:
+    """The staged rows of one file."""
     columns = text_only(record.stage_columns)
     if record is EMPLOYEE_XML:
         columns = struct(" ".join(["record_id:long", *record.stage_columns]))
-    return warehouse.stage(record.table, columns)
+    return warehouse.staged(record.table, columns, request_id)
+
+
+def newest_file(warehouse: Warehouse, record: RecordType) -> tuple[str | None, DataFrame]:
+    """The newest request of a kind of file, whatever its status, and its rows."""
+    request = changes.pick(changes.latest_request(warehouse.ledger.rows(), record.table))
+    return request, staged_file(warehouse, record, request)
 
 
 def apply_regions(warehouse: Warehouse) -> None:
     """Upsert the newest region file into the regions table."""
+    _, rows = newest_file(warehouse, REGION_XML)
     target = warehouse.snapshot("nds", REGIONS_TABLE, REGION_NDS)
-    stage = staged_file_rows(warehouse, REGION_XML)
-    warehouse.replace(
-        reference.load_regions(stage, warehouse.ledger.rows(), target), "nds", REGIONS_TABLE
-    )
+    merged = merge.upsert(target, reference.typed_regions(rows), ["id_region"])
+    warehouse.replace(merged, "nds", REGIONS_TABLE)
 
 
 def apply_companies(warehouse: Warehouse, dedupe: bool = True) -> None:
     """Append the newest company file, after the types and industries it brings."""
-    request = changes.pick(changes.latest_request(warehouse.ledger.rows(), COMPANY_XML.table))
-    rows = changes.rows_of(staged_file_rows(warehouse, COMPANY_XML), request)
+    request, rows = newest_file(warehouse, COMPANY_XML)
     if request is None:
         return
     types = warehouse.snapshot("nds", TYPE_COMPANY_TABLE, TYPE_COMPANY)
@@ -288,35 +289,50 @@ def employee_log(warehouse: Warehouse) -> DataFrame:
     return warehouse.batches("nds", LOG_TABLE, EMPLOYEE_LOG)
 
 
+def next_employee_request(warehouse: Warehouse) -> str | None:
+    """The oldest successful employee file that is not in the log."""
+    requests = warehouse.ledger.rows().where(F.col("table_name") == EMPLOYEE_XML.table)
+    return changes.pick(
+        changes.next_request(requests, requests, warehouse.batch_ids("nds", LOG_TABLE))
+    )
+
+
 def apply_employees(warehouse: Warehouse, strict_text_key: bool = True) -> str | None:
     """Take the oldest waiting employee request into the log and current tables.
 
     The log is written last: until its batch is there the request still waits,
     so a run that broke off is done again from the start, with the same rows.
     """
-    stage, log = staged_file_rows(warehouse, EMPLOYEE_XML), employee_log(warehouse)
-    request = changes.pick(changes.next_request(warehouse.ledger.rows(), stage, log))
+    request = next_employee_request(warehouse)
     if request is None:
         return None
+    rows = staged_file(warehouse, EMPLOYEE_XML, request)
     batch = materialize(
-        changes.classify(changes.rows_of(stage, request), log, strict_text_key), "changes"
+        changes.classify(rows, employee_log(warehouse), strict_text_key), "changes"
     )
     if batch.isEmpty():
         warehouse.ledger.close(request, ledger.EMPTY)
         return request
-    whole = log.unionByName(batch)
-    for table, schema, current in (
-        (PERSONS_TABLE, PERSONS, employees.current_persons),
-        (EMPLOYMENT_TABLE, EMPLOYMENT, employees.current_employment),
+    persons = warehouse.snapshot("nds", PERSONS_TABLE, PERSONS)
+    employment = warehouse.snapshot("nds", EMPLOYMENT_TABLE, EMPLOYMENT)
+    newer = materialize(employees.advance(batch, employment), "newer-entries")
+    for table, current, update in (
+        (PERSONS_TABLE, persons, employees.persons_of(newer)),
+        (EMPLOYMENT_TABLE, employment, employees.employment_of(newer)),
     ):
-        newest = materialize(current(whole, ids=batch), "current")
-        target = warehouse.snapshot("nds", table, schema)
-        merged = merge.upsert(target, newest, [employees.KEY], check_unique=False)
+        merged = merge.upsert(current, update, [employees.KEY], check_unique=False)
         warehouse.replace(merged, "nds", table)
     warehouse.append_batch(batch, "nds", LOG_TABLE)
     return request
 
 
+def rebuild_employees(warehouse: Warehouse) -> None:
+    """Current tables anew from the whole log, for a log filled by other means."""
+    newest = materialize(employees.newest_entries(employee_log(warehouse)), "newest-entries")
+    warehouse.replace(employees.persons_of(newest), "nds", PERSONS_TABLE)
+    warehouse.replace(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE)
+
+
 def apply_all_employees(warehouse: Warehouse) -> list[str]:
     """Work off the queue; the applied requests, oldest first."""
     applied = []

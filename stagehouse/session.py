@@ -48,9 +48,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/stagehouse/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below :func:`scratch_root`; nothing is created."""
-    return f"{scratch_root(spark)}/stagehouse/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application materialized, once its results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,11 @@ BATCH = "request_id"
 JDBC_BATCH = 10_000
 
 
+def tagged(schema: T.StructType) -> T.StructType:
+    """``schema`` behind the batch column."""
+    return T.StructType([T.StructField(BATCH, T.StringType()), *schema.fields])
+
+
 class Warehouse:
     """Tables below one root.
 
@@ -36,6 +42,11 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table.strip('/').replace('/', '_')}"
 
+    def _glob(self, pattern: str) -> list[str]:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [status.getPath().toString() for status in (fs.globStatus(path) or [])]
+
     # -- batch tables --------------------------------------------------------
     def append_batch(self, df: DataFrame, layer: str, table: str) -> None:
         (
@@ -56,18 +67,32 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
+    def batch(self, layer: str, table: str, schema: T.StructType, request_id: str | None):
+        """One batch. Only its own folder is listed and read."""
+        root = self.path(layer, table)
+        folder = f"{root}/{BATCH}={request_id}"
+        if request_id is None or not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(folder).select(*schema.fieldNames())
+
+    def batch_ids(self, layer: str, table: str) -> DataFrame:
+        """The ids of all batches, from the names of their folders."""
+        found = self._glob(f"{self.path(layer, table)}/{BATCH}=*")
+        ids = [(unquote(path.rsplit("=", 1)[1]),) for path in found]
+        return self.spark.createDataFrame(ids, f"{BATCH} string")
+
     def stage(self, table: str, schema: T.StructType) -> DataFrame:
-        tagged = T.StructType([T.StructField(BATCH, T.StringType()), *schema.fields])
-        return self.batches("stg", table, tagged)
+        return self.batches("stg", table, tagged(schema))
+
+    def staged(self, table: str, schema: T.StructType, request_id: str | None) -> DataFrame:
+        return self.batch("stg", table, tagged(schema), request_id)
 
     # -- snapshot tables -----------------------------------------------------
     def _versions(self, layer: str, table: str) -> list[str]:
         """Committed version folders, oldest first."""
-        jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, table)}/v=*/_SUCCESS")
-        fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = fs.globStatus(pattern)
-        return sorted(status.getPath().getParent().toString() for status in (found or []))
+        marks = self._glob(f"{self.path(layer, table)}/v=*/_SUCCESS")
+        return sorted(mark.rsplit("/", 1)[0] for mark in marks)
 
     def replace(self, df: DataFrame, layer: str, table: str) -> None:
         """Truncate and reload, without touching what readers have open."""
@@ -104,9 +129,8 @@ class Warehouse:
 
     def read_committed(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
         """Rows of the batches whose ledger request succeeded."""
-        tagged = T.StructType([T.StructField(BATCH, T.StringType()), *schema.fields])
         done = self.ledger.rows().where(F.col("status") == "SUCCESS").select(BATCH)
-        rows = self.batches(layer, table, tagged)
+        rows = self.batches(layer, table, tagged(schema))
         return rows.join(done, BATCH, "left_semi").select(*schema.fieldNames())
 
 

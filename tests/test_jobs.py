@@ -108,6 +108,9 @@ def test_employee_files(spark, warehouse, rows, tmp_path):
     assert rows(persons, "id_employee", "first_name") == [(1, "A"), (2, "X"), (3, "A")]
     employment = warehouse.snapshot("nds", jobs.EMPLOYMENT_TABLE, EMPLOYMENT)
     assert rows(employment, "id_employee") == [(1,), (2,), (3,)]
+    jobs.rebuild_employees(warehouse)
+    assert rows(warehouse.snapshot("nds", jobs.PERSONS_TABLE)) == rows(persons)
+    assert rows(warehouse.snapshot("nds", jobs.EMPLOYMENT_TABLE)) == rows(employment)
 
 
 def test_a_broken_off_run_is_done_again(spark, warehouse, rows, tmp_path, monkeypatch):

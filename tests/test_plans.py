@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
@@ -164,6 +165,34 @@ def test_current_state(spark, rows):
     assert rows(only, "id_employee") == [(1,)]
 
 
+def test_advancing_batch_by_batch_equals_the_whole_log(spark, rows):
+    from stagehouse.operators.merge import upsert
+    from stagehouse.schemas import EMPLOYMENT, PERSONS
+
+    rng = random.Random(7)
+    log = spark.createDataFrame([], EMPLOYEE_LOG)
+    persons, employment = spark.createDataFrame([], PERSONS), spark.createDataFrame([], EMPLOYMENT)
+    for number in range(3):
+        entries = [
+            (
+                f"r{number}", 100 * number + i, "CREATE", rng.randrange(12), f"N{number} {i}",
+                i, 2, 3, 4, 5, day(1), rng.choice([None, *(day(m) for m in range(1, 5))]), "u", 9,
+            )
+            for i in range(20)
+        ]
+        batch = spark.createDataFrame(entries, EMPLOYEE_LOG)
+        newer = employees.advance(batch, employment)
+        persons = upsert(persons, employees.persons_of(newer), ["id_employee"])
+        employment = upsert(employment, employees.employment_of(newer), ["id_employee"])
+        persons, employment = (
+            spark.createDataFrame(persons.collect(), PERSONS),
+            spark.createDataFrame(employment.collect(), EMPLOYMENT),
+        )
+        log = log.unionByName(batch)
+    assert rows(persons) == rows(employees.current_persons(log))
+    assert rows(employment) == rows(employees.current_employment(log))
+
+
 # --- emissions --------------------------------------------------------------
 def emission_tables(spark):
     objects = [
@@ -221,6 +250,13 @@ def test_normalise(spark, rows):
     ]
 
 
+def test_an_object_may_come_once(spark):
+    tables = emission_tables(spark)
+    tables["waste"] = tables["waste"].union(tables["waste"])
+    with pytest.raises(ValueError, match="comes 2 times"):
+        emissions.normalise(extract_emissions(tables))
+
+
 @pytest.mark.parametrize("code", ["V", None])
 def test_unknown_category_fails(spark, code):
     df = spark.createDataFrame([(1, code)], "nvos_id long, object_category string")

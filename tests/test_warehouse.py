@@ -26,6 +26,11 @@ def test_a_batch_replaces_itself_only(spark, warehouse, rows):
     found = warehouse.stage(name, SCHEMA)
     assert found.columns == ["request_id", "k", "v"]
     assert rows(found) == [("0042", 2, "b"), ("r1", 1, "a2")]
+    assert rows(warehouse.staged(name, SCHEMA, "0042")) == [("0042", 2, "b")]
+    assert warehouse.staged(name, SCHEMA, "none").count() == 0
+    assert warehouse.staged(name, SCHEMA, None).count() == 0
+    assert rows(warehouse.batch_ids("stg", name)) == [("0042",), ("r1",)]
+    assert warehouse.batch_ids("stg", "nothing").count() == 0
     pruned = found.where("request_id = 'r1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(request_id" in pruned
 
@@ -90,5 +95,17 @@ def test_several_tables_appear_together(spark, warehouse, rows):
     assert rows(warehouse.read_committed("x", "b", SCHEMA)) == [(2, "b")]
 
 
+def test_scratch_is_cleared(spark):
+    import os
+
+    from stagehouse.session import clear_scratch, materialize
+
+    df = materialize(frame(spark, (1, "a")), "t")
+    folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    assert os.path.exists(folder)
+    clear_scratch(spark)
+    assert not os.path.exists(folder)
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_root(spark).startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
