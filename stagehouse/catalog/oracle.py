@@ -165,6 +165,9 @@ SELECTS.update(
                 type_industry_cd, CAST(round(rosstat, 0) AS BIGINT) AS rosstat, create_date, date2, inn
             FROM com_latest JOIN all_type_com ON type_company = type_company_name
             JOIN all_type_ind ON type_industry = type_indystry_name""",
+        "composite_key": """
+            SELECT inv_id, service_id, concat(inv_id, service_id) AS compose_key
+            FROM fx_invoice_line""",
         "count_drift": f"""
             SELECT s.n AS source_count, t.n AS target_count, s.n <> t.n AS changed
             FROM (SELECT COUNT(*) AS n FROM fx_invoice_line) s, (SELECT COUNT(*) AS n FROM {_COPY}) t""",

@@ -413,6 +413,13 @@ def _source_and_copy(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 LINE_KEY = ["inv_id", "service_id"]
 
 
+@query
+def composite_key(spark, sf_dir):
+    lines = read_table(inputs.sales_source(spark, sf_dir), "invoice_line")
+    key = text.composite_key(F.col("inv_id"), F.col("service_id"))
+    return lines.select("inv_id", "service_id", key.alias("compose_key"))
+
+
 @query
 def count_drift(spark, sf_dir):
     return watermark.count_drift(*_source_and_copy(spark, sf_dir))

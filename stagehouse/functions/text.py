@@ -31,6 +31,15 @@ def first_group(column: Column, pattern: str) -> Column:
     return blank_to_null(F.regexp_extract(column, pattern, 1))
 
 
+def composite_key(*columns: Column) -> Column:
+    """The key parts as one text; a null part is skipped.
+
+    Different keys can read the same (1, 23 and 12, 3): compare keys as
+    structs, and use this where the text itself is wanted.
+    """
+    return F.concat_ws("", *columns)
+
+
 def name_part(column: Column, position: int) -> Column:
     """The ``position``-th blank-separated part; missing is ``''``, null stays null."""
     return F.split_part(column, F.lit(" "), F.lit(position))

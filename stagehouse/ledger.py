@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stagehouse.operators.filters import filter_not_in
 from stagehouse.schemas import LEDGER, struct
+from stagehouse.session import delete
 
 # States of a request.
 CREATED, RUNNING, SUCCESS, FAILED = "CREATE", "RUNNING", "SUCCESS", "FAILED"
@@ -105,6 +106,25 @@ class Ledger:
             .select(*LEDGER.fieldNames())
         )
 
+    def compact(self) -> None:
+        """Bring the many small event files into one, while no reader is at work.
+
+        The new file repeats the first and the last event of each request, and
+        repeated events change nothing, so a stop half-way does no harm.
+        """
+        if not path_exists(self.spark, self.path):
+            return
+        small = self._events().inputFiles()
+        last = self._events().groupBy("request_id").agg(F.max("at").alias("_last"))
+        opened = self.rows().withColumnRenamed("load_date", "at").select(*EVENTS.fieldNames())
+        closed = self.rows().join(last, "request_id").select(
+            "request_id", F.lit(None).alias("table_name"), F.lit(None).alias("filename"),
+            "status", F.col("_last").alias("at"),
+        )
+        opened.unionByName(closed).coalesce(1).write.mode("append").parquet(self.path)
+        for file in small:
+            delete(self.spark, file)
+
     def running(self, table: str) -> DataFrame:
         return running(self.rows(), table)
 

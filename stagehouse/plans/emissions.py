@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -227,7 +228,7 @@ def normalise(
     parsed = materialize(parsed_extract(extract), "emissions-parsed")
     one_row_per_object(parsed)
     with ThreadPoolExecutor(2) as pool:
-        addresses = pool.submit(dim_address, parsed, start)
+        addresses = pool.submit(copy_context().run, dim_address, parsed, start)
         organizations = organization_keys(parsed, start)
         address = addresses.result()
     parties = materialize(object_parties(parsed, organizations, address), "emissions-parties")

@@ -42,7 +42,7 @@ from stagehouse.schemas import (
     struct,
     text_only,
 )
-from stagehouse.session import materialize
+from stagehouse.session import job_scratch, materialize
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources.emissions import extract_emissions
 from stagehouse.sources.tables import TableSource, read_table
@@ -265,10 +265,11 @@ def apply_companies(warehouse: Warehouse, dedupe: bool = True) -> None:
         return
     types = warehouse.snapshot("nds", TYPE_COMPANY_TABLE, TYPE_COMPANY)
     industries = warehouse.snapshot("nds", TYPE_INDUSTRY_TABLE, TYPE_INDUSTRY)
-    new_types = reference.new_company_types(rows, types, dedupe)
-    new_industries = reference.new_company_industries(rows, industries, dedupe)
-    warehouse.replace(types.unionByName(new_types), "nds", TYPE_COMPANY_TABLE)
-    warehouse.replace(industries.unionByName(new_industries), "nds", TYPE_INDUSTRY_TABLE)
+    with job_scratch(warehouse.spark):
+        new_types = reference.new_company_types(rows, types, dedupe)
+        new_industries = reference.new_company_industries(rows, industries, dedupe)
+        warehouse.replace(types.unionByName(new_types), "nds", TYPE_COMPANY_TABLE)
+        warehouse.replace(industries.unionByName(new_industries), "nds", TYPE_INDUSTRY_TABLE)
     companies = reference.typed_companies(
         rows,
         warehouse.snapshot("nds", TYPE_COMPANY_TABLE, TYPE_COMPANY),
@@ -306,13 +307,19 @@ def apply_employees(warehouse: Warehouse, strict_text_key: bool = True) -> str |
     request = next_employee_request(warehouse)
     if request is None:
         return None
+    with job_scratch(warehouse.spark):
+        _apply_batch(warehouse, request, strict_text_key)
+    return request
+
+
+def _apply_batch(warehouse: Warehouse, request: str, strict_text_key: bool) -> None:
     rows = staged_file(warehouse, EMPLOYEE_XML, request)
     batch = materialize(
         changes.classify(rows, employee_log(warehouse), strict_text_key), "changes"
     )
     if batch.isEmpty():
         warehouse.ledger.close(request, ledger.EMPTY)
-        return request
+        return
     persons = warehouse.snapshot("nds", PERSONS_TABLE, PERSONS)
     employment = warehouse.snapshot("nds", EMPLOYMENT_TABLE, EMPLOYMENT)
     newer = materialize(employees.advance(batch, employment), "newer-entries")
@@ -323,14 +330,14 @@ def apply_employees(warehouse: Warehouse, strict_text_key: bool = True) -> str |
         merged = merge.upsert(current, update, [employees.KEY], check_unique=False)
         warehouse.replace(merged, "nds", table)
     warehouse.append_batch(batch, "nds", LOG_TABLE)
-    return request
 
 
 def rebuild_employees(warehouse: Warehouse) -> None:
     """Current tables anew from the whole log, for a log filled by other means."""
-    newest = materialize(employees.newest_entries(employee_log(warehouse)), "newest-entries")
-    warehouse.replace(employees.persons_of(newest), "nds", PERSONS_TABLE)
-    warehouse.replace(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE)
+    with job_scratch(warehouse.spark):
+        newest = materialize(employees.newest_entries(employee_log(warehouse)), "newest-entries")
+        warehouse.replace(employees.persons_of(newest), "nds", PERSONS_TABLE)
+        warehouse.replace(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE)
 
 
 def apply_all_employees(warehouse: Warehouse) -> list[str]:
@@ -375,25 +382,23 @@ def emissions_job(
     Readers see none of the six before the request succeeds. Keys go on from
     the last one in use unless ``start`` is given.
     """
-    extract = extract_emissions(tables, nvos_ids)
-    result = emissions.normalise(
-        extract,
-        next_start(warehouse) if start is None else start,
-        known_category=warehouse.read_committed(
-            EMISSIONS_LAYER, "object_category", OBJECT_CATEGORY
-        ),
-    )
     request = warehouse.ledger.open(EMISSIONS_LAYER)
-    ordered = {
-        name: getattr(result, name).select(*schema.fieldNames())
-        for name, schema in EMISSION_SCHEMAS.items()
-    }
     try:
-        warehouse.write_together(ordered, EMISSIONS_LAYER, request)
+        with job_scratch(warehouse.spark):
+            result = emissions.normalise(
+                extract_emissions(tables, nvos_ids),
+                next_start(warehouse) if start is None else start,
+                known_category=warehouse.read_committed(
+                    EMISSIONS_LAYER, "object_category", OBJECT_CATEGORY
+                ),
+            )
+            ordered = {
+                name: getattr(result, name).select(*schema.fieldNames())
+                for name, schema in EMISSION_SCHEMAS.items()
+            }
+            warehouse.write_together(ordered, EMISSIONS_LAYER, request)
     except Exception:
         warehouse.ledger.close(request, ledger.FAILED)
         raise
     warehouse.ledger.close(request, ledger.SUCCESS)
     return request
-
-

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +22,7 @@ SETTINGS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_job_folder: ContextVar[str | None] = ContextVar("job_folder", default=None)
 
 
 def build_session(app: str = "stagehouse", master: str | None = None, **conf: str) -> SparkSession:
@@ -53,17 +57,37 @@ def _own_scratch(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below :func:`scratch_root`; nothing is created."""
-    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name in the scratch folder; nothing is created."""
+    return f"{_job_folder.get() or _own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application materialized, once its results are written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     folder.getFileSystem(conf).delete(folder, True)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all this application has materialized, once its results are written."""
+    delete(spark, _own_scratch(spark))
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was materialized inside.
+
+    For jobs that leave their results in tables of their own. Threads started
+    inside take part when they run in a copy of the context.
+    """
+    folder = scratch_path(spark, "job")
+    token = _job_folder.set(folder)
+    try:
+        yield
+    finally:
+        _job_folder.reset(token)
+        delete(spark, folder)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` with a parquet table in the shared folder.
 

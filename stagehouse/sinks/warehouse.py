@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from stagehouse.ledger import Ledger, path_exists
 from stagehouse.operators.typing import tag_batch
+from stagehouse.session import delete
 
 BATCH = "request_id"
 JDBC_BATCH = 10_000
@@ -113,12 +114,9 @@ class Warehouse:
 
     def expire(self, layer: str, table: str, keep: int = 2) -> int:
         """Delete all but the newest ``keep`` versions; returns how many went."""
-        jvm = self.spark.sparkContext._jvm
         old = self._versions(layer, table)[: -max(keep, 1)]
         for version in old:
-            folder = jvm.org.apache.hadoop.fs.Path(version)
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            folder.getFileSystem(conf).delete(folder, True)
+            delete(self.spark, version)
         return len(old)
 
     # -- several tables at once ----------------------------------------------

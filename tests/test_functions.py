@@ -124,3 +124,9 @@ def test_route_priority(spark):
     assert apply(spark, text.route_by_name, names) == [
         "region", "companies", "employee", None, None,
     ]
+
+
+def test_composite_key(spark):
+    df = spark.createDataFrame([(1, 23), (12, 3), (5, None), (None, None)], "a long, b long")
+    keys = [r[0] for r in df.select(text.composite_key(F.col("a"), F.col("b"))).collect()]
+    assert keys == ["123", "123", "5", ""]

@@ -73,6 +73,19 @@ def test_ledger(warehouse, rows):
     assert rows(log.rows().where("status = 'CREATE'"), "table_name") == [("X",), ("Y",)]
 
 
+def test_a_compacted_ledger_reads_the_same(spark, warehouse, rows):
+    log = warehouse.ledger
+    log.compact()
+    ids = [log.open("T", f"{i}.xml") for i in range(3)]
+    log.close(ids[0], ledger.SUCCESS)
+    log.close(ids[1], ledger.FAILED)
+    before = rows(log.rows())
+    log.compact()
+    assert rows(log.rows()) == before and len(log._events().inputFiles()) == 1
+    log.close(ids[2], ledger.SUCCESS)
+    assert rows(log.loaded_files()) == [("0.xml",), ("2.xml",)]
+
+
 def test_ledger_frames(spark, rows):
     entries = spark.createDataFrame(
         [("1", "a", "SUCCESS"), ("2", "b", "RUNNING"), ("3", "c", "FAILED"), ("4", "d", None)],
@@ -107,5 +120,16 @@ def test_scratch_is_cleared(spark):
     assert not os.path.exists(folder)
 
 
+def test_a_job_leaves_no_scratch(spark):
+    import os
+
+    from stagehouse.session import job_scratch, materialize
+
+    with job_scratch(spark):
+        inside = materialize(frame(spark, (1, "a")), "t").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(inside)
+    assert not os.path.exists(inside)
+
+
 def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_root(spark).startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
