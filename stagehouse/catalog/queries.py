@@ -26,7 +26,7 @@ from stagehouse.schemas import (
     SALES_TABLES,
     STAGE_NAMES,
 )
-from stagehouse.session import scratch_path
+from stagehouse.session import materialize, scratch_path
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources.emissions import extract_emissions
 from stagehouse.sources.tables import read_table
@@ -556,7 +556,7 @@ def dim_category(spark, sf_dir):
 
 @query
 def emission_objects(spark, sf_dir):
-    extract = _extract(spark, sf_dir)
+    extract = materialize(_extract(spark, sf_dir), "extract")
     return plain(emissions.objects(extract, emissions.dim_category(extract)))
 
 

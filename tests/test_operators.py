@@ -324,8 +324,10 @@ def no_broadcast(spark):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.3",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        # A hot partition is cut between map outputs, so there must be several.
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
@@ -360,3 +362,67 @@ def test_hot_key_is_split_in_a_lookup(spark, no_broadcast):
     df = lookup.lookup(hot(spark), "id_employee", index, "key", "name")
     assert "skew=true" in plan_after_run(df)
     assert df.where("name is null").count() == hot(spark).where(F.col("id_employee") >= 400).count()
+
+
+def test_hot_employee_is_split_in_change_capture(spark, no_broadcast):
+    columns = [F.lit("1").alias(n) for n in EMPLOYEE_NDS.fieldNames()[2:7]]
+    batch = hot(spark).select(
+        F.lit("new").alias("request_id"), F.col("id").alias("record_id"),
+        F.col("id_employee").cast("string"), F.col("t").alias("fio"), *columns,
+        F.lit("1990-01-01").alias("birth_date"), F.lit("2024-01-01").alias("date_devations"),
+        F.lit("u").alias("uik"), F.lit("1").alias("uik_num"),
+    )
+    known = log_frame(spark, [("old", "CREATE", i) for i in range(400)])
+    df = changes.classify(batch, known)
+    assert "skew=true" in plan_after_run(df)
+    assert changes.created(df).count() == hot(spark).where("id_employee >= 400").count()
+
+
+def test_hot_tuple_is_split_in_a_null_safe_join(spark, no_broadcast):
+    dim = keys.surrogate_keys(hot(spark), ["id_employee"], "number", start=0)
+    df = joins.join_null_safe(hot(spark), dim, ["id_employee"])
+    assert "skew=true" in plan_after_run(df)
+    assert df.where("number is null").count() == 0
+
+
+def hot_stage(spark, lines, sales):
+    """500 services in 20 lines, each in a resort of its own; 500 customers."""
+    identity = F.col("id")
+    return {
+        "invoice_line": lines,
+        "sales": sales,
+        "service": spark.range(500).select(
+            identity.alias("service_id"), (identity % 20).alias("sl_id"),
+            F.lit(2).cast("decimal(12,2)").alias("price"),
+        ),
+        "service_line": spark.range(20).select(
+            identity.alias("sl_id"), identity.alias("resort_id")
+        ),
+        "resort": spark.range(20).select(
+            identity.alias("resort_id"), (identity % 3).alias("country_id")
+        ),
+        "customer": spark.range(500).select(
+            identity.alias("cust_id"), (identity % 9).alias("sales_id")
+        ),
+    }
+
+
+@pytest.mark.parametrize("side", ["service", "customer", "invoice"])
+def test_hot_key_is_split_in_the_fact(spark, no_broadcast, side):
+    from stagehouse.plans.star import fact_sale
+
+    spread, hot_id = F.col("id") % 500, F.col("id_employee")
+    rows_ = hot(spark)
+    lines = rows_.select(
+        (F.col("id") if side != "invoice" else hot_id).alias("inv_id"),
+        (hot_id if side == "service" else F.pmod(F.xxhash64("id"), F.lit(500))).alias("service_id"),
+        F.xxhash64("id").alias("days"), F.xxhash64("t").alias("nb_guests"),
+    )
+    sales = rows_.select(
+        F.col("id").alias("inv_id"),
+        (hot_id if side == "customer" else spread).alias("cust_id"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("invoice_date"),
+    )
+    df = fact_sale(hot_stage(spark, lines, sales))
+    assert "skew=true" in plan_after_run(df)
+    assert df.count() == 60_000
