@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stagehouse.ledger import Ledger, path_exists
+from stagehouse.ledger import SUCCESS, Ledger, path_exists
+from stagehouse.operators.joins import unplaced
 from stagehouse.operators.typing import tag_batch
 from stagehouse.session import delete
 
@@ -127,7 +128,7 @@ class Warehouse:
 
     def read_committed(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
         """Rows of the batches whose ledger request succeeded."""
-        done = self.ledger.rows().where(F.col("status") == "SUCCESS").select(BATCH)
+        done = unplaced(self.ledger.rows().where(F.col("status") == SUCCESS).select(BATCH))
         rows = self.batches(layer, table, tagged(schema))
         return rows.join(done, BATCH, "left_semi").select(*schema.fieldNames())
 
