@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stagehouse import ledger
 from stagehouse.functions.buckets import HISTORY, REPEATED, AgeBuckets
 from stagehouse.functions.dates import SUNDAY_FIRST
+from stagehouse.functions.text import route_by_name
 from stagehouse.operators import changes, merge, watermark
 from stagehouse.plans import emissions, employees, marts, reference, star
 from stagehouse.schemas import (
@@ -46,7 +47,7 @@ from stagehouse.session import job_scratch, materialize
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources.emissions import extract_emissions
 from stagehouse.sources.tables import TableSource, read_table
-from stagehouse.sources.xml import read_xml
+from stagehouse.sources.xml import list_files, move_file, read_xml
 
 # Spark runs jobs from several driver threads side by side, which fills the
 # cluster while the small tables are written.
@@ -226,6 +227,44 @@ def stage_file(
     return request
 
 
+RECORDS = {"region": REGION_XML, "companies": COMPANY_XML, "employee": EMPLOYEE_XML}
+
+
+def register_new_file(warehouse: Warehouse, folder: str) -> str | None:
+    """Open a request for the first file of ``folder`` that is not loaded yet.
+
+    For a folder polled by a scheduler instead of a stream: the ledger is then
+    the only memory. Names decide the table, regions before companies before
+    employees, then the alphabet; a name without a table is left alone.
+    """
+    listing = list_files(warehouse.spark, folder)
+    order = F.array_position(F.array(*[F.lit(route) for route in RECORDS]), F.col("route"))
+    first = (
+        ledger.new_files(listing, warehouse.ledger.rows())
+        .withColumn("route", route_by_name(F.col("filename")))
+        .where(F.col("route").isNotNull())
+        .orderBy(order, "filename")
+        .first()
+    )
+    if first is None:
+        return None
+    return warehouse.ledger.open(RECORDS[first["route"]].table, first["filename"])
+
+
+def stage_running(
+    warehouse: Warehouse, record: RecordType, folder: str, archive: str | None = None
+) -> str | None:
+    """Stage the file of the table's running request, then move it to ``archive``."""
+    running = warehouse.ledger.running(record.table).first()
+    if running is None:
+        return None
+    path = f"{folder.rstrip('/')}/{running['filename']}"
+    stage_file(warehouse, record, path, running["filename"], running["request_id"])
+    if archive:
+        move_file(warehouse.spark, path, archive)
+    return running["request_id"]
+
+
 def next_record_id(warehouse: Warehouse, request_id: str) -> int:
     """One past the record ids of the last employee file, which hold the greatest."""
     earlier = warehouse.ledger.rows().where(

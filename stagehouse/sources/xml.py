@@ -120,3 +120,14 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
             F.col("modificationTime").alias("modified"),
         )
     )
+
+
+def move_file(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a processed file into ``folder``, in place of one of that name."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(path), hadoop.Path(folder, path.rsplit("/", 1)[-1])
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(folder))
+    fs.delete(target, False)
+    if not fs.rename(source, target):
+        raise OSError(f"cannot move {path} to {folder}")

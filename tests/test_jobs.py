@@ -161,6 +161,33 @@ def test_company_files_append(spark, warehouse, rows, tmp_path):
     ]
 
 
+def test_polled_folder(spark, warehouse, rows, tmp_path):
+    queue, archive = tmp_path / "queue", tmp_path / "archive"
+    queue.mkdir()
+    put(queue, "employee_1.xml", EMPLOYEE_XML, [xmlfiles.employee(1)])
+    put(queue, "region_1.xml", REGION_XML, [xmlfiles.region(1)])
+    (queue / "note.txt").write_text("x")
+    assert jobs.stage_running(warehouse, REGION_XML, str(queue)) is None
+    request = jobs.register_new_file(warehouse, str(queue))
+    assert jobs.stage_running(warehouse, EMPLOYEE_XML, str(queue)) is None
+    assert jobs.stage_running(warehouse, REGION_XML, str(queue), str(archive)) == request
+    assert [p.name for p in archive.iterdir() if not p.name.startswith(".")] == ["region_1.xml"]
+    request = jobs.register_new_file(warehouse, str(queue))
+    jobs.stage_running(warehouse, EMPLOYEE_XML, str(queue), str(archive))
+    assert jobs.apply_all_employees(warehouse) == [request]
+    assert jobs.register_new_file(warehouse, str(queue)) is None
+    # A file that failed is new again; one of a loaded name is not.
+    (queue / "region_2.xml").write_text("<records><record>")
+    failed = jobs.register_new_file(warehouse, str(queue))
+    with pytest.raises(ValueError, match="cut off"):
+        jobs.stage_running(warehouse, REGION_XML, str(queue), str(archive))
+    put(queue, "region_1.xml", REGION_XML, [xmlfiles.region(1)])
+    again = jobs.register_new_file(warehouse, str(queue))
+    assert again not in (failed, None)
+    found = warehouse.ledger.rows().where("filename = 'region_2.xml'")
+    assert rows(found, "status") == [("FAILED",), ("RUNNING",)]
+
+
 # --- folder stream ----------------------------------------------------------
 def run_watch(spark, tmp_path, warehouse, **options):
     query = watch_folder(
