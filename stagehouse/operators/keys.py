@@ -80,19 +80,22 @@ def surrogate_keys(
     inside their partition, and each partition is shifted by the size of those
     before it. The numbered tuples are written once, so both uses see the same
     partitions even when an executor is lost. Tuples are distinct before they
-    move, hence no range can be filled by one value.
+    move, hence no range can be filled by one value. Without ``partitions``
+    AQE brings small ranges together; the numbers do not depend on it.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tuples = df.select(*columns).distinct()
+    ranged = (
+        tuples.repartitionByRange(partitions, *columns)
+        if partitions
+        else tuples.repartitionByRange(*columns)
+    )
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     numbered = materialize(
-        df.select(*columns)
-        .distinct()
-        .repartitionByRange(n, *columns)
-        .sortWithinPartitions(*columns)
+        ranged.sortWithinPartitions(*columns)
         .select(*columns, F.spark_partition_id().alias("_part"), position.alias("_pos")),
         "surrogate-keys",
     )
-    # One row per range partition, at most n of them.
+    # One row per range partition: as many as there are shuffle partitions at most.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = (
         numbered.groupBy("_part")

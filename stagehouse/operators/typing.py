@@ -13,8 +13,10 @@ def _timestamp(column: Column, fmt: str | None, strict: bool) -> Column:
     if fmt is None:
         kind = T.TimestampNTZType()
         return column.cast(kind) if strict else column.try_cast(kind)
-    parse = F.to_timestamp if strict else F.try_to_timestamp
-    return parse(column, fmt if strict else F.lit(fmt)).cast(T.TimestampNTZType())
+    parsed = F.to_timestamp_ntz(column, F.lit(fmt))
+    if strict:
+        return parsed
+    return F.when(F.try_to_timestamp(column, F.lit(fmt)).isNotNull(), parsed)
 
 
 def typed(

@@ -63,6 +63,13 @@ def test_dotted_date_needs_a_format(spark):
         typing.to_typed(df, COMPANY_NDS).collect()
     row = typing.to_typed(df, COMPANY_NDS, timestamp_format="dd.MM.yyyy").first()
     assert row.create_date == dt.datetime(2023, 2, 1)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    gap = text_frame(spark, COMPANY_NDS, create_date="12.03.2023 02:30")
+    try:
+        row = typing.to_typed(gap, COMPANY_NDS, timestamp_format="dd.MM.yyyy HH:mm").first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.create_date == dt.datetime(2023, 3, 12, 2, 30)
     wrong = text_frame(spark, COMPANY_NDS, create_date="2023-02-01")
     kept = typing.to_typed(
         wrong, COMPANY_NDS, timestamp_format="dd.MM.yyyy", on_error="quarantine"
