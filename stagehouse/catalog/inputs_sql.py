@@ -1,7 +1,7 @@
 """The tables of ``inputs`` as SQL views, by name."""
 
 VIEWS = {
-    # club sales
+    # sales
     "fx_age_group": """
         SELECT DISTINCT (a // 10) AS age_group_id, (a // 10) * 10 AS age_min,
                (a // 10) * 10 + 9 AS age_max,

@@ -362,12 +362,19 @@ def _apply_batch(warehouse: Warehouse, request: str, strict_text_key: bool) -> N
     persons = warehouse.snapshot("nds", PERSONS_TABLE, PERSONS)
     employment = warehouse.snapshot("nds", EMPLOYMENT_TABLE, EMPLOYMENT)
     newer = materialize(employees.advance(batch, employment), "newer-entries")
-    for table, current, update in (
-        (PERSONS_TABLE, persons, employees.persons_of(newer)),
-        (EMPLOYMENT_TABLE, employment, employees.employment_of(newer)),
-    ):
+
+    def write(table: str, current: DataFrame, update: DataFrame) -> Callable[[], None]:
         merged = merge.upsert(current, update, [employees.KEY], check_unique=False)
-        warehouse.replace(merged, "nds", table)
+        return lambda: warehouse.replace(merged, "nds", table)
+
+    # Should one of the two writes fail, the next try decides by the employment
+    # table: as it was, or as this batch left it, it picks the same rows.
+    side_by_side(
+        [
+            write(PERSONS_TABLE, persons, employees.persons_of(newer)),
+            write(EMPLOYMENT_TABLE, employment, employees.employment_of(newer)),
+        ]
+    )
     warehouse.append_batch(batch, "nds", LOG_TABLE)
 
 

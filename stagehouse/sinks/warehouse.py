@@ -69,7 +69,9 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
-    def batch(self, layer: str, table: str, schema: T.StructType, request_id: str | None):
+    def batch(
+        self, layer: str, table: str, schema: T.StructType, request_id: str | None
+    ) -> DataFrame:
         """One batch. Only its own folder is listed and read."""
         root = self.path(layer, table)
         folder = f"{root}/{BATCH}={request_id}"
