@@ -1,4 +1,8 @@
-"""The tables of ``inputs`` as SQL views, by name."""
+"""The tables of ``inputs`` as SQL views, by name.
+
+Fixed values here (address patterns, ledger table names) are those of
+``functions.address`` and ``schemas``.
+"""
 
 VIEWS = {
     # sales

@@ -22,6 +22,8 @@ for _t in SALES_TABLES:
     SELECTS[f"scan_{_t}"] = f"SELECT {_columns(_t)} FROM fx_{_t}"
     SELECTS[f"stage_{_t}"] = f"SELECT 'batch-{_t}' AS request_id, {_columns(_t)} FROM fx_{_t}"
 
+# Weekday and category names, and the regions, companies and
+# employees tables of the ledger, are those of the modules under test.
 _WEEKDAYS = (
     "['Воскресенье', 'Понедельник', 'Вторник', 'Среда', 'Четверг', 'Пятница', 'Суббота']"
 )
