@@ -7,14 +7,16 @@ the benchmark item along the hit's diagonal, and the overlap is confirmed when
 some window of ``window`` tokens (the whole item, where it is shorter) agrees in
 at least ``least`` of its tokens.
 
-Tokens are runs of letters and digits, lower-cased. Two ways lead to the same
+Tokens are lower-cased runs of ASCII letters and digits and of any characters
+beyond ASCII. All masks begin with the same two positions, so a position is
+looked up by its first two tokens before it is hashed by each mask. Two ways lead to the same
 rows. With few benchmark seeds (a bound checked by counting them) the seed table
 and the items are broadcast, and texts are scanned once without being moved.
 With more, seeds are joined by a shuffle and the hits come back to their texts.
 
 Defined cases: a null or empty text has no tokens and no hit; a text or item
-shorter than a mask is not seeded by it, so an item shorter than all masks has
-to be matched by the mask ``whole`` of its own length; documents and items that
+shorter than a mask is not seeded by it, and one shorter than all masks (eight
+tokens) overlaps with nothing; documents and items that
 share an id are told apart by their texts but reported under that id; repeated
 rows are reported once; an empty table on either side gives no rows; further
 columns are ignored.
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from stagehouse.llm.common import read_table
 from stagehouse.session import materialize
 
-# Fixed masks: span 8, weight 5 or 6.
+# Fixed masks; each begins with HEAD.
+HEAD = "11"
 MASKS = ("11101011", "11011011", "1100010111")
 WINDOW = 13
 LEAST = 0.75
@@ -38,7 +41,14 @@ BROADCAST_SEEDS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    """Runs of ASCII letters, digits and characters beyond ASCII, lower-cased."""
+    pattern = F.lit(r"[a-z0-9\x{80}-\x{10FFFF}]+")
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), pattern, 0)
+
+
+def _tokenized(rows: DataFrame, name: str, *kept: str | Column) -> DataFrame:
+    """Tokens as the output of a generator: computed once per text, never again per seed."""
+    return rows.select(*kept, F.explode(F.array(tokens(F.col("text")))).alias(name))
 
 
 def _hash(array: str, at: Column, mask: str, number: int) -> Column:
@@ -46,60 +56,51 @@ def _hash(array: str, at: Column, mask: str, number: int) -> Column:
     return F.xxhash64(F.lit(number), *picked)
 
 
-def _seeds(rows: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
-    """Explode to one row per position and mask: adds ``at`` and ``seed``.
+def _head(array: str) -> Column:
+    return _hash(array, F.col("at"), HEAD, -1)
 
-    Positions end where the shortest mask still fits; longer masks are left out
-    beyond their own end.
-    """
-    size = F.size(array)
-    shortest = min(map(len, masks))
-    placed = rows.where(size >= shortest).withColumn(
-        "at", F.explode(F.sequence(F.lit(0), size - shortest))
-    )
+
+def _positions(rows: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
+    """One row per position where the shortest mask fits: adds ``at``."""
+    last = F.size(array) - min(map(len, masks))
+    return rows.where(last >= 0).withColumn("at", F.explode(F.sequence(F.lit(0), last)))
+
+
+def _seeds(placed: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
+    """One row per position and mask that fits there: adds ``seed``."""
     hashed = [
-        F.when(F.col("at") + len(m) <= size, _hash(array, F.col("at"), m, n)) for n, m in enumerate(masks)
+        F.when(F.col("at") + len(m) <= F.size(array), _hash(array, F.col("at"), m, n))
+        for n, m in enumerate(masks)
     ]
     return placed.withColumn("seed", F.explode(F.array(*hashed))).where("seed is not null")
 
 
-def _short_items(items: DataFrame, masks: Sequence[str]) -> DataFrame:
-    return items.where((F.size("item_tokens") > 0) & (F.size("item_tokens") < min(map(len, masks))))
-
-
-def best_window(doc: str, item: str, start: Column, window: int) -> Column:
-    """Most tokens that agree in a window of the item laid on the document from ``start``.
+def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
+    """``hits`` carry doc_tokens, item_tokens and ``start``; keeps the confirmed ones.
 
     ``start`` may be negative (the item's beginning lies before the document);
-    places outside the document agree with nothing.
+    places outside the document agree with nothing. The agreement is a
+    generator's output, so that it is computed once per hit.
     """
-    size = F.size(item)
+    start, size = F.col("start"), F.size("item_tokens")
+    width = F.least(size, F.lit(window))
     agree = F.transform(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: F.when(
-            (start + i >= 0) & (F.get(F.col(doc), F.greatest(start + i, F.lit(0))) == F.get(F.col(item), i)), 1
+        F.col("item_tokens"),
+        lambda token, i: F.when(
+            (start + i >= 0) & (F.get(F.col("doc_tokens"), F.greatest(start + i, F.lit(0))) == token), 1
         ).otherwise(0),
     )
-    width = F.least(size, F.lit(window))
     sums = F.transform(
-        F.sequence(F.lit(0), size - width),
-        lambda i: F.aggregate(F.slice(F.col("_agree"), i + 1, width), F.lit(0), lambda a, b: a + b),
+        F.sequence(F.lit(0), F.size("agree") - F.col("compared")),
+        lambda i: F.aggregate(F.slice("agree", i + 1, F.col("compared")), F.lit(0), lambda a, b: a + b),
     )
-    return agree, F.array_max(sums)
-
-
-def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
-    """``hits`` carry doc_tokens, item_tokens and ``start``; keeps the confirmed ones."""
-    start = F.col("start")
-    agree, best = best_window("doc_tokens", "item_tokens", start, window)
-    width = F.least(F.size("item_tokens"), F.lit(window))
-    return (
-        hits.withColumn("_agree", agree)
-        .withColumn("matched", best)
-        .withColumn("compared", width)
-        .where(F.col("matched") >= F.ceil(F.lit(least) * width))
-        .drop("_agree", "doc_tokens", "item_tokens")
+    compared = hits.select(
+        "doc_id", "item_id", "start", width.alias("compared"), F.explode(F.array(agree)).alias("agree")
     )
+    best = compared.select(
+        "doc_id", "item_id", "start", "compared", F.explode(F.array(F.array_max(sums))).alias("matched")
+    )
+    return best.where(F.col("matched") >= F.ceil(F.lit(least) * F.col("compared")))
 
 
 def contaminated(
@@ -115,18 +116,23 @@ def contaminated(
     Columns: ``doc_id``, ``item_id``, ``matched`` and ``compared`` tokens of the
     best window, ``start`` (where the item's first token lies in the document).
     """
-    items = benchmark.select("item_id", tokens(F.col("text")).alias("item_tokens")).distinct()
+    items = _tokenized(benchmark, "item_tokens", "item_id").distinct()
     items = materialize(items, "items")
-    seeds = _seeds(items, "item_tokens", masks).select("seed", "item_id", F.col("at").alias("item_at"), "item_tokens")
+    places = _positions(items, "item_tokens", masks)
+    seeds = _seeds(places, "item_tokens", masks).select(
+        "seed", _head("item_tokens").alias("head"), "item_id", F.col("at").alias("item_at"), "item_tokens"
+    )
     seeds = materialize(seeds.distinct(), "item-seeds")
     few = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
-    texts = docs.select("doc_id", tokens(F.col("text")).alias("doc_tokens"))
     if few:
-        placed = _seeds(texts, "doc_tokens", masks)
-        hits = placed.join(F.broadcast(seeds), "seed")
+        texts = _tokenized(docs, "doc_tokens", "doc_id")
+        heads = F.broadcast(seeds.select("head").distinct())
+        placed = _positions(texts, "doc_tokens", masks).withColumn("head", _head("doc_tokens"))
+        placed = _seeds(placed.join(heads, "head", "left_semi"), "doc_tokens", masks)
+        hits = placed.join(F.broadcast(seeds.drop("head")), "seed")
     else:
-        keyed = docs.select("doc_id", F.xxhash64("text").alias("tag"), tokens(F.col("text")).alias("doc_tokens"))
-        placed = _seeds(keyed, "doc_tokens", masks).select("seed", "doc_id", "tag", "at")
+        keyed = _tokenized(docs, "doc_tokens", "doc_id", F.xxhash64("text").alias("tag"))
+        placed = _seeds(_positions(keyed, "doc_tokens", masks), "doc_tokens", masks).select("seed", "doc_id", "tag", "at")
         met = placed.join(seeds, "seed").select("doc_id", "tag", "at", "item_id", "item_at", "item_tokens")
         met = met.withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
         same = keyed["doc_id"].eqNullSafe(met["_id"]) & (keyed["tag"] == met["_tag"])
