@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from stagehouse.llm import chat, mixing
+from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc
 
 QUERIES = {
+    "op1_language_id": langid.op1_language_id,
+    "op2_decontaminate": decontam.op2_decontaminate,
+    "op3_suffix_dedup": suffix.op3_suffix_dedup,
+    "op4_lm_score": ctw.op4_lm_score,
     "op5_source_mix": mixing.op5_source_mix,
+    "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
+    "op7_warc": warc.op7_warc,
+    "op8_embedding_neardup": embed.op8_embedding_neardup,
+    "op9_quality": quality.op9_quality,
     "op10_chat_format": chat.op10_chat_format,
 }
 
