@@ -19,8 +19,9 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 U = np.uint64
 
 
-def as_bytes(texts: Sequence[str | None]) -> list[bytes]:
-    return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
+def as_bytes(texts: Sequence[bytes | str | None]) -> list[bytes]:
+    """Texts as UTF-8; tasks get them as binary, which spares a decoding and a copy."""
+    return [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in texts]
 
 
 def blocks(texts: Sequence[bytes], most: int = BLOCK) -> Iterator[tuple[int, int]]:
@@ -51,6 +52,16 @@ def word_spans(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of an array by significance, so that small numbers compress to little."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)

@@ -19,8 +19,8 @@ are expanded to one suffix per start, which pass through the same levels. A core
 with several surroundings within a batch is sent on to expansion right there, so
 a frequent passage adds at most one entry per batch to its bucket.
 
-Suffixes are compared by two hashes of their whole bytes (128 bits, or 64 bits and
-the 64 of their core).
+Suffixes are compared by 96 bits: a hash of their whole bytes and 32 bits of another
+(of their core, or of all bytes). Two cores that agree in 32 bits of a bucket are only expanded in vain.
 
 Defined cases: a null text is empty; a null id comes before all others; rows that
 share an id are ordered by a hash of their text, and rows that also share the text
@@ -48,10 +48,10 @@ WINDOW = 61
 GRAM = 8
 CORE = LENGTH - WINDOW + 1
 # A text longer than this is worked on in pieces that overlap.
-PIECE = 1 << 20
+PIECE = 1 << 19
 # Suffixes sorted into one array of a batch.
-ARRAY = 1 << 20
-BUCKET = 20 << 20
+ARRAY = 1 << 19
+BUCKET = 16 << 20
 FIRST_ID = -(1 << 63)
 # What an entry says: a suffix; a core with several surroundings; a repeat; a block to expand.
 SUFFIX, SEVERAL, REPEAT, EXPAND = 0, 1, 2, 3
@@ -80,7 +80,7 @@ def _pieces(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
             part = text[at : at + PIECE + LENGTH - 1]
             held.append((i, at, min(PIECE, starts - at), part))
             size += len(part)
-            if size >= B.BLOCK:
+            if size >= PIECE:
                 yield flush()
                 held, size = [], 0
     if held:
@@ -199,7 +199,7 @@ def _batch_array(core, suffix, doc, start, count, expand: bool) -> tuple[Arrays,
 
 
 PACKED = "bucket int, core binary, suffix binary, doc binary, start binary, count binary, kind binary"
-KINDS = (np.uint64, np.uint64, np.int64, np.int64, np.uint8, np.uint8)
+KINDS = (np.uint32, np.uint64, np.int64, np.int64, np.uint8, np.uint8)
 COLUMNS = [f.split()[0] for f in PACKED.split(", ")]
 
 
@@ -217,9 +217,9 @@ def _pack(array: Arrays, aside: Arrays, buckets: int) -> pd.DataFrame:
         mine, other = order[edge[k] : edge[k + 1]], by_spread[far[k] : far[k + 1]]
         if not len(mine) and not len(other):
             continue
-        columns = [core[mine], suffix[mine]]
+        columns = [core[mine] & B.U(0xFFFFFFFF), suffix[mine]]
         columns += [np.concatenate([a[mine], b[other]]) for a, b in zip(array[2:], aside, strict=True)]
-        rows.append((k, *(c.astype(t).tobytes() for c, t in zip(columns, KINDS, strict=True))))
+        rows.append((k, *(B.planes(c.astype(t)) for c, t in zip(columns, KINDS, strict=True))))
     return pd.DataFrame(rows, columns=COLUMNS)
 
 
@@ -298,7 +298,7 @@ def _scan(frame: pd.DataFrame) -> pd.DataFrame:
     levels, several, aside = Levels(), [], []
     for row in frame.itertuples():
         core, suffix, doc, start, count, kind = (
-            np.frombuffer(getattr(row, c), dtype=t) for c, t in zip(COLUMNS[1:], KINDS, strict=True)
+            B.from_planes(getattr(row, c), t) for c, t in zip(COLUMNS[1:], KINDS, strict=True)
         )
         n = len(core)
         aside.append((doc[n:], start[n:], count[n:], kind[n:]))
@@ -350,10 +350,12 @@ def _by_document(found: DataFrame, name: str) -> DataFrame:
 def _find(numbered: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """Repeats per document: those of whole blocks, and those of expanded starts."""
     buckets = parts_for(total, BUCKET)
-    suffixes = numbered.select("doc", "copy", "text").mapInPandas(_emit(buckets, True), PACKED)
+    suffixes = numbered.select("doc", "copy", F.col("text").cast("binary").alias("text")).mapInPandas(_emit(buckets, True), PACKED)
     blocks = materialize(suffixes.groupBy("bucket").applyInPandas(_scan, FOUND), "blocks")
     asked = _by_document(blocks.where(F.col("kind") == EXPAND), "blocks")
-    texts = numbered.select("doc", "copy", "text").join(asked, ["doc", "copy"])
+    # In the order of the final join's columns, so that both joins read one exchange of the texts.
+    texts = numbered.select("text", "doc", "copy").join(asked, ["doc", "copy"])
+    texts = texts.select("doc", "copy", F.col("text").cast("binary").alias("text"), "blocks")
     singles = texts.mapInPandas(_emit(buckets, False), PACKED).groupBy("bucket").applyInPandas(_scan, FOUND)
     return blocks.where(F.col("kind") == REPEAT), singles.where(F.col("kind") == REPEAT)
 
@@ -398,7 +400,7 @@ def _deduplicated(docs: DataFrame, with_text: bool) -> DataFrame:
     whole, single = _find(numbered, total)
     lists = _by_document(whole.unionByName(single), "repeats")
     joined = numbered.join(lists, ["doc", "copy"], "left")
-    cut = F.pandas_udf(_cut(with_text), CUT)("text", "repeats")
+    cut = F.pandas_udf(_cut(with_text), CUT)(F.col("text").cast("binary"), "repeats")
     return joined.withColumn("cut", cut).drop("repeats", "copy")
 
 
