@@ -36,8 +36,8 @@ from stagehouse.llm.langid import fold
 from stagehouse.session import materialize
 
 DEPTH = 2
-BATCH = 24 << 20
-BUCKET = 24 << 20
+BATCH = 16 << 20
+BUCKET = 16 << 20
 # Codes gathered before they are counted.
 GATHERED = 1 << 23
 
@@ -87,7 +87,7 @@ def context_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    return texts.select("text").mapInPandas(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select(F.col("text").cast("binary").alias("text")).mapInPandas(count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -291,6 +291,7 @@ def score(docs: DataFrame) -> DataFrame:
     ends = training.count()
     batches, buckets = parts_for(total, BATCH), parts_for(total, BUCKET)
     dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).cast("int"))
+    dealt = dealt.withColumn("text", F.col("text").cast("binary"))
     asked = dealt.groupBy("batch").applyInPandas(_ask(buckets), "bucket int, batch int, words binary, n binary")
     answered = materialize(
         asked.groupBy("bucket").applyInPandas(

@@ -288,7 +288,7 @@ class _Checker:
         ids = materialize(
             self.classes.join(ends, "sig", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "ends"
         )
-        texts = self.docs.join(ids, "doc_id", "left_semi").select("text")
+        texts = self.docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("binary").alias("text"))
         sets = texts.mapInPandas(_exact_sets, "sig long, members array<long>")
         sets = materialize(sets.join(ends, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
         left = sets.select(F.col("sig").alias("a"), F.col("members").alias("set_a"))
@@ -303,8 +303,9 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
+    texts = docs.withColumn("text", F.col("text").cast("binary"))
     schema = "doc_id long, n int, sig long, sketch binary, times int"
-    summaries = materialize(docs.mapInPandas(_summaries, schema), "summaries")
+    summaries = materialize(texts.mapInPandas(_summaries, schema), "summaries")
     sets = summaries.where("times < 0")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("sig", "n")
     classes = materialize(classes.agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
@@ -318,7 +319,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     mean_list = 1 + float((frequent["times"].to_numpy(dtype=float) ** 2).sum()) / max(total, 1)
     hot = spark.sparkContext.broadcast(np.sort(hot, order="hash"))
     buckets = parts_for(total // 4, POSTINGS)
-    packed = docs.mapInPandas(
+    packed = texts.mapInPandas(
         _postings(hot, boundary(mean_list), buckets),
         "bucket int, sigs binary, sizes binary, keys binary, places binary",
     )

@@ -204,7 +204,7 @@ def identify(docs: DataFrame, net: ByteNetwork | None) -> DataFrame:
             yield pd.DataFrame({"lang_pred": names[best], "score": np.clip(score, 0.0, 1.0)})
 
     letters = _letters(F.col("text"))
-    guess = unknown.withColumn("_guess", predicted("text"))
+    guess = unknown.withColumn("_guess", predicted(F.col("text").cast("binary")))
     return guess.withColumns(
         {
             "lang_pred": F.when(letters, F.col("_guess.lang_pred")).otherwise("und"),

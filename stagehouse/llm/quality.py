@@ -278,7 +278,7 @@ def _voted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Classifier:
-    coded = docs.select("doc_id", F.pandas_udf(_code_of, "long")("text").alias("code"))
+    coded = docs.select("doc_id", F.pandas_udf(_code_of, "long")(F.col("text").cast("binary")).alias("code"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     counted = (
         _voted(coded, labels).select("code", zero("_junk"), zero("_toxic")).groupBy("code", "_junk", "_toxic").count()
@@ -331,7 +331,7 @@ def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None
         patterns = _patterns(codes.to_numpy(), junk.to_numpy(), toxic.to_numpy())
         return pd.DataFrame({f: held.value.posterior(f, patterns[f].astype(int)) for f in FAULTS})
 
-    base = docs.drop(*made).withColumn("_scored", scored("text"))
+    base = docs.drop(*made).withColumn("_scored", scored(F.col("text").cast("binary")))
     curated = _label_votes(labels)
     joined = base.join(curated, base["doc_id"].eqNullSafe(curated["_labelled"]), "left")
     given = [F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("_junk", "_toxic")]
