@@ -9,8 +9,9 @@ scans, by the counted sizes and frequencies.
 
 Links are looked for in two steps, so that a large group of copies never becomes
 all its pairs. First every list's sets are checked against a leader of about
-their size. Then, over the components so found, pairs of a list that lie in
-different components are checked; pairs in one component cannot change the result.
+their size, another one in each list. Then, over the components so found, pairs of a list that lie in
+different components are checked, tile by tile within tasks; pairs in one component
+cannot change the result.
 A check compares sizes, then parity sketches (their distance never exceeds the
 symmetric difference, so this drops no link), then the exact sets.
 
@@ -42,11 +43,13 @@ from stagehouse.session import materialize
 
 SHINGLE = 5
 # A shingle is frequent when it makes up more than one in HOT of all; so there are at most HOT.
-HOT = 1 << 18
-HOT_LEAST = 50
+HOT = 1 << 20
+HOT_LEAST = 10
 # Reported per block of texts from this many on.
-SEEN = 3
+SEEN = 2
 POSTINGS = 2_000_000
+# Sets of a list that one tile holds on a side.
+LIST_BLOCK = 512
 
 ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -247,12 +250,60 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
     key, sig, n = key[new], sig[new], n[new]
     step = np.floor(np.log2(np.maximum(n, 1)) * 4).astype(np.int64)
+    # Another leader in every list, so that a group of copies hangs together by many of them.
+    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ key), step, key))
+    key, sig, n, step = key[order], sig[order], n[order], step[order]
     head = np.ones(len(key), dtype=bool)
     head[1:] = (key[1:] != key[:-1]) | (step[1:] != step[:-1])
     lead = sig[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))] if len(key) else sig
     return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, "lead": lead})
 
 
+def _near_pairs(n, part, side, sketch, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of one tile that differ in component and that sizes and sketches allow to link."""
+    size = np.array([len(x) for x in sketch])
+    left, right = [], []
+    for length in np.unique(size):
+        some = np.flatnonzero((size == length) | (size == 2 * length))
+        rows = [np.frombuffer(sketch[i], dtype=np.uint64) for i in some]
+        bits = np.stack([r if len(r) * 8 == length else r[: len(r) // 2] ^ r[len(r) // 2 :] for r in rows])
+        m, group, short = n[some], part[some], size[some] == length
+        for at in range(0, len(some), 64):
+            rest = slice(at, at + 64)
+            allowed = (group[rest, None] != group) & (short[rest, None] | short)
+            allowed &= 4 * np.minimum(m[rest, None], m) >= 3 * np.maximum(m[rest, None], m)
+            if both:
+                allowed &= side[some][rest, None] < side[some]
+            else:
+                allowed &= np.arange(len(some))[rest, None] < np.arange(len(some))
+            x, y = np.nonzero(allowed)
+            for cut in range(0, len(x), 8192):
+                a, b = x[cut : cut + 8192] + at, y[cut : cut + 8192]
+                apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+                close = apart <= (m[a] + m[b]) // 7
+                left.append(some[a[close]])
+                right.append(some[b[close]])
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _crossing(frame: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs across components in the lists (or tiles of a long list) of a task."""
+    frame = frame.sort_values(["key", "i", "j"], kind="stable")
+    columns = {c: frame[c].to_numpy() for c in ("key", "i", "j", "side", "sig", "n", "part", "sketch")}
+    key, i, j, sig = columns["key"], columns["i"], columns["j"], columns["sig"]
+    edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    found = []
+    for low, high in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
+        tile = slice(low, high)
+        n, part, side, sketch = (columns[c][tile] for c in ("n", "part", "side", "sketch"))
+        a, b = _near_pairs(n.astype(np.int64), part, side, sketch, i[low] != j[low])
+        if len(a):
+            found.append(np.stack([np.minimum(sig[tile][a], sig[tile][b]), np.maximum(sig[tile][a], sig[tile][b])], 1))
+    pairs = np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *found]), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 def _may_link(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
     near = [_distance(x, y) <= m for x, y, m in zip(a, b, most, strict=True)]
     return pd.Series(near, dtype=bool)
@@ -334,13 +385,26 @@ def similarity_components(docs: DataFrame) -> DataFrame:
         "key", "sig", "n", F.coalesce("component", "sig").alias("part")
     )
     known = materialize(known, "known-parts")
-    mixed = known.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    open_lists = materialize(known.join(mixed.select("key"), "key", "left_semi"), "open-lists")
-    mine = open_lists.select("key", F.col("sig").alias("x"), F.col("n").alias("n_x"), F.col("part").alias("part_x"))
-    other = open_lists.select("key", F.col("sig").alias("y"), F.col("n").alias("n_y"), F.col("part").alias("part_y"))
-    apart = (F.col("x") < F.col("y")) & (F.col("part_x") != F.col("part_y"))
-    sized = 4 * F.least("n_x", "n_y") >= 3 * F.greatest("n_x", "n_y")
-    crossing = mine.join(other, "key").where(apart & sized).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    mixed = known.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")
+    )
+    mixed = materialize(mixed.where("low <> high").select("key", "size"), "mixed-lists")
+    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    open_lists = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
+    # A block meets every block of its list, itself included; lists of one block share a task by bucket.
+    meets = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda j: F.struct(
+            F.least("block", j).alias("i"), F.greatest("block", j).alias("j"),
+            F.when(F.col("block") > j, 1).otherwise(0).alias("side"),
+        ),
+    )
+    open_lists = open_lists.join(classes.select("sig", "sketch"), "sig").select(
+        "key", "sig", "n", "part", "sketch", (blocks == 1).alias("whole"), F.explode(meets).alias("meet")
+    )
+    task = F.when(F.col("whole"), F.pmod("key", F.lit(4 * buckets))).otherwise(F.xxhash64("key", "meet.i", "meet.j"))
+    tiles = open_lists.select("key", "sig", "n", "part", "sketch", "meet.*", task.alias("task"))
+    crossing = tiles.groupBy("task").applyInPandas(_crossing, "a long, b long").distinct()
     more = checker.links(crossing)
     if not more.isEmpty():
         placed = components(links.union(more))
