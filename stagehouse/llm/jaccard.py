@@ -50,6 +50,8 @@ SEEN = 2
 POSTINGS = 2_000_000
 # Sets of a list that one tile holds on a side.
 LIST_BLOCK = 512
+# Bytes of text whose postings are packed together.
+PART = 12 << 20
 
 ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -153,8 +155,13 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
             )
         if held:
-            hashes, times = np.unique(np.concatenate(held), return_counts=True)
+            hashes = np.concatenate(held)
+            held.clear()
+            hashes.sort()
+            at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, dtype=int)
+            times = np.diff(np.append(at, len(hashes)))
             often = times >= SEEN
+            hashes = hashes[at]
             parts.append(
                 pd.DataFrame(
                     {
@@ -169,13 +176,20 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.concat(parts, ignore_index=True)
 
 
+def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
+    """Texts in batches of bounded bytes."""
+    for frame in frames:
+        raw = B.as_bytes(frame["text"].tolist())
+        for first, last in B.blocks(raw, PART):
+            yield raw[first:last]
+
+
 def _postings(hot, limit: int, buckets: int):
     """Keys of all sets of a batch, packed by bucket: set table (signature, size), keys, places in the table."""
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent = hot.value
-        for frame in frames:
-            raw = B.as_bytes(frame["text"].tolist())
+        for raw in _parts(frames):
             keys, sigs, sizes = [], [], []
             for first, last in B.blocks(raw):
                 owner, hashes = shingle_sets(raw[first:last])

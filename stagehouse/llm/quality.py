@@ -147,7 +147,7 @@ def features(laid: Laid) -> tuple[np.ndarray, np.ndarray]:
         slots.append(B.mix64(step + B.U(1000 * k + 17)))
     owner, slot = np.concatenate(owners), np.concatenate(slots) % B.U(SLOTS)
     both = np.unique(owner.astype(np.int64) * SLOTS + slot.astype(np.int64))
-    return both // SLOTS, both % SLOTS
+    return (both // SLOTS).astype(np.int32), (both % SLOTS).astype(np.int32)
 
 
 def expectation_maximisation(
@@ -294,21 +294,24 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Classifie
     rows = _voted(drawn, labels).select("doc_id", "text", zero("_junk"), zero("_toxic")).collect()
     rows.sort(key=lambda r: (str(r["doc_id"]), r["text"] or ""))
     texts = B.as_bytes([r["text"] for r in rows])
+    given = {f: np.array([r[f"_{f}"] for r in rows], dtype=np.int64) for f in FAULTS}
+    del rows
     owners, slots, codes = [], [], []
     for first, last in B.blocks(texts):
         laid = lay(texts[first:last])
         owner, slot = features(laid)
-        owners.append(owner + first)
-        slots.append(slot.astype(np.int32))
+        owners.append(owner + np.int32(first))
+        slots.append(slot)
         codes.append(_vote_code(*votes(laid)))
-    none = np.zeros(0, dtype=np.int64)
+    del texts
+    none = np.zeros(0, dtype=np.int32)
     owner, slot = np.concatenate([none, *owners]), np.concatenate([none, *slots])
-    given = {f: np.array([r[f"_{f}"] for r in rows], dtype=np.int64) for f in FAULTS}
-    patterns = _patterns(np.concatenate([none, *codes]), given["junk"], given["toxic"])
+    del owners, slots
+    patterns = _patterns(np.concatenate([none.astype(np.int64), *codes]), given["junk"], given["toxic"])
     for fault in FAULTS:
         target = model.posterior(fault, patterns[fault].astype(int))
         voted = patterns[fault].any(axis=1)
-        place = np.cumsum(voted) - 1
+        place = (np.cumsum(voted) - 1).astype(np.int32)
         mine = voted[owner]
         model.scorers[fault] = train_scorer(int(voted.sum()), place[owner[mine]], slot[mine], target[voted])
     return model
