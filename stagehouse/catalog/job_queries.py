@@ -71,7 +71,7 @@ def xml_employees(spark, sf_dir):
 @query
 def xml_employees_split(spark, sf_dir):
     path = write_xml(inputs.employee_stage(spark, sf_dir), EMPLOYEE_XML)
-    return xml.read_xml(spark, path, EMPLOYEE_XML, split_above=0)
+    return xml.read_xml(spark, path, EMPLOYEE_XML, split=True)
 
 
 @query

@@ -13,8 +13,8 @@ START, END = f"<{RECORD}[\\s>]", f"</{RECORD}>"
 OPTIONS = {"rowTag": RECORD, "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}
 # What the binaryFile source offers.
 FILE_COLUMNS = "path string, modificationTime timestamp, length long, content binary"
-# Files above this size are cut between records and parsed by many tasks.
-SPLIT_ABOVE_BYTES = 256 * 1024 * 1024
+# What may follow the root element: comments and processing instructions.
+AFTER = r"(\s|<!--((?!-->).)*-->|<\?((?!\?>).)*\?>)*"
 
 
 def _renamed(df: DataFrame, record: RecordType) -> DataFrame:
@@ -32,14 +32,32 @@ def _chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Files without bytes; file sources skip them, so the file system is asked."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for one in [path] if isinstance(path, str) else path:
+        place = hadoop.Path(one)
+        fs = place.getFileSystem(conf)
+        for status in (s for top in fs.globStatus(place) or [] for s in fs.listStatus(top.getPath())):
+            name = status.getPath().getName()
+            if status.isFile() and status.getLen() == 0 and name[0] not in "._":
+                found.append(status.getPath().toString())
+    return found
+
+
 def check_complete(spark: SparkSession, path: str | list[str]) -> None:
-    """Raise when a file lacks the end of its root element.
+    """Raise when a file has no bytes or lacks the end of its root element.
 
     FAILFAST notices a record that is cut off, but not a file that stops
     between two records. What follows the last record of a whole file is the
     closing root tag, so each file has exactly one chunk like that.
     """
-    is_tail = ~F.col("value").rlike(START) & F.col("value").rlike(r"(?s)(</[^>]+|/)>\s*$")
+    empty = _empty_files(spark, path)
+    if empty:
+        raise ValueError(f"XML file is empty: {empty[0]}")
+    is_tail = ~F.col("value").rlike(START) & F.col("value").rlike(rf"(?s)(</[^>]+|/)>{AFTER}$")
     broken = (
         _chunks(spark, path)
         .groupBy("file")
@@ -55,17 +73,17 @@ def read_xml(
     spark: SparkSession,
     path: str | list[str],
     record: RecordType,
-    split_above: int = SPLIT_ABOVE_BYTES,
+    split: bool = False,
 ) -> DataFrame:
     """Staging columns of every record; a missing child is null, an empty one ``''``.
 
     A damaged file raises: at once when it ends too early, else when it is
-    parsed. The built-in XML source gives one task per file, so once a file is
-    larger than ``split_above`` the files are read by :func:`read_xml_split`.
+    parsed. Files of any size take the same reader, which gives one task per
+    file; only a caller who knows the files to be flat asks for ``split``
+    (see :func:`read_xml_split`).
     """
     check_complete(spark, path)
-    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    if largest is not None and largest > split_above:
+    if split:
         return read_xml_split(spark, path, record)
     return _renamed(
         spark.read.format("xml").options(**OPTIONS).schema(record.xml_schema).load(path), record

@@ -433,3 +433,10 @@ def test_hot_key_is_split_in_the_fact(spark, no_broadcast, side):
     df = fact_sale(hot_stage(spark, lines, sales))
     assert "skew=true" in plan_after_run(df)
     assert df.count() == 60_000
+
+
+def test_filter_in_casts_alike_at_any_length(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k long")
+    for most in (10, 0):
+        kept = filters.filter_in(df, "k", ["1", "2", None], max_literals=most)
+        assert sorted(r.k for r in kept.collect()) == [1, 2]

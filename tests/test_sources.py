@@ -47,47 +47,47 @@ KINDS = {"employee": EMPLOYEE_XML, "region": REGION_XML, "companies": COMPANY_XM
 
 
 @pytest.mark.parametrize("kind", list(KINDS))
-@pytest.mark.parametrize("split_above", [xml.SPLIT_ABOVE_BYTES, 0])
-def test_every_child_reaches_its_column(spark, tmp_path, kind, split_above):
+@pytest.mark.parametrize("split", [False, True])
+def test_every_child_reaches_its_column(spark, tmp_path, kind, split):
     record = KINDS[kind]
     values = [f"v{i}" for i in range(len(record.elements))]
     path = xmlfiles.write(tmp_path / f"{kind}.xml", [xmlfiles.record(record, values)])
-    df = xml.read_xml(spark, path, record, split_above)
+    df = xml.read_xml(spark, path, record, split)
     assert df.columns == record.stage_columns
     assert [tuple(r) for r in df.collect()] == [tuple(values)]
 
 
-@pytest.mark.parametrize("split_above", [xml.SPLIT_ABOVE_BYTES, 0])
-def test_blank_missing_padded_and_unknown_children(spark, tmp_path, rows, split_above):
+@pytest.mark.parametrize("split", [False, True])
+def test_blank_missing_padded_and_unknown_children(spark, tmp_path, rows, split):
     values = [["1", "", *[None] * 9], ["2", "  a & <b> ", *[None] * 9], [None] * 11]
     extra = "<Чужое>x</Чужое>"
     path = xmlfiles.write(
         tmp_path / "e.xml", [xmlfiles.record(EMPLOYEE_XML, v, extra) for v in values]
     )
-    df = xml.read_xml(spark, path, EMPLOYEE_XML, split_above)
+    df = xml.read_xml(spark, path, EMPLOYEE_XML, split)
     assert rows(df, "id_employee", "fio", "uik") == [
         (None, None, None), ("1", "", None), ("2", "  a & <b> ", None),
     ]
 
 
-@pytest.mark.parametrize("split_above", [xml.SPLIT_ABOVE_BYTES, 0])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("cut", ["inside", "between"])
-def test_cut_off_file_fails(spark, tmp_path, split_above, cut):
+def test_cut_off_file_fails(spark, tmp_path, split, cut):
     records = [xmlfiles.record(REGION_XML, xmlfiles.region(i)) for i in range(50)]
     if cut == "inside":
         records[-1] = records[-1][:40]
     xmlfiles.write(tmp_path / "bad.xml", records, closed=False)
     xmlfiles.write(tmp_path / "good.xml", records[:10])
     with pytest.raises(Exception, match="(?i)malformed|failed_read_file|cut off"):
-        xml.read_xml(spark, str(tmp_path), REGION_XML, split_above).collect()
+        xml.read_xml(spark, str(tmp_path), REGION_XML, split).collect()
 
 
-@pytest.mark.parametrize("split_above", [xml.SPLIT_ABOVE_BYTES, 0])
-def test_folder_and_empty_document(spark, tmp_path, split_above):
+@pytest.mark.parametrize("split", [False, True])
+def test_folder_and_empty_document(spark, tmp_path, split):
     for name, count in (("a.xml", 3), ("b.xml", 0), ("c.xml", 2)):
         records = [xmlfiles.record(REGION_XML, xmlfiles.region(i)) for i in range(count)]
         xmlfiles.write(tmp_path / name, records)
-    assert xml.read_xml(spark, str(tmp_path), REGION_XML, split_above).count() == 5
+    assert xml.read_xml(spark, str(tmp_path), REGION_XML, split).count() == 5
 
 
 def test_one_big_file_is_parsed_by_many_tasks(spark, tmp_path, rows):
@@ -108,3 +108,14 @@ def test_list_files(spark, tmp_path):
     (tmp_path / "a.xml").write_text("x")
     found = xml.list_files(spark, str(tmp_path)).collect()
     assert [(r.filename, r.length) for r in found] == [("a.xml", 1)]
+
+
+def test_file_without_bytes_fails(spark, tmp_path):
+    (tmp_path / "empty.xml").write_bytes(b"")
+    with pytest.raises(ValueError, match="empty"):
+        xml.read_xml(spark, str(tmp_path), REGION_XML)
+
+
+def test_comment_after_the_root_is_no_damage(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<r><record></record></r>\n<!-- end -->\n<?done?>\n")
+    xml.check_complete(spark, str(tmp_path))
