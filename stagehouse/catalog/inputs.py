@@ -60,6 +60,9 @@ class GivenSales:
     def load(self, table: str) -> DataFrame:
         return SALES[table](lambda name: given(self.spark, self.sf_dir, name))
 
+    def count(self, table: str) -> int:
+        return self.load(table).count()
+
 
 def _brand_number() -> Column:
     return F.substring("p_brand", 7, 9).cast("long")

@@ -21,11 +21,13 @@ from stagehouse.schemas import (
     PERSONS,
     REGION_NDS,
     REGION_XML,
+    SALES_TABLES,
     RecordType,
 )
 from stagehouse.session import scratch_path
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources import xml
+from stagehouse.sources.tables import FrameSource
 from stagehouse.streaming.folder import watch_folder
 from stagehouse.streaming.poll import watch_source
 
@@ -61,6 +63,13 @@ def dated_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_batches(warehouse: Warehouse, record: RecordType, stage: DataFrame, name: str) -> None:
+    """The three deliveries of a kind, each as files, staged in turn."""
+    for number in range(3):
+        path = write_xml(changes.rows_of(stage, f"{name}-{number}"), record)
+        jobs.stage_file(warehouse, record, path)
+
+
 # --- XML files --------------------------------------------------------------
 @query
 def xml_employees(spark, sf_dir):
@@ -89,12 +98,11 @@ def xml_companies(spark, sf_dir):
 # --- file jobs --------------------------------------------------------------
 @query
 def job_regions_file(spark, sf_dir):
-    """The newest batch of regions as files, upserted into those known before."""
+    """All batches of regions as files; the newest is upserted into those known before."""
     warehouse = new_warehouse(spark)
     known = inputs.region_target(spark, sf_dir).select(*REGION_NDS.fieldNames())
     warehouse.replace(known, "nds", jobs.REGIONS_TABLE)
-    batch = changes.rows_of(inputs.region_stage(spark, sf_dir), "reg-2")
-    jobs.stage_file(warehouse, REGION_XML, write_xml(batch, REGION_XML))
+    stage_batches(warehouse, REGION_XML, inputs.region_stage(spark, sf_dir), "reg")
     jobs.apply_regions(warehouse)
     return plain(warehouse.snapshot("nds", jobs.REGIONS_TABLE, REGION_NDS))
 
@@ -104,8 +112,7 @@ def job_companies_file(spark, sf_dir):
     warehouse = new_warehouse(spark)
     warehouse.replace(inputs.type_company(spark, sf_dir), "nds", jobs.TYPE_COMPANY_TABLE)
     warehouse.replace(inputs.type_industry(spark, sf_dir), "nds", jobs.TYPE_INDUSTRY_TABLE)
-    batch = changes.rows_of(inputs.company_stage(spark, sf_dir), "com-2")
-    jobs.stage_file(warehouse, COMPANY_XML, write_xml(batch, COMPANY_XML))
+    stage_batches(warehouse, COMPANY_XML, inputs.company_stage(spark, sf_dir), "com")
     jobs.apply_companies(warehouse)
     return plain(jobs.companies(warehouse).select(*COMPANY_NDS.fieldNames()))
 
@@ -115,9 +122,7 @@ def job_employees_files(spark, sf_dir):
     """Three deliveries in turn; the persons after the last."""
     warehouse = new_warehouse(spark)
     stage = dated_employees(spark, sf_dir)
-    for request in ("req-0", "req-1", "req-2"):
-        path = write_xml(changes.rows_of(stage, request), EMPLOYEE_XML)
-        jobs.stage_file(warehouse, EMPLOYEE_XML, path)
+    stage_batches(warehouse, EMPLOYEE_XML, stage, "req")
     jobs.apply_all_employees(warehouse)
     return warehouse.snapshot("nds", jobs.PERSONS_TABLE, PERSONS)
 
@@ -152,11 +157,15 @@ def job_initial_load(spark, sf_dir):
 
 @query
 def job_repeated_load(spark, sf_dir):
-    """A poll that finds the staging area empty and so loads everything."""
+    """A load before any invoice came, then a poll that finds the source has grown."""
     warehouse = new_warehouse(spark)
+    source = inputs.sales_source(spark, sf_dir)
+    before = {table: source.load(table) for table in SALES_TABLES}
+    before["invoice_line"] = spark.createDataFrame([], before["invoice_line"].schema)
+    jobs.repeated_load(FrameSource(before), warehouse)
     watch_source(
         spark,
-        inputs.sales_source(spark, sf_dir),
+        source,
         warehouse,
         scratch_path(spark, "checkpoint"),
         once=True,

@@ -386,7 +386,7 @@ def current_employment(spark, sf_dir):
 def upsert_latest(spark, sf_dir):
     """Persons of the old log, brought up to date for the ids of the new batch."""
     before = employees.current_persons(inputs.employee_log(spark, sf_dir))
-    batch = _changes(spark, sf_dir)
+    batch = materialize(_changes(spark, sf_dir), "batch")
     after = employees.current_persons(_log_after(spark, sf_dir, batch), ids=batch)
     return merge.upsert(before, after, ["id_employee"], check_unique=False)
 

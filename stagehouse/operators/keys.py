@@ -67,32 +67,33 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.unionByName(df.where(~_all_set(keys)))
 
 
-def surrogate_keys(
+def task_position() -> Column:
+    """How many rows the task has emitted before this one."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
+
+def number_rows(
     df: DataFrame,
-    columns: Sequence[str],
+    order: Sequence[str],
     id_column: str = "id",
     start: int = 1,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Distinct tuples of ``columns`` with dense ids in sorted order, nulls first.
+    """``df`` with dense numbers in the order of ``order``, whose tuples are unique.
 
-    No global window: the tuples are range-partitioned and sorted, numbered
+    No global window: the rows are range-partitioned and sorted, numbered
     inside their partition, and each partition is shifted by the size of those
-    before it. The numbered tuples are written once, so both uses see the same
-    partitions even when an executor is lost. Tuples are distinct before they
-    move, hence no range can be filled by one value. Without ``partitions``
-    AQE brings small ranges together; the numbers do not depend on it.
+    before it. The numbered rows are written once, so both uses see the same
+    partitions even when an executor is lost. Unique tuples leave no value
+    that could fill a range. Without ``partitions`` AQE brings small ranges
+    together; the numbers do not depend on it.
     """
-    tuples = df.select(*columns).distinct()
     ranged = (
-        tuples.repartitionByRange(partitions, *columns)
-        if partitions
-        else tuples.repartitionByRange(*columns)
+        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     numbered = materialize(
-        ranged.sortWithinPartitions(*columns)
-        .select(*columns, F.spark_partition_id().alias("_part"), position.alias("_pos")),
+        ranged.sortWithinPartitions(*order)
+        .select(*df.columns, F.spark_partition_id().alias("_part"), task_position().alias("_pos")),
         "surrogate-keys",
     )
     # One row per range partition: as many as there are shuffle partitions at most.
@@ -103,5 +104,19 @@ def surrogate_keys(
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
     return numbered.join(F.broadcast(shift), "_part").select(
-        *columns, (F.col("_pos") + F.col("_shift") + F.lit(start)).alias(id_column)
+        *df.columns, (F.col("_pos") + F.col("_shift") + F.lit(start)).alias(id_column)
     )
+
+
+def surrogate_keys(
+    df: DataFrame,
+    columns: Sequence[str],
+    id_column: str = "id",
+    start: int = 1,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Distinct tuples of ``columns`` with dense ids in sorted order, nulls first.
+
+    Tuples are distinct before they move (see :func:`number_rows`).
+    """
+    return number_rows(df.select(*columns).distinct(), columns, id_column, start, partitions)

@@ -22,6 +22,14 @@ def count_drift(source: DataFrame, target: DataFrame) -> DataFrame:
     ).withColumn("changed", F.col("source_count") != F.col("target_count"))
 
 
+def drift_from(source_count: int, target: DataFrame) -> DataFrame:
+    """:func:`count_drift` for a source that has counted its own rows."""
+    return target.agg(
+        F.lit(source_count).cast("long").alias("source_count"),
+        F.count(F.lit(1)).alias("target_count"),
+    ).withColumn("changed", F.col("source_count") != F.col("target_count"))
+
+
 def high_watermark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The greatest key, part by part; one row."""
     return df.agg(F.max(F.struct(*keys)).alias("k")).select("k.*")

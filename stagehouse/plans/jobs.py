@@ -17,7 +17,7 @@ from stagehouse import ledger
 from stagehouse.functions.buckets import HISTORY, REPEATED, AgeBuckets
 from stagehouse.functions.dates import SUNDAY_FIRST
 from stagehouse.functions.text import route_by_name
-from stagehouse.operators import changes, merge, watermark
+from stagehouse.operators import changes, keys, merge, watermark
 from stagehouse.plans import emissions, employees, marts, reference, star
 from stagehouse.schemas import (
     ADDRESS,
@@ -72,6 +72,11 @@ def side_by_side(tasks: Sequence[Callable[[], None]]) -> None:
 # --- sales ------------------------------------------------------------------
 def stage_sales(source: TableSource, warehouse: Warehouse) -> dict[str, str]:
     """Stage all 14 tables under one request each; the request ids by table."""
+    return _stage(source, warehouse)[1]
+
+
+def _stage(source: TableSource, warehouse: Warehouse) -> tuple[str, dict[str, str]]:
+    """The request of the load as a whole, still open, and those of the tables."""
     requests = warehouse.ledger.open_all([LEDGER_TABLE, *STAGE_NAMES.values()])
 
     def stage(table: str, name: str) -> Callable[[], None]:
@@ -82,8 +87,33 @@ def stage_sales(source: TableSource, warehouse: Warehouse) -> dict[str, str]:
     except Exception:
         warehouse.ledger.close_all(requests.values(), ledger.FAILED)
         raise
+    load = requests.pop(LEDGER_TABLE)
     warehouse.ledger.close_all(requests.values(), ledger.SUCCESS)
-    return {table: requests[name] for table, name in STAGE_NAMES.items()}
+    return load, {table: requests[name] for table, name in STAGE_NAMES.items()}
+
+
+def _load_sales(
+    source: TableSource, warehouse: Warehouse, measure: str, then: Callable[[], None]
+) -> None:
+    """Stage, fill the star and do ``then`` under one request for the whole.
+
+    That request succeeds last, so a load that broke off anywhere leaves it
+    open or failed and the next refresh starts over.
+    """
+    load, requests = _stage(source, warehouse)
+    try:
+        load_star(staged_sales(warehouse, requests), warehouse, measure)
+        then()
+    except Exception:
+        warehouse.ledger.close(load, ledger.FAILED)
+        raise
+    warehouse.ledger.close(load, ledger.SUCCESS)
+
+
+def _reload(warehouse: Warehouse, rows: DataFrame, layer: str, table: str) -> None:
+    """Truncate and reload; readers of the version before keep it, older ones go."""
+    warehouse.replace(rows, layer, table)
+    warehouse.expire(layer, table)
 
 
 def staged_sales(warehouse: Warehouse, requests: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -103,14 +133,13 @@ def load_star(stage: Mapping[str, DataFrame], warehouse: Warehouse, measure: str
 
         def run() -> None:
             target = warehouse.snapshot("nds", name, rows.schema)
-            warehouse.replace(
-                merge.upsert(target, rows, [key], check_unique=False), "nds", name
-            )
+            merged = merge.upsert(target, rows, [key], check_unique=False)
+            _reload(warehouse, merged, "nds", name)
 
         return run
 
     side_by_side([load(name) for name in star.DIMENSIONS])
-    warehouse.replace(star.fact_sale(stage, measure), "nds", "fact_sale")
+    _reload(warehouse, star.fact_sale(stage, measure), "nds", "fact_sale")
 
 
 def copy_layer(warehouse: Warehouse, source: str, target: str) -> None:
@@ -121,12 +150,12 @@ def copy_layer(warehouse: Warehouse, source: str, target: str) -> None:
             rows = warehouse.snapshot(source, name)
             held = warehouse.snapshot(target, name, rows.schema)
             merged = merge.upsert(held, rows, [rows.columns[0]], check_unique=False)
-            warehouse.replace(merged, target, name)
+            _reload(warehouse, merged, target, name)
 
         return run
 
     side_by_side([copy(name) for name in star.DIMENSIONS])
-    warehouse.replace(warehouse.snapshot(source, "fact_sale"), target, "fact_sale")
+    _reload(warehouse, warehouse.snapshot(source, "fact_sale"), target, "fact_sale")
 
 
 def load_marts(
@@ -143,9 +172,9 @@ def load_marts(
         return warehouse.snapshot(layer, f"dim_{name}")
 
     def write(df: DataFrame, name: str) -> Callable[[], None]:
-        return lambda: warehouse.replace(df, "dds", name)
+        return lambda: _reload(warehouse, df, "dds", name)
 
-    warehouse.replace(marts.monthly_sales(fact), "dds", "sales_trends_by_month")
+    _reload(warehouse, marts.monthly_sales(fact), "dds", "sales_trends_by_month")
     monthly = warehouse.snapshot("dds", "sales_trends_by_month")
     tables = {
         "sales_with_moving_average": marts.moving_average(monthly),
@@ -164,9 +193,7 @@ def load_marts(
 
 def initial_load(source: TableSource, warehouse: Warehouse, measure: str = "price") -> None:
     """Snapshot, stage, star and marts."""
-    requests = stage_sales(source, warehouse)
-    load_star(staged_sales(warehouse, requests), warehouse, measure)
-    load_marts(warehouse, "nds")
+    _load_sales(source, warehouse, measure, lambda: load_marts(warehouse, "nds"))
 
 
 def repeated_load(
@@ -181,22 +208,39 @@ def repeated_load(
     ``labels=SHIFTED`` gives the weekday names one day off, as a repeated load
     that takes day 0 for Monday shows them.
     """
-    requests = stage_sales(source, warehouse)
-    load_star(staged_sales(warehouse, requests), warehouse, measure)
-    copy_layer(warehouse, "nds", "ods")
-    load_marts(warehouse, "ods", labels, buckets)
+
+    def then() -> None:
+        copy_layer(warehouse, "nds", "ods")
+        load_marts(warehouse, "ods", labels, buckets)
+
+    _load_sales(source, warehouse, measure, then)
 
 
 def source_drift(source: TableSource, warehouse: Warehouse) -> DataFrame:
-    """Whether the source's invoice lines outnumber the staged ones, or the reverse."""
+    """Whether the source's invoice lines outnumber the staged ones, or the reverse.
+
+    The source counts its own rows; none is fetched for that.
+    """
     name = STAGE_NAMES["invoice_line"]
     request = changes.pick(changes.latest_request(warehouse.ledger.rows(), name))
     staged = warehouse.staged(name, SALES_TABLES["invoice_line"], request)
-    return watermark.count_drift(read_table(source, "invoice_line"), staged)
+    return watermark.drift_from(source.count("invoice_line"), staged)
+
+
+def last_load_finished(warehouse: Warehouse) -> bool:
+    """Whether the newest load went through to its marts."""
+    loads = warehouse.ledger.rows()
+    newest = changes.pick(changes.latest_request(loads, LEDGER_TABLE))
+    done = (F.col("request_id") == newest) & (F.col("status") == ledger.SUCCESS)
+    return newest is not None and not loads.where(done).isEmpty()
 
 
 def refresh_if_changed(source: TableSource, warehouse: Warehouse, **options) -> bool:
-    changed = source_drift(source, warehouse).first()["changed"]
+    """Load anew when the row counts differ or the newest load did not finish."""
+    changed = (
+        not last_load_finished(warehouse)
+        or source_drift(source, warehouse).first()["changed"]
+    )
     if changed:
         repeated_load(source, warehouse, **options)
     return changed
@@ -215,11 +259,10 @@ def stage_file(
     request = warehouse.ledger.open(record.table, name, request_id)
     try:
         rows = read_xml(warehouse.spark, path, record)
-        if record is EMPLOYEE_XML:
-            first = next_record_id(warehouse, request)
-            number = F.monotonically_increasing_id() + F.lit(first)
-            rows = rows.select(number.alias("record_id"), "*")
-        warehouse.append_stage(rows, record.table, request)
+        with job_scratch(warehouse.spark):
+            if record is EMPLOYEE_XML:
+                rows = in_document_order(rows, next_record_id(warehouse, request))
+            warehouse.append_stage(rows, record.table, request)
     except Exception:
         warehouse.ledger.close(request, ledger.FAILED)
         raise
@@ -227,6 +270,19 @@ def stage_file(
     return request
 
 
+def in_document_order(rows: DataFrame, first: int) -> DataFrame:
+    """Records numbered from ``first``: by file, then as they stand in the file.
+
+    One task reads a file from its start to its end, so the position in the
+    task follows the document, whichever task that is.
+    """
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), keys.task_position().alias("_at")
+    )
+    numbered = keys.number_rows(placed, ["_file", "_at"], "record_id", first)
+    return numbered.select("record_id", *rows.columns)
+
+
 RECORDS = {"region": REGION_XML, "companies": COMPANY_XML, "employee": EMPLOYEE_XML}
 
 

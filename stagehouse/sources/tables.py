@@ -15,6 +15,8 @@ from stagehouse.schemas import SALES_TABLES, SPLIT_COLUMN
 class TableSource(Protocol):
     def load(self, table: str) -> DataFrame: ...
 
+    def count(self, table: str) -> int: ...
+
 
 @dataclass(frozen=True)
 class FrameSource:
@@ -25,6 +27,9 @@ class FrameSource:
     def load(self, table: str) -> DataFrame:
         return self.tables[table]
 
+    def count(self, table: str) -> int:
+        return self.load(table).count()
+
 
 @dataclass(frozen=True)
 class ParquetSource:
@@ -37,6 +42,9 @@ class ParquetSource:
     def load(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}{self.suffix}")
 
+    def count(self, table: str) -> int:
+        return self.load(table).count()
+
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -56,6 +64,13 @@ class JdbcSource:
         key = SPLIT_COLUMN[table]
         return f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {self.db_schema}.{table}"
 
+    def count_query(self, table: str) -> str:
+        return f"SELECT COUNT(*) AS n FROM {self.db_schema}.{table}"
+
+    def _query(self, sql: str) -> DataFrame:
+        reader = self.spark.read.format("jdbc").option("url", self.url)
+        return reader.options(**self._options()).option("query", sql).load()
+
     def slice_options(self, table: str, low: int | None, high: int | None) -> dict[str, object]:
         """Arguments of a sliced ``spark.read.jdbc``; an empty table is read in one go."""
         where = {"table": f"{self.db_schema}.{table}"}
@@ -70,13 +85,15 @@ class JdbcSource:
         }
 
     def load(self, table: str) -> DataFrame:
-        reader = self.spark.read.format("jdbc").option("url", self.url)
-        edge = reader.options(**self._options()).option("query", self.bounds_query(table)).load()
-        low, high = edge.first()
+        low, high = self._query(self.bounds_query(table)).first()
         return self.spark.read.jdbc(
             self.url, properties=self._options(), **self.slice_options(table, low, high)
         )
 
+    def count(self, table: str) -> int:
+        """Counted by the database, which sends one row."""
+        return self._query(self.count_query(table)).first()[0]
+
 
 def read_table(source: TableSource, table: str) -> DataFrame:
     """A snapshot of ``table`` with its declared columns only.

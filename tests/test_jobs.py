@@ -82,6 +82,27 @@ def test_a_failed_staging_is_recorded(spark, warehouse):
     assert warehouse.ledger.rows().where("status = 'FAILED'").count() == 15
 
 
+def test_a_refresh_that_failed_is_done_again(spark, warehouse, rows, monkeypatch):
+    lines = source(spark, [1, 2])
+    broken = FrameSource({"invoice_line": lines.load("invoice_line")})
+    with pytest.raises(KeyError):
+        jobs.refresh_if_changed(broken, warehouse)
+    # Staging is whole from here on, so the row counts agree.
+    for step in ("load_star", "copy_layer", "load_marts"):
+        with monkeypatch.context() as patch:
+            patch.setattr(jobs, step, lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                jobs.refresh_if_changed(lines, warehouse)
+        assert not jobs.source_drift(lines, warehouse).first()["changed"]
+        assert not jobs.last_load_finished(warehouse)
+    assert jobs.refresh_if_changed(lines, warehouse)
+    assert rows(warehouse.snapshot("dds", "sales_by_service")) == [("ski", Decimal("5.00"))]
+    # Two of the three versions of the star are kept.
+    assert warehouse.expire("nds", "fact_sale") == 0
+    assert warehouse.expire("nds", "fact_sale", keep=1) == 1
+    assert not jobs.refresh_if_changed(lines, warehouse)
+
+
 # --- files ------------------------------------------------------------------
 def put(folder, name, kind, values):
     return xmlfiles.write(folder / name, [xmlfiles.record(kind, v) for v in values])
@@ -113,6 +134,24 @@ def test_employee_files(spark, warehouse, rows, tmp_path):
     assert rows(warehouse.snapshot("nds", jobs.EMPLOYMENT_TABLE)) == rows(employment)
 
 
+def test_records_are_numbered_as_they_stand(spark, warehouse, tmp_path):
+    files = tmp_path / "files"
+    files.mkdir()
+    put(files, "b.xml", EMPLOYEE_XML, [xmlfiles.employee(i) for i in (9, 3, 7)])
+    put(files, "a.xml", EMPLOYEE_XML, [xmlfiles.employee(i) for i in (8, 1)])
+    put(files, "c.xml", EMPLOYEE_XML, [xmlfiles.employee(5)])
+    first = jobs.stage_file(warehouse, EMPLOYEE_XML, f"{files}/*.xml")
+    second = jobs.stage_file(warehouse, EMPLOYEE_XML, str(files / "c.xml"))
+    found = [
+        [(r.record_id, r.id_employee) for r in jobs.staged_file(warehouse, EMPLOYEE_XML, request)
+         .orderBy("record_id").collect()]
+        for request in (first, second)
+    ]
+    assert found == [
+        [(1, "8"), (2, "1"), (3, "9"), (4, "3"), (5, "7"), (6, "5")], [(7, "5")],
+    ]
+
+
 def test_a_broken_off_run_is_done_again(spark, warehouse, rows, tmp_path, monkeypatch):
     path = put(tmp_path, "employee_1.xml", EMPLOYEE_XML, [xmlfiles.employee(1)])
     request = jobs.stage_file(warehouse, EMPLOYEE_XML, path)

@@ -35,6 +35,7 @@ def test_jdbc_reads_in_slices(spark):
     assert source.bounds_query("sales") == (
         "SELECT MIN(inv_id) AS low, MAX(inv_id) AS high FROM public.sales"
     )
+    assert source.count_query("sales") == "SELECT COUNT(*) AS n FROM public.sales"
     assert source.slice_options("sales", 1, 900) == {
         "table": "public.sales", "column": "inv_id", "lowerBound": 1, "upperBound": 901,
         "numPartitions": 8,
