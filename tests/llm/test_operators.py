@@ -209,10 +209,77 @@ def test_ctw_scores_and_word_baseline(spark):
         assert r.score <= 0 and (r.score == 0) == (not text)
 
 
-def test_ctw_table_is_a_distribution():
-    code = np.array([(97 << 16) | (98 << 8) | 99, (98 << 8) | 99, 99])
-    table = 10 ** ctw.Mixture(code, np.array([5, 3, 9])).table.astype(float)
-    assert np.allclose(table.sum(axis=1), 1)
+def ctw_by_force(train, text):
+    """log10 of a text by the recursion over all contexts, nodes in plain dictionaries."""
+    counts = Counter()
+
+    def nodes(raw, k, depth):
+        context = bytes(raw[k - j] if k >= j else 0 for j in range(1, depth + 1))
+        return [(context, level, raw[k] >> (8 - level), raw[k] >> (7 - level) & 1) for level in range(8)]
+
+    for raw in train:
+        for k in range(len(raw)):
+            for depth in range(ctw.DEPTH + 1):
+                counts.update(nodes(raw, k, depth))
+    below = {}
+    for context, level, prefix, _ in counts:
+        if context:
+            below.setdefault((context[:-1], level, prefix), set()).add(context)
+
+    def kt(context, level, prefix):
+        a, b = (counts[(context, level, prefix, bit)] for bit in (0, 1))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def whole(context, level, prefix, depth):
+        own = kt(context, level, prefix)
+        if len(context) == depth:
+            return own
+        children = sum(whole(c, level, prefix, depth) for c in below.get((context, level, prefix), ()))
+        return np.logaddexp(own, children) - math.log(2)
+
+    def zero(context, level, prefix):
+        a, b = (counts[(context[:0], level, prefix, bit)] for bit in (0, 1))
+        weights, chances = [], []
+        for d in range(ctw.DEPTH + 1):
+            a, b = (counts[(context[:d], level, prefix, bit)] for bit in (0, 1))
+            if d and not a + b:
+                break
+            chances.append((a + 0.5) / (a + b + 1))
+            cut = ctw.TOP if d < ctw.TOP else ctw.DEPTH
+            weights.append(math.exp(min(0, kt(context[:d], level, prefix) - math.log(2) - whole(context[:d], level, prefix, cut))))
+        out = chances[-1]
+        for weight, chance in list(zip(weights, chances, strict=True))[-2::-1]:
+            out = weight * chance + (1 - weight) * out
+        return out
+
+    total = 0.0
+    for k in range(len(text)):
+        context = bytes(text[k - j] if k >= j else 0 for j in range(1, ctw.DEPTH + 1))
+        for level in range(8):
+            p = zero(context, level, text[k] >> (8 - level))
+            total += math.log10(1 - p if text[k] >> (7 - level) & 1 else p)
+    return total
+
+
+def test_ctw_matches_the_recursion(spark, monkeypatch):
+    monkeypatch.setattr(ctw, "BATCH", 40)
+    monkeypatch.setattr(ctw, "BUCKET", 60)
+    texts = ["the cat sat on the mat", "the cat ate the rat", "a rat sat é", "", "the rats sat on mats", "zzzz"]
+    rows = [(k, t, k >= 4) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    train = [t.encode() for _, t, held in rows if not held]
+    for r in ctw.score(docs).collect():
+        assert r.score == pytest.approx(ctw_by_force(train, texts[r.doc_id].encode()), rel=1e-4, abs=1e-4)
+
+
+def test_ctw_is_a_distribution(spark):
+    texts = spark.createDataFrame([("abcabdabc",), ("xbc",)], "text string")
+    upper = ctw.fit(texts)
+    code = np.unique(ctw.codes(*bytesops.lay_out([b"abcabdabc", b"xbc"])))
+    contexts = np.unique(code >> np.uint64(8) << np.uint64(8))
+    every = np.unique((contexts[:, None] | np.arange(256, dtype=np.uint64)).ravel())
+    chance = 10 ** ctw.mixed_log10(every, np.isin(every, code).astype(np.int64), upper)
+    assert np.allclose(chance.reshape(-1, 256).sum(axis=1), 1, atol=1e-5)
 
 
 def test_byte_network_learns_and_marks_unknown(spark):
