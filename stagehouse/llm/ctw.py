@@ -55,11 +55,14 @@ def codes(flat: np.ndarray, begin: np.ndarray, depth: int = DEPTH) -> np.ndarray
     Nearer bytes are more significant, so the codes of a subtree lie together when
     sorted. The space that ends each text is left out.
     """
-    place = np.arange(len(flat)) - np.repeat(begin[:-1], np.diff(begin))
     code = flat.astype(np.uint64)
     for back in range(1, depth + 1):
-        there = np.flatnonzero(place >= back)
-        code[there] |= flat[there - back].astype(np.uint64) << B.U(8 * (depth - back + 1))
+        code[back:] |= flat[:-back].astype(np.uint64) << B.U(8 * (depth - back + 1))
+    # What lies before the beginning of a text counts as zero bytes.
+    for place in range(depth):
+        at = begin[:-1] + place
+        own = ((1 << 8 * place) - 1) << 8 * (depth - place + 1) | 0xFF
+        code[at[at < begin[1:]]] &= B.U(own)
     inside = np.ones(len(flat), dtype=bool)
     inside[begin[1:] - 1] = False
     return code[inside]
@@ -245,8 +248,12 @@ def mixed_log10(code: np.ndarray, n: np.ndarray, upper: Upper) -> np.ndarray:
 
 def _batch_codes(raw: list[bytes], buckets: int):
     """Distinct codes of a batch by bucket: all bytes' places in ``known``, ``known`` itself and where buckets begin."""
-    found = [codes(*B.lay_out(raw[first:last])) for first, last in B.blocks(raw)]
-    known, place = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *found]), return_inverse=True)
+    found = [
+        np.unique(codes(*B.lay_out(raw[first:last])), return_inverse=True) for first, last in B.blocks(raw, BATCH // 16)
+    ]
+    known = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *(code for code, _ in found)]))
+    place = [np.searchsorted(known, code)[back] for code, back in found]
+    place = np.concatenate([np.zeros(0, dtype=np.int64), *place])
     found.clear()
     bucket = (B.mix64(known >> B.U(8 * (DEPTH - TOP + 1))) % B.U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
