@@ -282,6 +282,15 @@ def _edges(known: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(known, bounds), [len(known)]])
 
 
+def _packed(code: np.ndarray) -> bytes:
+    """Sorted codes as the steps between them, which are small."""
+    return B.planes(np.diff(code, prepend=B.U(0)))
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(B.from_planes(data, np.uint64), dtype=np.uint64)
+
+
 def _ask(buckets: int):
     def ask(frame: pd.DataFrame) -> pd.DataFrame:
         raw = B.as_bytes(frame["text"].tolist())
@@ -299,7 +308,7 @@ def _ask(buckets: int):
                 "batch": frame["batch"].iloc[0],
                 "words": [known[edge[k] : edge[k + 1]].tobytes() for k in full],
                 "n": [n[edge[k] : edge[k + 1]].tobytes() for k in full],
-                "codes": [B.planes(seen[begin[k] : begin[k + 1]]) for k in full],
+                "codes": [_packed(seen[begin[k] : begin[k + 1]]) for k in full],
                 "times": [B.planes(times[begin[k] : begin[k + 1]]) for k in full],
             }
         )
@@ -312,7 +321,7 @@ def _summed(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     known, total = np.zeros(0, dtype=np.uint64), np.zeros(0)
     held, size = [], 0
     for i, (code, times) in enumerate(zip(frame["codes"], frame["times"], strict=True)):
-        held.append((B.from_planes(code, np.uint64), B.from_planes(times, np.int32)))
+        held.append((_unpacked(code), B.from_planes(times, np.int32)))
         size += len(held[-1][0])
         if size >= GATHERED or i + 1 == len(frame):
             both, place = np.unique(np.concatenate([known, *[c for c, _ in held]]), return_inverse=True)
@@ -330,18 +339,18 @@ def _answer(upper):
         total = np.bincount(place, weights=np.concatenate(given), minlength=len(known)).astype(np.int64)
         answers, at = [], 0
         for words in asked:
-            answers.append(total[place[at : at + len(words)]].tobytes())
+            answers.append(B.planes(total[place[at : at + len(words)]]))
             at += len(words)
         code, times = _summed(frame)
         log = mixed_log10(code, times, upper.value).astype(np.float32) if len(code) else np.zeros(0, dtype=np.float32)
-        wanted = (B.from_planes(x, np.uint64) for x in frame["codes"])
+        wanted = (_unpacked(x) for x in frame["codes"])
         first = np.arange(len(asked)) == 0
         return pd.DataFrame(
             {
                 "batch": frame["batch"],
                 "bucket": frame["bucket"],
                 "counts": answers,
-                "logs": [log[np.searchsorted(code, x)].tobytes() for x in wanted],
+                "logs": [B.planes(log[np.searchsorted(code, x)]) for x in wanted],
                 "kinds": np.where(first, (total > 0).sum(), 0),
                 "tokens": np.where(first, total.sum(), 0),
             }
@@ -356,7 +365,7 @@ def _score(buckets: int, tokens: int, kinds: int, ends: int):
         known, place, owner = _batch_words(raw)
         answers = answers.sort_values("bucket")
         none = np.zeros(0, dtype=np.int64)
-        counts = np.concatenate([none, *[np.frombuffer(x, dtype=np.int64) for x in answers["counts"]]])
+        counts = np.concatenate([none, *[B.from_planes(x, np.int64) for x in answers["counts"]]])
         log = np.log10(counts + 0.1)[place]
         n = len(raw)
         n_words = np.bincount(owner, minlength=n)
@@ -365,7 +374,7 @@ def _score(buckets: int, tokens: int, kinds: int, ends: int):
         known_words = np.bincount(owner, weights=counts[place] > 0, minlength=n).astype(np.int64)
         sizes = np.fromiter((len(t) for t in raw), dtype=np.int64, count=n)
         _, at, _ = _batch_codes(raw, buckets)
-        logs = np.concatenate([none.astype(np.float32), *[np.frombuffer(x, dtype=np.float32) for x in answers["logs"]]])
+        logs = np.concatenate([none.astype(np.float32), *[B.from_planes(x, np.float32) for x in answers["logs"]]])
         model = np.bincount(np.repeat(np.arange(n), sizes), weights=logs[at], minlength=n)
         return pd.DataFrame(
             {
