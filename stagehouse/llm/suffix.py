@@ -24,7 +24,7 @@ Suffixes are compared by 96 bits: a hash of their whole bytes and 32 bits of ano
 
 Defined cases: a null text is empty; a null id comes before all others; rows that
 share an id are ordered by a hash of their text, and rows that also share the text
-are one document, each returned with its result; texts shorter than ``LENGTH`` are
+are one document (a string met again at its own place is no repeat), each returned with its result; texts shorter than ``LENGTH`` are
 kept whole; an empty table gives no rows; further columns are kept by
 ``without_repeats`` and ignored by ``repeats``.
 """
@@ -130,7 +130,7 @@ def _start_suffixes(raw: list[bytes], asked: list[np.ndarray]) -> Iterator[tuple
     """The single starts asked for (``offset << 8 | starts`` of blocks): text, start, 1, two hashes."""
     wanted = []
     for packed in asked:
-        packed = np.sort(np.asarray(packed, dtype=np.int64))
+        packed = np.unique(np.asarray(packed, dtype=np.int64))
         low, count = packed >> 8, packed & 255
         wanted.append(np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
     for flat, begin, owner, offset, starts in _pieces(raw):
@@ -172,6 +172,10 @@ def _batch_array(core, suffix, doc, start, count, expand: bool) -> tuple[Arrays,
     """Sort a batch into its suffix array; what is settled within the batch goes aside (with its kind)."""
     order = np.lexsort((start, doc, suffix, core))
     core, suffix, doc, start, count = (x[order] for x in (core, suffix, doc, start, count))
+    # Repeated rows of one document give the same suffix again; it is no repeat of itself.
+    own = np.ones(len(core), dtype=bool)
+    own[1:] = (core[1:] != core[:-1]) | (suffix[1:] != suffix[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+    core, suffix, doc, start, count = (x[own] for x in (core, suffix, doc, start, count))
     again = np.zeros(len(core), dtype=bool)
     again[1:] = (core[1:] == core[:-1]) & (suffix[1:] == suffix[:-1])
     kind = np.where(again, REPEAT, SUFFIX).astype(np.uint8)
@@ -270,7 +274,9 @@ class Levels:
             at = at[hit]
             new_doc, new_start, count = array[2][hit], array[3][hit], array[4][hit]
             earlier = (new_doc < doc[at]) | ((new_doc == doc[at]) & (new_start < start[at]))
-            self.repeats.append((np.where(earlier, doc[at], new_doc), np.where(earlier, start[at], new_start), count))
+            other = (new_doc != doc[at]) | (new_start != start[at])
+            later = np.where(earlier, doc[at], new_doc), np.where(earlier, start[at], new_start), count
+            self.repeats.append(tuple(x[other] for x in later))
             doc[at[earlier]], start[at[earlier]] = new_doc[earlier], new_start[earlier]
             left = np.ones(len(array[0]), dtype=bool)
             left[hit] = False

@@ -70,6 +70,22 @@ def test_suffix_matches_brute_force(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], r.doc_id
 
 
+@pytest.mark.parametrize("array", [suffix.ARRAY, 40])
+def test_suffix_keeps_the_text_of_repeated_rows(spark, monkeypatch, array):
+    monkeypatch.setattr(suffix, "ARRAY", array)
+    own = " ".join(f"alone{i * 31 % 89}" for i in range(40))
+    shared = "start of it " + BASE[300:450] + " end of it"
+    rows = [*ROWS, (50, own, "a"), (50, own, "a"), (50, own, "b"), (51, shared, "a"), (51, shared, "a"), (None, BASE, "a")]
+    want = removed(rows)
+    for parts in (1, 5):
+        docs = documents(spark, rows).repartition(parts)
+        got = suffix.repeats(docs).collect()
+        assert sorted(str(r.doc_id) for r in got) == sorted(str(d) for d, _, _ in rows)
+        for r in got:
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id], (parts, r.doc_id)
+    assert [r.text for r in suffix.without_repeats(docs).where("doc_id = 50").collect()] == [own] * 3
+
+
 def test_suffix_cuts_long_texts_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffix, "PIECE", 300)
     found = list(suffix._block_suffixes([BASE.encode()]))
