@@ -1,22 +1,27 @@
 """Benchmark decontamination by spaced seeds, with built-in functions only.
 
-A spaced seed is a fixed mask over consecutive tokens: positions marked ``1``
+A spaced seed is a mask over consecutive tokens: positions marked ``1``
 are hashed, those marked ``0`` may differ. Seeds of the training texts meet the
 seeds of the benchmark in a hash join; around each hit the document is laid over
 the benchmark item along the hit's diagonal, and the overlap is confirmed when
 some window of ``window`` tokens (the whole item, where it is shorter) agrees in
 at least ``least`` of its tokens.
 
+The masks are chosen so that every overlap of that kind has a hit: whichever tokens
+of a window differ, as many as may, some mask fits on others only. Items shorter
+than the window have masks for their own size, down to a single token.
+
 Tokens are lower-cased runs of ASCII letters and digits and of any characters
-beyond ASCII. All masks begin with the same two positions, so a position is
-looked up by its first two tokens before it is hashed by each mask. Two ways lead to the same
+beyond ASCII; in scripts written without spaces (Han, Kana, Thai, Lao, Myanmar, Khmer)
+every character is a token. All masks but that of a single token begin with the
+same two positions, so a position is looked up by its first two tokens before it is
+hashed by each mask. Two ways lead to the same
 rows. With few benchmark seeds (a bound checked by counting them) the seed table
 and the items are broadcast, and texts are scanned once without being moved.
 With more, seeds are joined by a shuffle and the hits come back to their texts.
 
-Defined cases: a null or empty text has no tokens and no hit; a text or item
-shorter than a mask is not seeded by it, and one shorter than all masks (eight
-tokens) overlaps with nothing; documents and items that
+Defined cases: a null or empty text has no tokens and no hit; an item of a few tokens
+overlaps with every text that has them; documents and items that
 share an id are told apart by their texts but reported under that id; repeated
 rows are reported once; an empty table on either side gives no rows; further
 columns are ignored.
@@ -25,6 +30,9 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache, reduce
+from itertools import combinations
+from math import ceil, comb
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +40,60 @@ from pyspark.sql import functions as F
 from stagehouse.llm.common import read_table
 from stagehouse.session import materialize
 
-# Fixed masks; each begins with HEAD.
-HEAD = "11"
-MASKS = ("11101011", "11011011", "1100010111")
+# Masks begin with HEAD, that of a single token with ONE.
+HEAD, ONE = "11", "1"
+# Positions a mask hashes at most, and sets of differing tokens that are gone through to choose masks.
+WEIGHT = 6
+SETS = 5000
 WINDOW = 13
 LEAST = 0.75
 BROADCAST_SEEDS = 1_000_000
+# Scripts written without spaces: Thai and Lao, Myanmar, Khmer, Kana and marks, Han.
+UNSPACED = (
+    r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{FF66}-\x{FF9F}\x{20000}-\x{3FFFF}"
+)
+
+
+@cache
+def covering_masks(width: int, least: float = LEAST) -> tuple[str, ...]:
+    """Masks of which one fits on equal tokens only, in any ``width`` tokens that agree in ``least`` of them.
+
+    Chosen greedily, heavy ones first; those that others make needless are dropped.
+    """
+    agree = ceil(least * width)
+    if agree < 1:
+        raise ValueError("without a token that must agree everything overlaps")
+    misses = width - agree
+    run = ceil(agree / (misses + 1))
+    if run < 2 or comb(width, misses) > SETS:
+        # Some run of equal tokens is at least this long.
+        return ("1" * min(run, WEIGHT),)
+    everything = frozenset(map(frozenset, combinations(range(width), misses)))
+    chosen: list[tuple[tuple[int, ...], set]] = []
+    open_ = set(everything)
+    for weight in range(min(WEIGHT, agree), 1, -1):
+        found = {}
+        for rest in combinations(range(2, width), weight - 2):
+            ones = (0, 1, *rest)
+            places = [{at + i for i in ones} for at in range(width - ones[-1])]
+            found[ones] = {gone for gone in everything if any(not gone & place for place in places)}
+        while open_:
+            ones = max(found, key=lambda x: (len(found[x] & open_), -x[-1]))
+            if not found[ones] & open_:
+                break
+            chosen.append((ones, found[ones]))
+            open_ -= found[ones]
+    for one in list(chosen):
+        others = [x for x in chosen if x is not one]
+        if set().union(*(x[1] for x in others)) >= everything:
+            chosen = others
+    return tuple("".join("1" if i in ones else "0" for i in range(ones[-1] + 1)) for ones, _ in chosen)
 
 
 def tokens(text: Column) -> Column:
-    """Runs of ASCII letters, digits and characters beyond ASCII, lower-cased."""
-    pattern = F.lit(r"[a-z0-9\x{80}-\x{10FFFF}]+")
+    """Runs of ASCII letters, digits and characters beyond ASCII, lower-cased; single characters of unspaced scripts."""
+    pattern = F.lit(rf"[{UNSPACED}]|[a-z0-9\x{{80}}-\x{{10FFFF}}&&[^{UNSPACED}]]+")
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), pattern, 0)
 
 
@@ -51,13 +102,13 @@ def _tokenized(rows: DataFrame, name: str, *kept: str | Column) -> DataFrame:
     return rows.select(*kept, F.explode(F.array(tokens(F.col("text")))).alias(name))
 
 
-def _hash(array: str, at: Column, mask: str, number: int) -> Column:
+def _hash(array: str, at: Column, mask: str) -> Column:
     picked = [F.get(F.col(array), at + i) for i, bit in enumerate(mask) if bit == "1"]
-    return F.xxhash64(F.lit(number), *picked)
+    return F.xxhash64(F.lit(mask), *picked)
 
 
-def _head(array: str) -> Column:
-    return _hash(array, F.col("at"), HEAD, -1)
+def _head(array: str, head: str) -> Column:
+    return _hash(array, F.col("at"), head)
 
 
 def _positions(rows: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
@@ -68,13 +119,20 @@ def _positions(rows: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
 
 def _seeds(placed: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
     """One row per position and mask that fits there: adds ``seed``."""
-    hashed = [
-        F.when(F.col("at") + len(m) <= F.size(array), _hash(array, F.col("at"), m, n))
-        for n, m in enumerate(masks)
-    ]
+    hashed = [F.when(F.col("at") + len(m) <= F.size(array), _hash(array, F.col("at"), m)) for m in masks]
     return placed.withColumn("seed", F.explode(F.array(*hashed))).where("seed is not null")
 
 
+def _headed(masks: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """Masks by what they begin with, where there are any."""
+    heads = [(HEAD, [m for m in masks if m.startswith(HEAD)]), (ONE, [m for m in masks if not m.startswith(HEAD)])]
+    return [(head, mine) for head, mine in heads if mine]
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
     """``hits`` carry doc_tokens, item_tokens and ``start``; keeps the confirmed ones.
 
@@ -106,7 +164,7 @@ def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
-    masks: Sequence[str] = MASKS,
+    masks: Sequence[str] | None = None,
     window: int = WINDOW,
     least: float = LEAST,
     broadcast_seeds: int = BROADCAST_SEEDS,
@@ -118,22 +176,38 @@ def contaminated(
     """
     items = _tokenized(benchmark, "item_tokens", "item_id").distinct()
     items = materialize(items, "items")
-    places = _positions(items, "item_tokens", masks)
-    seeds = _seeds(places, "item_tokens", masks).select(
-        "seed", _head("item_tokens").alias("head"), "item_id", F.col("at").alias("item_at"), "item_tokens"
-    )
-    seeds = materialize(seeds.distinct(), "item-seeds")
+    size = F.least(F.size("item_tokens"), F.lit(window))
+    sizes = sorted(r["size"] for r in items.select(size.alias("size")).distinct().collect() if r["size"] > 0)
+    if not sizes:
+        sizes = [window]
+    own = {n: tuple(masks) if masks and n == window else covering_masks(n, least) for n in sizes}
+    every = sorted({m for mine in own.values() for m in mine})
+    heads = _headed(every)
+    seeds = []
+    for n, mine in own.items():
+        for head, some in _headed(mine):
+            placed = _positions(items.where(size == n), "item_tokens", some)
+            seeds.append(
+                _seeds(placed, "item_tokens", some).select(
+                    "seed", F.lit(head).alias("begins"), _head("item_tokens", head).alias("head"), "item_id",
+                    F.col("at").alias("item_at"), "item_tokens",
+                )
+            )
+    seeds = materialize(_union(seeds).distinct(), "item-seeds")
     few = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
     if few:
         texts = _tokenized(docs, "doc_tokens", "doc_id")
-        heads = F.broadcast(seeds.select("head").distinct())
-        placed = _positions(texts, "doc_tokens", masks).withColumn("head", _head("doc_tokens"))
-        placed = _seeds(placed.join(heads, "head", "left_semi"), "doc_tokens", masks)
-        hits = placed.join(F.broadcast(seeds.drop("head")), "seed")
+        found = []
+        for head, mine in heads:
+            known = F.broadcast(seeds.where(F.col("begins") == head).select("head").distinct())
+            placed = _positions(texts, "doc_tokens", mine).withColumn("head", _head("doc_tokens", head))
+            found.append(_seeds(placed.join(known, "head", "left_semi"), "doc_tokens", mine))
+        hits = _union(found).join(F.broadcast(seeds.drop("head", "begins")), "seed")
     else:
         keyed = _tokenized(docs, "doc_tokens", "doc_id", F.xxhash64("text").alias("tag"))
-        placed = _seeds(_positions(keyed, "doc_tokens", masks), "doc_tokens", masks).select("seed", "doc_id", "tag", "at")
-        met = placed.join(seeds, "seed").select("doc_id", "tag", "at", "item_id", "item_at", "item_tokens")
+        placed = _union([_seeds(_positions(keyed, "doc_tokens", mine), "doc_tokens", mine) for _, mine in heads])
+        met = placed.select("seed", "doc_id", "tag", "at").join(seeds, "seed")
+        met = met.select("doc_id", "tag", "at", "item_id", "item_at", "item_tokens")
         met = met.withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
         same = keyed["doc_id"].eqNullSafe(met["_id"]) & (keyed["tag"] == met["_tag"])
         hits = keyed.join(met, same).drop("_id", "_tag", "tag")

@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -342,6 +343,59 @@ def test_decontamination_tolerates_substitutions_on_both_paths(spark):
     assert sorted(r.doc_id for r in decontam.without_contaminated(docs, bench).collect()) == [2, 3, 4]
 
 
+def overlaps_by_force(docs, items):
+    """All pairs that overlap, over every diagonal and every set of tokens, with the best window's count."""
+    han = re.compile(r"[\u4e00-\u9fff]|[a-z0-9\x80-\u4dff\ua000-\U0010ffff]+")
+    cut = lambda t: han.findall((t or "").lower())
+    out = {}
+    for doc, text in docs:
+        for item, asked in items:
+            d, x = cut(text), cut(asked)
+            width = min(13, len(x))
+            for start in range(-len(x) + 1, len(d) if x else 0):
+                agree = [0 <= start + i < len(d) and d[start + i] == t for i, t in enumerate(x)]
+                best = max(sum(agree[k : k + width]) for k in range(len(x) - width + 1))
+                if best >= math.ceil(0.75 * width):
+                    out[doc, item] = max(out.get((doc, item), 0), best)
+    return out
+
+
+@pytest.mark.parametrize("width", range(1, 14))
+def test_decontamination_masks_hit_every_overlap(width):
+    masks = decontam.covering_masks(width)
+    for gone in combinations(range(width), width - math.ceil(0.75 * width)):
+        fits = [
+            all(at + i not in gone for i, bit in enumerate(m) if bit == "1")
+            for m in masks
+            for at in range(width - len(m) + 1)
+        ]
+        assert any(fits), (masks, gone)
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = np.random.default_rng(8)
+    items, texts = [(90, "天地玄黄宇宙洪荒"), (91, None), (92, ""), (93, "Short one")], []
+    for n in (1, 2, 3, 4, 5, 7, 8, 9, 11, 12, 13, 14, 15, 20, 30):
+        for k in range(2):
+            item = [f"i{n}x{k}x{j % 11}" for j in range(n)]
+            items.append((10 * n + k + 1000, " ".join(item)))
+            for misses in range(5):
+                text = list(item)
+                for place in rng.permutation(n)[: min(misses, n)]:
+                    text[place] = "other"
+                text = text[int(rng.integers(0, 2)) :]
+                texts.append(" ".join(["lead"] * int(rng.integers(0, 3)) + text + ["end"] * int(rng.integers(0, 3))))
+    texts += ["前天地玄黄宇亩洪荒后", "天地玄", None, "", "a short one", "short"]
+    rows = list(enumerate(texts))
+    want = overlaps_by_force(rows, items)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for few in (1_000_000, 0):
+        got = {(r.doc_id, r.item_id): r.matched for r in decontam.contaminated(docs, bench, broadcast_seeds=few).collect()}
+        assert got == want
+    assert decontam.contaminated(docs, bench.limit(0)).isEmpty()
+
+
 def test_mix_meets_targets_and_limits(spark):
     rows = [(k, "w " * (1 + k % 5), "abc"[k % 3] if k % 20 else None) for k in range(4000)]
     out = mixing.with_copies(documents(spark, rows)).collect()
