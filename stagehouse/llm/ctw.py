@@ -19,7 +19,7 @@ Depths below ``TOP`` are mixed by a table with a row per pair of bytes, at most
 broadcast. Their weights are those of the tree cut at ``TOP``.
 
 Defined cases: a null text is empty (one token, the end; score 0); a null id is
-in the training part (it hashes as the empty text); repeated rows count and are
+in the training part of ``op4``; repeated rows count and are
 scored as often as they occur; without training texts all counts are 0 and every
 decision is a half; an empty table gives no rows; further columns are ignored.
 Words are lower-cased for the baseline; bytes are scored as they are. Contexts at
@@ -427,4 +427,5 @@ def score(docs: DataFrame) -> DataFrame:
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return score(docs.select("doc_id", "text", (fold(F.col("doc_id"), 10) == 0).alias("held_out")))
+    held_out = F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 10) == 0)
+    return score(docs.select("doc_id", "text", held_out.alias("held_out")))

@@ -153,15 +153,15 @@ def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
         lambda i: F.aggregate(F.slice("agree", i + 1, F.col("compared")), F.lit(0), lambda a, b: a + b),
     )
     compared = hits.select(
-        "doc_id", "item_id", "start", width.alias("compared"), F.explode(F.array(agree)).alias("agree")
+        "doc_id", "tag", "item_id", "start", width.alias("compared"), F.explode(F.array(agree)).alias("agree")
     )
     best = compared.select(
-        "doc_id", "item_id", "start", "compared", F.explode(F.array(F.array_max(sums))).alias("matched")
+        "doc_id", "tag", "item_id", "start", "compared", F.explode(F.array(F.array_max(sums))).alias("matched")
     )
     return best.where(F.col("matched") >= F.ceil(F.lit(least) * F.col("compared")))
 
 
-def contaminated(
+def _overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
     masks: Sequence[str] | None = None,
@@ -169,11 +169,7 @@ def contaminated(
     least: float = LEAST,
     broadcast_seeds: int = BROADCAST_SEEDS,
 ) -> DataFrame:
-    """One row per document and item that overlap.
-
-    Columns: ``doc_id``, ``item_id``, ``matched`` and ``compared`` tokens of the
-    best window, ``start`` (where the item's first token lies in the document).
-    """
+    """The confirmed hits, with ``tag``, a hash of the document's text."""
     items = _tokenized(benchmark, "item_tokens", "item_id").distinct()
     items = materialize(items, "items")
     size = F.least(F.size("item_tokens"), F.lit(window))
@@ -196,7 +192,7 @@ def contaminated(
     seeds = materialize(_union(seeds).distinct(), "item-seeds")
     few = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
     if few:
-        texts = _tokenized(docs, "doc_tokens", "doc_id")
+        texts = _tokenized(docs, "doc_tokens", "doc_id", F.xxhash64("text").alias("tag"))
         found = []
         for head, mine in heads:
             known = F.broadcast(seeds.where(F.col("begins") == head).select("head").distinct())
@@ -210,9 +206,18 @@ def contaminated(
         met = met.select("doc_id", "tag", "at", "item_id", "item_at", "item_tokens")
         met = met.withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
         same = keyed["doc_id"].eqNullSafe(met["_id"]) & (keyed["tag"] == met["_tag"])
-        hits = keyed.join(met, same).drop("_id", "_tag", "tag")
+        hits = keyed.join(met, same).drop("_id", "_tag")
     hits = hits.withColumn("start", F.col("at") - F.col("item_at"))
-    near = _confirm(hits.select("doc_id", "item_id", "start", "doc_tokens", "item_tokens"), window, least)
+    return _confirm(hits.select("doc_id", "tag", "item_id", "start", "doc_tokens", "item_tokens"), window, least)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, *args, **options) -> DataFrame:
+    """One row per document and item that overlap.
+
+    Columns: ``doc_id``, ``item_id``, ``matched`` and ``compared`` tokens of the
+    best window, ``start`` (where the item's first token lies in the document).
+    """
+    near = _overlaps(docs, benchmark, *args, **options)
     best = F.max(F.struct("matched", "compared", (-F.col("start")).alias("place"))).alias("best")
     found = near.groupBy("doc_id", "item_id").agg(best)
     return found.select(
@@ -221,10 +226,11 @@ def contaminated(
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents no item overlaps, all columns kept."""
-    found = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias("_found")).distinct()
-    found = materialize(found, "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+    """The documents no item overlaps, all columns kept; other texts of an id, or without one, stay."""
+    found = _overlaps(docs, benchmark, **options)
+    found = materialize(found.select(F.col("doc_id").alias("_found"), F.col("tag").alias("_tag")).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(found["_found"]) & (F.xxhash64(docs["text"]) == found["_tag"])
+    return docs.join(found, same, "left_anti")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,6 +147,7 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 pd.DataFrame(
                     {
                         "doc_id": frame["doc_id"].iloc[first:last].astype("Int64"),
+                        **({"tag": frame["tag"].iloc[first:last].astype("Int64")} if "tag" in frame else {}),
                         "n": n,
                         "sig": sig,
                         "sketch": sketches(n, owner, hashes),
@@ -166,6 +167,7 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 pd.DataFrame(
                     {
                         "doc_id": pd.array([None] * int(often.sum()), dtype="Int64"),
+                        **({"tag": pd.array([None] * int(often.sum()), dtype="Int64")} if "tag" in frame else {}),
                         "n": 0,
                         "sig": hashes[often].view(np.int64),
                         "sketch": [b""] * int(often.sum()),
@@ -366,11 +368,17 @@ class _Checker:
 
 def similarity_components(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
+    return _placed(docs, [])
+
+
+def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
+    """The components, also with ``tag``, a hash of the text, where ``tag`` names it."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     texts = docs.withColumn("text", F.col("text").cast("binary"))
-    schema = "doc_id long, n int, sig long, sketch binary, times int"
-    summaries = materialize(texts.mapInPandas(_summaries, schema), "summaries")
+    schema = ", ".join(["doc_id long", *(f"{t} long" for t in tag), "n int, sig long, sketch binary, times int"])
+    tagged = docs.select("doc_id", F.col("text").cast("binary").alias("text"), *(F.xxhash64("text").alias(t) for t in tag))
+    summaries = materialize(tagged.mapInPandas(_summaries, schema), "summaries")
     sets = summaries.where("times < 0")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("sig", "n")
     classes = materialize(classes.agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")), "classes")
@@ -429,14 +437,15 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     rooted = named.join(roots, "part").select("sig", "n", F.col("root").alias("component"))
     joined = sets.join(rooted, ["sig", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    return joined.select("doc_id", *tag, F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id); those without an id all stay."""
-    placed = similarity_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    placed = materialize(placed, "copies")
-    return docs.join(placed, docs["doc_id"] == placed["_copy"], "left_anti")
+    """One document of each component (the smallest id); those without an id all stay, and so do other texts of an id."""
+    placed = _placed(docs, ["tag"]).where("doc_id <> component_id")
+    placed = materialize(placed.select(F.col("doc_id").alias("_copy"), F.col("tag").alias("_tag")).distinct(), "copies")
+    same = (docs["doc_id"] == placed["_copy"]) & (F.xxhash64(docs["text"]) == placed["_tag"])
+    return docs.join(placed, same, "left_anti")
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -396,6 +396,29 @@ def test_decontamination_matches_brute_force(spark):
     assert decontam.contaminated(docs, bench.limit(0)).isEmpty()
 
 
+def test_stages_keep_other_texts_of_an_id(spark, tmp_path):
+    item = " ".join(f"item{k}" for k in range(20))
+    clean = [" ".join(f"clean{d}x{k}" for k in range(20)) for d in range(4)]
+    rows = [(None, item, "a"), (None, clean[0], "a"), (7, item, "a"), (7, clean[1], "a"), (8, clean[2], "a"), (9, clean[2], "b"), (9, clean[3], "b")]
+    docs = documents(spark, rows)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for few in (1_000_000, 0):
+        out = decontam.without_contaminated(docs, bench, broadcast_seeds=few)
+        assert sorted(r.text for r in out.collect()) == sorted(t for _, t, _ in rows if t != item)
+    out = jaccard.without_near_duplicates(docs).select("doc_id", "text").collect()
+    kept = [(7, clean[1]), (7, item), (8, clean[2]), (9, clean[3])]
+    assert sorted(tuple(r) for r in out if r.doc_id is not None) == kept
+    assert sum(r.doc_id is None for r in out) == 2
+
+    unnamed = [(None, f"{k} " + "w " * 4, "b" if k % 3 else "a") for k in range(2000)]
+    taken = mixing.mix(documents(spark, unnamed)).groupBy("source").count().collect()
+    sizes = {r.source: r.target / 5 for r in mixing.with_copies(documents(spark, unnamed)).collect()}
+    assert all(r["count"] == pytest.approx(sizes[r.source], rel=0.1) for r in taken)
+
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    assert not any(r.held_out for r in ctw.op4_lm_score(spark, str(tmp_path)).collect() if r.doc_id is None)
+
+
 def test_mix_meets_targets_and_limits(spark):
     rows = [(k, "w " * (1 + k % 5), "abc"[k % 3] if k % 20 else None) for k in range(4000)]
     out = mixing.with_copies(documents(spark, rows)).collect()
