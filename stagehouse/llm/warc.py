@@ -4,6 +4,9 @@ Pages become text lines whose separator is the end of a WARC record, so Spark's
 text sink writes valid archives to any file system it knows. Of pages with equal
 payloads the one with the largest id is stored, the others refer to it.
 
+Pages are written by classes of size, each with its own number of records a file, so no
+file exceeds ``FILE_BYTES`` but one that holds a single larger record.
+
 The reader takes whole files (their size is bounded when they are written) of
 plain records or of one gzip member per record. A record is accepted when its
 version line, headers, length, end mark and payload digest hold. After a failed
@@ -31,13 +34,15 @@ from stagehouse.llm.common import read_table
 from stagehouse.session import materialize, scratch_path
 
 END = b"\r\n\r\n"
+# Records of the smallest pages in a file; the next classes hold pages of up to four times the size each.
 RECORDS_PER_FILE = 4000
+FILE_BYTES = 128 << 20
+# What a record has besides its url and payload, at most.
+HEAD_BYTES = 1024
 REVISIT_FROM = 0
 VERSION = b"WARC/1."
 MEMBER = b"\x1f\x8b\x08"
 DATE = "2024-01-01T00:00:00Z"
-# Longest header block that is looked for before a candidate is given up.
-HEADER_MOST = 1 << 16
 
 
 def _base32(digests: pd.Series) -> pd.Series:
@@ -96,10 +101,26 @@ def records(marked: DataFrame) -> DataFrame:
     return marked.select(F.concat(head, block).alias("value"))
 
 
+def _size_class(payload: str) -> F.Column:
+    """How often the number of records a file must be quartered for records of this size."""
+    length = lambda c: F.coalesce(F.octet_length(c).cast("long"), F.lit(0))
+    # Controls of a url take three bytes.
+    bulk = HEAD_BYTES + 3 * length("url") + length(payload)
+    out, quarter = F.lit(0), 0
+    while RECORDS_PER_FILE >> 2 * quarter:
+        out = out + (bulk * RECORDS_PER_FILE > FILE_BYTES << 2 * quarter).cast("int")
+        quarter += 1
+    return out
+
+
 def write_archives(pages: DataFrame, path: str, least: int = REVISIT_FROM) -> None:
-    marked = records(with_revisits(pages, least))
-    writer = marked.write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE)
-    writer.mode("overwrite").text(path)
+    classes = sorted(r["size"] for r in pages.select(_size_class("html").alias("size")).distinct().collect())
+    marked = with_revisits(pages, least)
+    for number, size in enumerate(classes or [0]):
+        mine = records(marked.where(_size_class("payload") == size) if len(classes) > 1 else marked)
+        writer = mine.write.option("lineSep", END.decode())
+        writer = writer.option("maxRecordsPerFile", max(1, RECORDS_PER_FILE >> 2 * size))
+        writer.mode("append" if number else "overwrite").text(path)
 
 
 class Damaged(ValueError):
@@ -120,7 +141,7 @@ def parse_record(data: bytes | memoryview, at: int) -> tuple[dict, int]:
     """The record that begins at ``at`` and where the next one begins."""
     if data[at : at + len(VERSION)] != VERSION:
         raise Damaged("version line")
-    stop = data.find(END, at, at + HEADER_MOST)
+    stop = data.find(END, at)
     if stop < 0:
         raise Damaged("headers")
     headers = _headers(data[at:stop])
@@ -224,7 +245,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
             for name, data in zip(frame["path"], frame["content"], strict=True):
                 rows = []
                 for begin, end, gap, record in salvage(bytes(data)):
-                    row = {"file": name, "begin": begin, "end": end, "gap": gap, **(record or {})}
+                    row = {**dict.fromkeys(names), "file": name, "begin": begin, "end": end, "gap": gap, **(record or {})}
                     if not payloads:
                         row["payload"] = None
                     rows.append(row)
@@ -242,7 +263,9 @@ def _page(column: str):
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(read_table(spark, sf_dir, "pages"), path)
-    found = read_archives(spark, path, payloads=False).where("gap is null")
+    # A gap in what was just written is an error, not something to leave out.
+    failed = F.raise_error(F.concat_ws(" ", F.lit("unreadable record in"), "file", "begin", "gap")).cast("boolean")
+    found = read_archives(spark, path, payloads=False).where(F.when(F.col("gap").isNotNull(), failed).otherwise(F.lit(True)))
     number = lambda c: F.when(_page(c) != "", _page(c).cast("long"))
     return found.select(
         number("record_id").alias("page_id"),

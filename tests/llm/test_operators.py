@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -459,6 +460,38 @@ def test_warc_round_trip_with_revisits(spark, tmp_path):
     assert got["<urn:page:1>"].payload_digest == digest and got["<urn:page:1>"].payload_bytes == 4
 
 
+def test_warc_reads_back_long_urls_and_bounds_files_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 40 * 1200)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 40)
+    rows = [(k, "http://a/" + "q" * (200_000 if k == 3 else k), f"{k} " + "x" * (3000 * (k % 5))) for k in range(60)]
+    rows.append((60, "data:," + "\n" * 70_000, "y" * 300_000))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "w"))
+    found = warc.read_archives(spark, str(tmp_path / "w")).collect()
+    assert not [r.gap for r in found if r.gap]
+    assert sorted(bytes(r.payload).decode() for r in found) == sorted(h for *_, h in rows)
+    per_file = Counter(r.file for r in found)
+    sizes = {f.name: f.stat().st_size for f in (tmp_path / "w").glob("*.txt")}
+    assert all(size <= 40 * 1200 or per_file[next(p for p in per_file if p.endswith(name))] == 1 for name, size in sizes.items() if size)
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    assert warc.op7_warc(spark, str(tmp_path)).count() == len(rows)
+    # Damage in its own archive is no shorter result.
+    write = warc.write_archives
+
+    def broken(pages, path, least=0):
+        write(pages, path, least)
+        name = next(f for f in sorted(os.listdir(path)) if f.endswith(".txt"))
+        with open(f"{path}/{name}", "r+b") as file:
+            file.write(b"JUNK")
+        crc = f"{path}/.{name}.crc"
+        if os.path.exists(crc):
+            os.remove(crc)
+
+    monkeypatch.setattr(warc, "write_archives", broken)
+    with pytest.raises(Exception, match="unreadable record"):
+        warc.op7_warc(spark, str(tmp_path)).collect()
+
+
 def plain(number, body):
     head = f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{number}>\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body + b"\r\n\r\n"
