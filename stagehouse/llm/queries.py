@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc
+from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc, whiten
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_embedding_neardup": embed.op8_embedding_neardup,
     "op9_quality": quality.op9_quality,
     "op10_chat_format": chat.op10_chat_format,
+    "op13_embedding_whitening": whiten.op13_embedding_whitening,
 }
 
 ORACLE_SQL = {
