@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc, whiten
+from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, license, mixing, quality, suffix, warc, whiten
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_embedding_neardup": embed.op8_embedding_neardup,
     "op9_quality": quality.op9_quality,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_license_scan": license.op11_license_scan,
     "op13_embedding_whitening": whiten.op13_embedding_whitening,
 }
 
 ORACLE_SQL = {
     "op5_source_mix": mixing.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
+    "op11_license_scan": license.ORACLE_SQL,
 }
