@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, license, mixing, quality, suffix, warc, whiten
+from stagehouse.llm import chat, ctw, decontam, embed, jaccard, langid, license, mixing, negatives, quality, suffix, warc, whiten
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_chat_format": chat.op10_chat_format,
     "op11_license_scan": license.op11_license_scan,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
     "op13_embedding_whitening": whiten.op13_embedding_whitening,
 }
 
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op5_source_mix": mixing.ORACLE_SQL,
     "op10_chat_format": chat.ORACLE_SQL,
     "op11_license_scan": license.ORACLE_SQL,
+    "op12_hard_negatives": negatives.ORACLE_SQL,
 }
