@@ -457,10 +457,10 @@ ORACLE_SQL = f"""
 WITH v AS (
   SELECT row_number() OVER () AS rid, vec_id,
     CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor({SCALE} * x::DOUBLE)) AS e
+    list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.rid AS anchor, a.vec_id AS anchor_id, v.rid, v.vec_id, v.label = a.label AS same,
     list_dot_product(a.e, v.e)::BIGINT AS score
