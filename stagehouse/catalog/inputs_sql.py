@@ -238,6 +238,54 @@ VIEWS = {
     "bridge": """
         SELECT row_number() OVER (ORDER BY organization_id, address_id) AS id, *
         FROM (SELECT DISTINCT organization_id, address_id FROM parties)""",
+    # two runs of the emissions job: the ids of the first stay, new tuples go on after the last
+    "addr_1": """
+        SELECT row_number() OVER (ORDER BY postcode NULLS FIRST, region NULLS FIRST,
+                 locality NULLS FIRST, street NULLS FIRST, house_number NULLS FIRST) AS id, *
+        FROM (SELECT DISTINCT postcode, region, locality, street, house_number
+              FROM parsed WHERE nvos_id % 3 <> 0)""",
+    "orgs_1": """
+        SELECT row_number() OVER (ORDER BY org_name NULLS FIRST, inn NULLS FIRST) AS id,
+            NULLIF(org_name, '') AS org_name, NULLIF(inn, '') AS inn
+        FROM (SELECT DISTINCT org_name, inn FROM parsed WHERE nvos_id % 3 <> 0)""",
+    "clean": """
+        SELECT nvos_id, postcode, region, locality, street, house_number,
+            NULLIF(org_name, '') AS org_name, NULLIF(inn, '') AS inn FROM parsed""",
+    "bridge_1": """
+        SELECT row_number() OVER (ORDER BY organization_id, address_id) AS id, *
+        FROM (SELECT DISTINCT o.id AS organization_id, a.id AS address_id
+              FROM clean p
+              JOIN orgs_1 o ON p.org_name IS NOT DISTINCT FROM o.org_name AND p.inn IS NOT DISTINCT FROM o.inn
+              JOIN addr_1 a ON p.postcode IS NOT DISTINCT FROM a.postcode AND p.region IS NOT DISTINCT FROM a.region
+               AND p.locality IS NOT DISTINCT FROM a.locality AND p.street IS NOT DISTINCT FROM a.street
+               AND p.house_number IS NOT DISTINCT FROM a.house_number
+              WHERE nvos_id % 3 <> 0)""",
+    "last_id": """
+        SELECT max(id) AS n FROM (SELECT id FROM addr_1 UNION ALL SELECT id FROM orgs_1
+                                  UNION ALL SELECT id FROM bridge_1)""",
+    "addr_2": """
+        SELECT * FROM addr_1 UNION ALL
+        SELECT (SELECT n FROM last_id) + row_number() OVER (ORDER BY postcode NULLS FIRST, region NULLS FIRST,
+                 locality NULLS FIRST, street NULLS FIRST, house_number NULLS FIRST), *
+        FROM (SELECT postcode, region, locality, street, house_number FROM clean
+              EXCEPT SELECT postcode, region, locality, street, house_number FROM addr_1)""",
+    "orgs_2": """
+        SELECT * FROM orgs_1 UNION ALL
+        SELECT (SELECT n FROM last_id) + row_number() OVER (ORDER BY org_name NULLS FIRST, inn NULLS FIRST), *
+        FROM (SELECT org_name, inn FROM clean EXCEPT SELECT org_name, inn FROM orgs_1)""",
+    "parties_2": """
+        SELECT p.nvos_id, min(o.id) AS organization_id, a.id AS address_id
+        FROM clean p
+        JOIN orgs_2 o ON p.org_name IS NOT DISTINCT FROM o.org_name AND p.inn IS NOT DISTINCT FROM o.inn
+        JOIN addr_2 a ON p.postcode IS NOT DISTINCT FROM a.postcode AND p.region IS NOT DISTINCT FROM a.region
+         AND p.locality IS NOT DISTINCT FROM a.locality AND p.street IS NOT DISTINCT FROM a.street
+         AND p.house_number IS NOT DISTINCT FROM a.house_number
+        GROUP BY p.nvos_id, a.id""",
+    "bridge_2": """
+        SELECT * FROM bridge_1 UNION ALL
+        SELECT (SELECT n FROM last_id) + row_number() OVER (ORDER BY organization_id, address_id), *
+        FROM (SELECT organization_id, address_id FROM parties_2
+              EXCEPT SELECT organization_id, address_id FROM bridge_1)""",
     "category": """
         SELECT f.code AS category_code,
                (SELECT COUNT(*) FROM extract e WHERE e.nvos_id < f.first_id) * 12 + 1 AS id

@@ -304,6 +304,13 @@ SELECTS.update(
         "job_initial_load": SELECTS["sales_by_employee"],
         "job_repeated_load": SELECTS["average_sales_by_day_of_week_shifted"],
         "job_emissions": SELECTS["emissions_fact"],
+        "job_emissions_incremental": """
+            SELECT 'address' AS table_name, id, concat_ws('|', coalesce(postcode, '-'), coalesce(region, '-'),
+                coalesce(locality, '-'), coalesce(street, '-'), coalesce(house_number, '-')) AS key FROM addr_2
+            UNION ALL SELECT 'organizations', id, concat_ws('|', coalesce(org_name, '-'), coalesce(inn, '-')) FROM orgs_2
+            UNION ALL SELECT 'organizations_x_address', id, concat_ws('|', organization_id, address_id) FROM bridge_2
+            UNION ALL SELECT 'environmental_emissions', nvos_id, CAST(id AS VARCHAR)
+            FROM parties_2 JOIN bridge_2 USING (organization_id, address_id)""",
     }
 )
 

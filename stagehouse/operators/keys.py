@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagehouse.operators.joins import join_null_safe, unplaced
 from stagehouse.session import materialize
 
 
@@ -120,3 +122,44 @@ def surrogate_keys(
     Tuples are distinct before they move (see :func:`number_rows`).
     """
     return number_rows(df.select(*columns).distinct(), columns, id_column, start, partitions)
+
+
+@dataclass(frozen=True)
+class Keyed:
+    """``every`` tuple of a run with its id, and the rows that are ``fresh``."""
+
+    every: DataFrame
+    fresh: DataFrame
+
+
+def reused_keys(
+    df: DataFrame,
+    columns: Sequence[str],
+    stored: DataFrame,
+    id_column: str = "id",
+    start: int = 1,
+    same: Callable[[Column], Column] = lambda value: value,
+) -> Keyed:
+    """Ids of the distinct tuples of ``columns``: the stored one, else the next from ``start``.
+
+    Nulls are equal, and so are values that ``same`` maps to one. A tuple that is
+    stored twice keeps its least id. Only the run's tuples are numbered, so an
+    increment costs the join with the stored keys, whichever side Spark moves.
+    """
+    alike = [f"_same_{c}" for c in columns]
+
+    def mapped(rows: DataFrame) -> list[Column]:
+        return [same(F.col(c)).alias(a) for c, a in zip(columns, alike, strict=True)]
+
+    held = stored.select(id_column, *mapped(stored)).groupBy(*alike).agg(F.min(id_column).alias(id_column))
+    tuples = df.select(*columns).distinct()
+    found = materialize(
+        join_null_safe(tuples.select(*columns, *mapped(tuples)), unplaced(held), alike), "known-keys"
+    )
+    new = found.where(F.col(id_column).isNull()).drop(id_column)
+    numbered = number_rows(new.select(*alike).distinct(), alike, id_column, start)
+    every = found.where(F.col(id_column).isNotNull()).unionByName(join_null_safe(new, numbered, alike))
+    return Keyed(
+        every.select(id_column, *columns),
+        numbered.select(id_column, *[F.col(a).alias(c) for c, a in zip(columns, alike, strict=True)]),
+    )

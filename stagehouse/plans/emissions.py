@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stagehouse.functions.address import PARTS, address_parts
 from stagehouse.functions.text import (
+    blank_to_null,
     blanks_to_null,
     collapse_whitespace,
     digits_only,
@@ -18,7 +20,7 @@ from stagehouse.functions.text import (
     parse_decimal,
 )
 from stagehouse.operators.joins import join_null_safe
-from stagehouse.operators.keys import surrogate_keys
+from stagehouse.operators.keys import Keyed, reused_keys, surrogate_keys
 from stagehouse.operators.lookup import lookup
 from stagehouse.operators.typing import MEASURES, fill_measures
 from stagehouse.session import materialize
@@ -30,13 +32,14 @@ CATEGORIES = {
     "III": ("Третья категория", 3),
     "IV": ("Четвёртая категория", 4),
 }
-# First surrogate key of a full and of an incremental run, and
-# how object and category ids derive from the object id and the row position.
-FULL_START, INCREMENTAL_START = 1, 100_000
+# First surrogate key of a full run, and how object and category
+# ids derive from the object id and the row position.
+FULL_START = 1
 OBJECT_FACTOR = 9
 CATEGORY_FACTOR, CATEGORY_OFFSET = 12, 1
 
 ORG_KEY = ["org_name", "inn"]
+PAIR = ["organization_id", "address_id"]
 
 
 def parsed_extract(extract: DataFrame) -> DataFrame:
@@ -76,8 +79,7 @@ def object_parties(parsed: DataFrame, organizations: DataFrame, address: DataFra
 
 
 def bridge_org_address(parties: DataFrame, start: int = FULL_START) -> DataFrame:
-    pair = ["organization_id", "address_id"]
-    return surrogate_keys(parties, pair, "id", start).select("id", *pair)
+    return surrogate_keys(parties, PAIR, "id", start).select("id", *PAIR)
 
 
 def known_category(df: DataFrame, column: str) -> DataFrame:
@@ -191,8 +193,7 @@ def one_row_per_object(parsed: DataFrame) -> None:
 
 def emissions_fact(parties: DataFrame, bridge: DataFrame) -> DataFrame:
     """Bridge id, object id and the four totals per object; missing totals are 0."""
-    pair = ["organization_id", "address_id"]
-    links = join_null_safe(parties, bridge.withColumnRenamed("id", "org_address_id"), pair)
+    links = join_null_safe(parties, bridge.withColumnRenamed("id", "org_address_id"), PAIR)
     return fill_measures(
         links.select(
             "nvos_id",
@@ -213,37 +214,64 @@ class EmissionTables:
     environmental_emissions: DataFrame
 
 
+def _all_fresh(ids: DataFrame) -> Keyed:
+    return Keyed(ids, ids)
+
+
+def address_ids(parsed: DataFrame, start: int, stored: DataFrame | None) -> Keyed:
+    if stored is None:
+        return _all_fresh(dim_address(parsed, start))
+    return reused_keys(parsed, PARTS, stored, "id", start)
+
+
+def organization_ids(parsed: DataFrame, start: int, stored: DataFrame | None) -> Keyed:
+    """Beside stored organisations a blank and a missing value are one, as they are once stored."""
+    if stored is None:
+        return _all_fresh(organization_keys(parsed, start))
+    held = stored.withColumnRenamed("org_inn", "inn")
+    return reused_keys(parsed, ORG_KEY, held, "id", start, blank_to_null)
+
+
+def bridge_ids(parties: DataFrame, start: int, stored: DataFrame | None) -> Keyed:
+    if stored is None:
+        return _all_fresh(bridge_org_address(parties, start))
+    return reused_keys(parties, PAIR, stored, "id", start)
+
+
 def normalise(
     extract: DataFrame,
     start: int = FULL_START,
     compat_literal: bool = False,
-    known_category: DataFrame | None = None,
+    stored: Mapping[str, DataFrame] | None = None,
 ) -> EmissionTables:
     """All six tables. The parsed extract and the ids are written down once,
     since several tables read each of them.
 
-    With ``known_category`` objects take the stored id of their category, and
-    ``object_category`` holds only what is new.
+    With the ``stored`` tables of earlier runs, addresses, organisations, pairs and
+    categories keep the ids they have; those four tables then hold what is new only.
     """
+    stored = stored or {}
     parsed = materialize(parsed_extract(extract), "emissions-parsed")
     one_row_per_object(parsed)
     with ThreadPoolExecutor(2) as pool:
-        addresses = pool.submit(copy_context().run, dim_address, parsed, start)
-        organizations = organization_keys(parsed, start)
+        addresses = pool.submit(copy_context().run, address_ids, parsed, start, stored.get("address"))
+        organizations = organization_ids(parsed, start, stored.get("organizations"))
         address = addresses.result()
-    parties = materialize(object_parties(parsed, organizations, address), "emissions-parties")
-    bridge = bridge_org_address(parties, start)
+    parties = materialize(
+        object_parties(parsed, organizations.every, address.every), "emissions-parties"
+    )
+    bridge = bridge_ids(parties, start, stored.get("organizations_x_address"))
     category = all_categories = dim_category(parsed)
-    if known_category is not None:
-        category = new_categories(category, known_category)
-        all_categories = known_category.unionByName(category)
+    if (known := stored.get("object_category")) is not None:
+        category = new_categories(category, known)
+        all_categories = known.unionByName(category)
     return EmissionTables(
-        address=address,
-        organizations=clean_organizations(organizations),
-        organizations_x_address=bridge,
+        address=address.fresh,
+        organizations=clean_organizations(organizations.fresh),
+        organizations_x_address=bridge.fresh,
         object_category=category,
         objects=objects(parsed, all_categories, compat_literal),
-        environmental_emissions=emissions_fact(parties, bridge),
+        environmental_emissions=emissions_fact(parties, bridge.every),
     )
 
 

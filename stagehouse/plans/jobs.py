@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -462,15 +463,34 @@ EMISSION_SCHEMAS = {
 }
 
 
-def next_start(warehouse: Warehouse) -> int:
+KEYED_TABLES = ("address", "organizations", "organizations_x_address", "object_category")
+
+
+def stored_emissions(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The tables whose ids later runs keep; none before the first run that succeeded."""
+    loads = warehouse.ledger.rows().where(F.col("table_name") == EMISSIONS_LAYER)
+    if loads.where(F.col("status") == ledger.SUCCESS).isEmpty():
+        return {}
+    return {
+        table: warehouse.read_committed(EMISSIONS_LAYER, table, EMISSION_SCHEMAS[table])
+        for table in KEYED_TABLES
+    }
+
+
+def next_start(stored: Mapping[str, DataFrame]) -> int:
     """The first surrogate key no earlier run has used."""
-    last = [
-        warehouse.read_committed(EMISSIONS_LAYER, table, EMISSION_SCHEMAS[table])
-        .agg(F.max("id"))
-        .first()[0]
-        for table in ("address", "organizations", "organizations_x_address")
-    ]
-    return max(value or 0 for value in last) + 1
+    tables = [stored[t].select("id") for t in KEYED_TABLES[:3] if t in stored]
+    last = reduce(DataFrame.union, tables).agg(F.max("id")).first()[0] if tables else None
+    return (last or 0) + 1
+
+
+def unknown_objects(tables: Mapping[str, DataFrame], warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The registry without the objects that an earlier run has stored."""
+    facts = warehouse.read_committed(
+        EMISSIONS_LAYER, "environmental_emissions", ENVIRONMENTAL_EMISSIONS
+    )
+    fresh = watermark.rows_not_loaded(tables["nvosentities"], facts, ["nvos_id"])
+    return {**tables, "nvosentities": fresh}
 
 
 def emissions_job(
@@ -478,21 +498,24 @@ def emissions_job(
     warehouse: Warehouse,
     nvos_ids: Sequence | None = None,
     start: int | None = None,
+    only_new: bool = False,
 ) -> str:
     """Normalise all objects, or the given ones, and append the six tables together.
 
-    Readers see none of the six before the request succeeds. Keys go on from
-    the last one in use unless ``start`` is given.
+    Readers see none of the six before the request succeeds. What an earlier run
+    has stored keeps its id; further keys go on from the last one in use unless
+    ``start`` is given. ``only_new`` leaves out objects that are stored already.
     """
     request = warehouse.ledger.open(EMISSIONS_LAYER)
     try:
         with job_scratch(warehouse.spark):
+            stored = stored_emissions(warehouse)
+            if only_new:
+                tables = unknown_objects(tables, warehouse)
             result = emissions.normalise(
                 extract_emissions(tables, nvos_ids),
-                next_start(warehouse) if start is None else start,
-                known_category=warehouse.read_committed(
-                    EMISSIONS_LAYER, "object_category", OBJECT_CATEGORY
-                ),
+                next_start(stored) if start is None else start,
+                stored=stored,
             )
             ordered = {
                 name: getattr(result, name).select(*schema.fieldNames())

@@ -285,9 +285,32 @@ def test_emissions_job_goes_on_after_the_last_key(spark, warehouse, rows):
     assert rows(read("address"), "id") == [(1,), (2,)]
     jobs.emissions_job(tables, warehouse, nvos_ids=[1])
     assert rows(read("object_category"), "id", "category_code") == [(1, "IV"), (13, "I")]
-    assert rows(read("organizations"), "id", "org_name") == [
-        (1, None), (2, "Ромашка"), (3, "Ромашка"),
-    ]
+    # Object 1 brings an organisation that is stored already.
+    assert rows(read("organizations"), "id", "org_name") == [(1, None), (2, "Ромашка")]
     assert rows(read("objects"), "nvos_id", "category_id") == [(1, 13), (2, 1), (4, 1)]
     facts = read("environmental_emissions")
     assert facts.count() == 3 and facts.select("org_address_id").distinct().count() == 3
+
+
+def test_emission_runs_keep_stored_ids(spark, warehouse, rows):
+    from test_plans import emission_tables
+
+    tables = emission_tables(spark)
+    read = lambda name: warehouse.read_committed(
+        jobs.EMISSIONS_LAYER, name, jobs.EMISSION_SCHEMAS[name]
+    )
+    jobs.emissions_job(tables, warehouse, nvos_ids=[2, 4])
+    jobs.emissions_job(tables, warehouse, only_new=True)
+    keyed = {name: rows(read(name)) for name in jobs.KEYED_TABLES}
+    facts = rows(read("environmental_emissions"), "nvos_id", "org_address_id")
+    assert [n for n, _ in facts] == [1, 2, 3, 4]
+    # The same objects once more: new facts, but not one key.
+    jobs.emissions_job(tables, warehouse)
+    assert {name: rows(read(name)) for name in jobs.KEYED_TABLES} == keyed
+    assert rows(read("environmental_emissions"), "nvos_id", "org_address_id") == sorted(facts * 2)
+    for name, start in (("address", 1), ("organizations", 1), ("organizations_x_address", 1), ("object_category", 2)):
+        values = [tuple(v or None for v in row[start:]) for row in keyed[name]]
+        assert len(values) == len(set(values)), name
+    # Nothing is left that is not stored.
+    jobs.emissions_job(tables, warehouse, only_new=True)
+    assert len(rows(read("environmental_emissions"))) == 8
