@@ -109,6 +109,26 @@ VIEWS = {
                    ORDER BY date_devations DESC NULLS FIRST, record_id DESC) AS rn
           FROM (SELECT * FROM emp_log UNION ALL SELECT * FROM emp_changes))
         WHERE rn = 1""",
+    "turns": """
+        SELECT request_id, row_number() OVER (ORDER BY load_date NULLS LAST, request_id) AS turn
+        FROM emp_ledger
+        WHERE status = 'SUCCESS' AND request_id IN (SELECT request_id FROM stg_emp)
+          AND request_id NOT IN (SELECT request_id FROM emp_log)""",
+    "emp_backlog": """
+        SELECT request_id, record_id,
+               CASE WHEN turn > min(turn) OVER (PARTITION BY CAST(id_employee AS BIGINT))
+                      OR CAST(id_employee AS BIGINT) IN (SELECT id_employee FROM live)
+                    THEN 'UPDATE' ELSE 'CREATE' END AS mode,
+               CAST(id_employee AS BIGINT) AS id_employee, fio, id_region, id_company,
+               l_faktor, j_faktor, x_faktor, birth_date, date_devations, uik, uik_num
+        FROM stg_emp JOIN turns USING (request_id)
+        WHERE id_employee = CAST(CAST(id_employee AS BIGINT) AS VARCHAR)""",
+    "emp_all": """
+        SELECT * FROM (
+          SELECT *, row_number() OVER (PARTITION BY id_employee
+                   ORDER BY date_devations DESC NULLS FIRST, record_id DESC) AS rn
+          FROM (SELECT * FROM emp_log UNION ALL SELECT * FROM emp_backlog))
+        WHERE rn = 1""",
     # files
     "file_ledger": """
         SELECT 'f-' || CAST(o_orderkey AS VARCHAR) AS request_id,

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.catalog import inputs
-from stagehouse.catalog.queries import plain, query
+from stagehouse.catalog.queries import employee_tables, plain, query
 from stagehouse.functions import dates
 from stagehouse.functions.address import PARTS
 from stagehouse.operators import changes
-from stagehouse.plans import jobs
+from stagehouse.plans import employees, jobs
 from stagehouse.schemas import (
     COMPANY_NDS,
     COMPANY_XML,
@@ -25,7 +25,7 @@ from stagehouse.schemas import (
     SALES_TABLES,
     RecordType,
 )
-from stagehouse.session import scratch_path
+from stagehouse.session import materialize, scratch_path
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources import xml
 from stagehouse.sources.tables import FrameSource
@@ -102,10 +102,10 @@ def job_regions_file(spark, sf_dir):
     """All batches of regions as files; the newest is upserted into those known before."""
     warehouse = new_warehouse(spark)
     known = inputs.region_target(spark, sf_dir).select(*REGION_NDS.fieldNames())
-    warehouse.replace(known, "nds", jobs.REGIONS_TABLE)
+    warehouse.replace_keyed(known, "nds", jobs.REGIONS_TABLE, ["id_region"])
     stage_batches(warehouse, REGION_XML, inputs.region_stage(spark, sf_dir), "reg")
     jobs.apply_regions(warehouse)
-    return plain(warehouse.snapshot("nds", jobs.REGIONS_TABLE, REGION_NDS))
+    return plain(jobs.current_regions(warehouse))
 
 
 @query
@@ -125,7 +125,20 @@ def job_employees_files(spark, sf_dir):
     stage = dated_employees(spark, sf_dir)
     stage_batches(warehouse, EMPLOYEE_XML, stage, "req")
     jobs.apply_all_employees(warehouse)
-    return warehouse.snapshot("nds", jobs.PERSONS_TABLE, PERSONS)
+    return jobs.current_persons(warehouse)
+
+
+@query
+def upsert_partitions(spark, sf_dir):
+    """Persons of the old log in a keyed table, then all later batches merged into it."""
+    warehouse = new_warehouse(spark)
+    stage, log, requests = employee_tables(spark, sf_dir)
+    before = employees.current_persons(log)
+    warehouse.replace_keyed(before, "nds", jobs.PERSONS_TABLE, [employees.KEY])
+    found = materialize(changes.capture_backlog(stage, log, requests).drop("turn"), "found")
+    after = employees.current_persons(log.unionByName(found), ids=found)
+    warehouse.merge_keyed(after, "nds", jobs.PERSONS_TABLE, [employees.KEY], PERSONS)
+    return jobs.current_persons(warehouse)
 
 
 @query

@@ -154,6 +154,8 @@ SELECTS.update(
                   FROM stg_com)""",
         "cdc_next_request": "SELECT request_id FROM next_req",
         "cdc_changes": f"SELECT {_LOG} FROM emp_changes",
+        "cdc_backlog": f"SELECT {_LOG} FROM emp_backlog",
+        "upsert_partitions": f"SELECT {_PERSON} FROM emp_all",
         "cdc_create": f"SELECT {_LOG} FROM emp_changes WHERE mode = 'CREATE'",
         "cdc_update": f"SELECT {_LOG} FROM emp_changes WHERE mode = 'UPDATE'",
         "current_persons": f"SELECT {_PERSON} FROM emp_newest",

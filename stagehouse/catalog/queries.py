@@ -334,7 +334,7 @@ def surrogate_key_dense(spark, sf_dir):
 
 
 # --- change capture and current state ---------------------------------------
-def _employee_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def employee_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         inputs.employee_stage(spark, sf_dir),
         inputs.employee_log(spark, sf_dir),
@@ -343,12 +343,12 @@ def _employee_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changes.capture_changes(*_employee_tables(spark, sf_dir))
+    return changes.capture_changes(*employee_tables(spark, sf_dir))
 
 
 @query
 def cdc_next_request(spark, sf_dir):
-    stage, log, requests = _employee_tables(spark, sf_dir)
+    stage, log, requests = employee_tables(spark, sf_dir)
     return changes.next_request(requests, stage, log)
 
 
@@ -367,6 +367,12 @@ def cdc_update(spark, sf_dir):
     return changes.updated(_changes(spark, sf_dir))
 
 
+@query
+def cdc_backlog(spark, sf_dir):
+    """Every waiting request at once, as one after the other would log it."""
+    return changes.capture_backlog(*employee_tables(spark, sf_dir)).drop("turn")
+
+
 def _log_after(spark: SparkSession, sf_dir: str, batch: DataFrame | None = None) -> DataFrame:
     log = inputs.employee_log(spark, sf_dir)
     return log.unionByName(batch or _changes(spark, sf_dir))

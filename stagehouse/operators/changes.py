@@ -38,6 +38,17 @@ def next_request(ledger: DataFrame, stage: DataFrame, log: DataFrame) -> DataFra
     )
 
 
+def waiting_requests(ledger: DataFrame, stage: DataFrame, log: DataFrame) -> DataFrame:
+    """Every request that waits, and its ``turn``: requests taken oldest first go by it."""
+    waiting = except_distinct(stage.select("request_id"), log.select("request_id"))
+    turn = F.struct(F.col("load_date").isNull().alias("undated"), "load_date", "request_id")
+    return (
+        ledger.where(F.col("status") == "SUCCESS")
+        .join(waiting, "request_id")
+        .select("request_id", turn.alias("turn"))
+    )
+
+
 def latest_request(ledger: DataFrame, table: str) -> DataFrame:
     """The newest request of ``table`` whatever its status; at most one row."""
     return (
@@ -75,6 +86,11 @@ def _is_canonical(text: Column) -> Column:
     return text == text.cast(T.LongType()).cast(T.StringType())
 
 
+def _with_key(batch: DataFrame, strict_text_key: bool) -> DataFrame:
+    number = F.col("id_employee")
+    return batch.where(_is_canonical(number) if strict_text_key else number.isNotNull())
+
+
 def classify(batch: DataFrame, log: DataFrame, strict_text_key: bool = True) -> DataFrame:
     """Log rows for one staged batch, CREATE for new ids and UPDATE for known ones.
 
@@ -83,10 +99,7 @@ def classify(batch: DataFrame, log: DataFrame, strict_text_key: bool = True) ->
     batch is small enough to broadcast, so the log is then scanned without a
     shuffle; otherwise ids are made distinct before they move.
     """
-    if strict_text_key:
-        batch = batch.where(_is_canonical(F.col("id_employee")))
-    else:
-        batch = batch.where(F.col("id_employee").isNotNull())
+    batch = _with_key(batch, strict_text_key)
     rows = to_typed(batch, EMPLOYEE_NDS, keep=("request_id", "record_id"))
     ids = batch.select(F.col("id_employee").cast(T.LongType()).alias("id_employee")).distinct()
     known = unplaced(live_ids(log).join(ids, "id_employee", "left_semi")).withColumn(
@@ -108,6 +121,37 @@ def capture_changes(
     return classify(rows_of(stage, request_id), log, strict_text_key)
 
 
+def classify_backlog(backlog: DataFrame, log: DataFrame, strict_text_key: bool = True) -> DataFrame:
+    """Log rows of many staged requests at once, each with its ``turn``.
+
+    What taking them one by one would log: an id is new in the first request
+    that has it, unless the log knows it, and known in all later ones. Both
+    follow from the least turn of an id and one look at the log.
+    """
+    backlog = _with_key(backlog, strict_text_key)
+    rows = to_typed(backlog, EMPLOYEE_NDS, keep=("request_id", "record_id", "turn"))
+    first = backlog.groupBy(F.col("id_employee").cast(T.LongType()).alias("id_employee")).agg(
+        F.min("turn").alias("_first")
+    )
+    known = live_ids(log).join(first.select("id_employee"), "id_employee", "left_semi")
+    seen = first.join(unplaced(known).withColumn("_known", F.lit(True)), "id_employee", "left")
+    is_known = F.col("_known").isNotNull() | (F.col("turn") > F.col("_first"))
+    mode = F.when(is_known, UPDATE).otherwise(CREATE).alias("mode")
+    return (
+        rows.join(unplaced(seen), "id_employee", "left")
+        .select("request_id", "record_id", mode, *EMPLOYEE_NDS.fieldNames(), "turn")
+        .select(*EMPLOYEE_LOG.fieldNames(), "turn")
+    )
+
+
+def capture_backlog(
+    stage: DataFrame, log: DataFrame, ledger: DataFrame, strict_text_key: bool = True
+) -> DataFrame:
+    """Log rows of all waiting requests, each with its ``turn``."""
+    waiting = unplaced(waiting_requests(ledger, stage, log))
+    return classify_backlog(stage.join(waiting, "request_id"), log, strict_text_key)
+
+
 def created(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("mode") == CREATE)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,9 @@ def entries_of(log: DataFrame, ids: DataFrame | None) -> DataFrame:
     return log.join(unplaced(ids.select(KEY).distinct()), KEY, "left_semi")
 
 
-def newest_entries(entries: DataFrame) -> DataFrame:
-    """Each employee's newest entry, all columns."""
-    return latest_per_key(entries, [KEY], "date_devations", ["record_id"])
+def newest_entries(entries: DataFrame, ties: Sequence[str] = ("record_id",)) -> DataFrame:
+    """Each employee's newest entry, all columns; ``ties`` settle equal dates."""
+    return latest_per_key(entries, [KEY], "date_devations", ties)
 
 
 def persons_of(newest: DataFrame) -> DataFrame:
@@ -57,7 +59,9 @@ def current_employment(log: DataFrame, ids: DataFrame | None = None) -> DataFram
     return employment_of(newest_entries(rows))
 
 
-def advance(batch: DataFrame, employment: DataFrame) -> DataFrame:
+def advance(
+    batch: DataFrame, employment: DataFrame, ties: Sequence[str] = ("record_id",)
+) -> DataFrame:
     """Newest entries of a new batch that take the place of the current ones.
 
     The employment table holds the date of each employee's newest entry, so
@@ -73,5 +77,5 @@ def advance(batch: DataFrame, employment: DataFrame) -> DataFrame:
         | (F.col("date_devations") >= F.col("_held"))
     )
     return (
-        newest_entries(batch).join(held, KEY, "left").where(is_newer).drop("_held", "_is_held")
+        newest_entries(batch, ties).join(held, KEY, "left").where(is_newer).drop("_held", "_is_held")
     )

@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stagehouse import ledger
 from stagehouse.functions.buckets import HISTORY, REPEATED, AgeBuckets
@@ -332,12 +333,20 @@ def next_record_id(warehouse: Warehouse, request_id: str) -> int:
     return (staged.agg(F.max("record_id")).first()[0] or 0) + 1
 
 
+def _staged_columns(record: RecordType) -> StructType:
+    if record is EMPLOYEE_XML:
+        return struct(" ".join(["record_id:long", *record.stage_columns]))
+    return text_only(record.stage_columns)
+
+
 def staged_file(warehouse: Warehouse, record: RecordType, request_id: str | None) -> DataFrame:
     """The staged rows of one file."""
-    columns = text_only(record.stage_columns)
-    if record is EMPLOYEE_XML:
-        columns = struct(" ".join(["record_id:long", *record.stage_columns]))
-    return warehouse.staged(record.table, columns, request_id)
+    return warehouse.staged(record.table, _staged_columns(record), request_id)
+
+
+def staged_files(warehouse: Warehouse, record: RecordType) -> DataFrame:
+    """The staged rows of all files of a kind; a join by request prunes the folders read."""
+    return warehouse.stage(record.table, _staged_columns(record))
 
 
 def newest_file(warehouse: Warehouse, record: RecordType) -> tuple[str | None, DataFrame]:
@@ -349,9 +358,10 @@ def newest_file(warehouse: Warehouse, record: RecordType) -> tuple[str | None, D
 def apply_regions(warehouse: Warehouse) -> None:
     """Upsert the newest region file into the regions table."""
     _, rows = newest_file(warehouse, REGION_XML)
-    target = warehouse.snapshot("nds", REGIONS_TABLE, REGION_NDS)
-    merged = merge.upsert(target, reference.typed_regions(rows), ["id_region"])
-    warehouse.replace(merged, "nds", REGIONS_TABLE)
+    with job_scratch(warehouse.spark):
+        warehouse.merge_keyed(
+            reference.typed_regions(rows), "nds", REGIONS_TABLE, ["id_region"], REGION_NDS
+        )
 
 
 def apply_companies(warehouse: Warehouse, dedupe: bool = True) -> None:
@@ -404,51 +414,84 @@ def apply_employees(warehouse: Warehouse, strict_text_key: bool = True) -> str |
     if request is None:
         return None
     with job_scratch(warehouse.spark):
-        _apply_batch(warehouse, request, strict_text_key)
+        rows = staged_file(warehouse, EMPLOYEE_XML, request)
+        found = changes.classify(rows, employee_log(warehouse), strict_text_key)
+        _apply_changes(warehouse, [request], found, ["record_id"])
     return request
 
 
-def _apply_batch(warehouse: Warehouse, request: str, strict_text_key: bool) -> None:
-    rows = staged_file(warehouse, EMPLOYEE_XML, request)
-    batch = materialize(
-        changes.classify(rows, employee_log(warehouse), strict_text_key), "changes"
-    )
-    if batch.isEmpty():
-        warehouse.ledger.close(request, ledger.EMPTY)
+def _apply_changes(
+    warehouse: Warehouse, requests: Sequence[str], found: DataFrame, ties: Sequence[str]
+) -> None:
+    """Current tables and log after the changes that ``requests`` bring."""
+    batch = materialize(found, "changes")
+    logged = {row[0] for row in batch.select("request_id").distinct().collect()}
+    if empty := [request for request in requests if request not in logged]:
+        warehouse.ledger.close_all(empty, ledger.EMPTY)
+    if not logged:
         return
-    persons = warehouse.snapshot("nds", PERSONS_TABLE, PERSONS)
-    employment = warehouse.snapshot("nds", EMPLOYMENT_TABLE, EMPLOYMENT)
-    newer = materialize(employees.advance(batch, employment), "newer-entries")
+    newer = materialize(
+        employees.advance(batch, current_employment(warehouse), ties), "newer-entries"
+    )
 
-    def write(table: str, current: DataFrame, update: DataFrame) -> Callable[[], None]:
-        merged = merge.upsert(current, update, [employees.KEY], check_unique=False)
-        return lambda: warehouse.replace(merged, "nds", table)
+    def write(table: str, update: DataFrame, schema: StructType) -> Callable[[], object]:
+        return lambda: warehouse.merge_keyed(
+            update, "nds", table, [employees.KEY], schema, check_unique=False
+        )
 
     # Should one of the two writes fail, the next try decides by the employment
     # table: as it was, or as this batch left it, it picks the same rows.
     side_by_side(
         [
-            write(PERSONS_TABLE, persons, employees.persons_of(newer)),
-            write(EMPLOYMENT_TABLE, employment, employees.employment_of(newer)),
+            write(PERSONS_TABLE, employees.persons_of(newer), PERSONS),
+            write(EMPLOYMENT_TABLE, employees.employment_of(newer), EMPLOYMENT),
         ]
     )
-    warehouse.append_batch(batch, "nds", LOG_TABLE)
+    warehouse.append_batch(batch.select(*EMPLOYEE_LOG.fieldNames()), "nds", LOG_TABLE)
+
+
+def current_persons(warehouse: Warehouse) -> DataFrame:
+    return warehouse.keyed("nds", PERSONS_TABLE, PERSONS)
+
+
+def current_employment(warehouse: Warehouse) -> DataFrame:
+    return warehouse.keyed("nds", EMPLOYMENT_TABLE, EMPLOYMENT)
+
+
+def current_regions(warehouse: Warehouse) -> DataFrame:
+    return warehouse.keyed("nds", REGIONS_TABLE, REGION_NDS)
 
 
 def rebuild_employees(warehouse: Warehouse) -> None:
     """Current tables anew from the whole log, for a log filled by other means."""
     with job_scratch(warehouse.spark):
         newest = materialize(employees.newest_entries(employee_log(warehouse)), "newest-entries")
-        warehouse.replace(employees.persons_of(newest), "nds", PERSONS_TABLE)
-        warehouse.replace(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE)
+        key = [employees.KEY]
+        warehouse.replace_keyed(employees.persons_of(newest), "nds", PERSONS_TABLE, key)
+        warehouse.replace_keyed(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE, key)
 
 
-def apply_all_employees(warehouse: Warehouse) -> list[str]:
-    """Work off the queue; the applied requests, oldest first."""
-    applied = []
-    while (request := apply_employees(warehouse)) is not None:
-        applied.append(request)
-    return applied
+def apply_all_employees(warehouse: Warehouse, strict_text_key: bool = True) -> list[str]:
+    """Work off the queue in one pass; the applied requests, oldest first.
+
+    The same tables as one request at a time, with one look at the log, one merge of each
+    current table and one write of all batches. A value that does not
+    cast fails the pass before anything is written.
+    """
+    requests = warehouse.ledger.rows().where(F.col("table_name") == EMPLOYEE_XML.table)
+    waiting = changes.waiting_requests(
+        requests, requests, warehouse.batch_ids("nds", LOG_TABLE)
+    )
+    # One row per file that waits.
+    queue = [row["request_id"] for row in waiting.orderBy("turn").collect()]
+    if not queue:
+        return []
+    with job_scratch(warehouse.spark):
+        waiting = materialize(waiting, "waiting")
+        staged = staged_files(warehouse, EMPLOYEE_XML).join(waiting, "request_id")
+        found = changes.classify_backlog(staged, employee_log(warehouse), strict_text_key)
+        _apply_changes(warehouse, queue, found, ["turn", "record_id"])
+    return queue
 
 
 # --- emissions --------------------------------------------------------------

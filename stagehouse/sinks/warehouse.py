@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagehouse.ledger import SUCCESS, Ledger, path_exists
+from stagehouse.operators import merge
 from stagehouse.operators.joins import unplaced
 from stagehouse.operators.typing import tag_batch
-from stagehouse.session import delete
+from stagehouse.session import delete, materialize
 
 BATCH = "request_id"
+BUCKET = "key_bucket"
+# Partitions of a keyed table. A key stays in its partition for good, so this
+# is set once, for partitions of a few hundred MB at the size a table will reach.
+BUCKETS = 64
 JDBC_BATCH = 10_000
 
 
@@ -32,10 +38,12 @@ class Warehouse:
     * snapshot tables (current state, dimensions, marts): every write makes a
       new version folder, and readers take the newest one that committed. A
       table can so be rewritten from its own rows.
+    * keyed tables (current state): partitioned by a hash of the key. An upsert
+      reads and writes only the partitions its keys fall into.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     @property
     def ledger(self) -> Ledger:
@@ -122,6 +130,63 @@ class Warehouse:
             delete(self.spark, version)
         return len(old)
 
+    # -- keyed tables --------------------------------------------------------
+    def _keyed_path(self, layer: str, table: str) -> str:
+        return f"{self.path(layer, table)}/by_key"
+
+    def _with_bucket(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        return rows.withColumn(BUCKET, bucket)
+
+    def _write_keyed(self, rows: DataFrame, layer: str, table: str, mode: str) -> None:
+        (
+            rows.repartition(self.buckets, BUCKET)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", mode)
+            .partitionBy(BUCKET)
+            .parquet(self._keyed_path(layer, table))
+        )
+
+    def replace_keyed(
+        self, rows: DataFrame, layer: str, table: str, keys: Sequence[str]
+    ) -> None:
+        """Write the whole table anew, from rows that do not come out of it."""
+        self._write_keyed(self._with_bucket(rows, keys), layer, table, "static")
+
+    def merge_keyed(
+        self,
+        updates: DataFrame,
+        layer: str,
+        table: str,
+        keys: Sequence[str],
+        schema: T.StructType,
+        check_unique: bool = True,
+    ) -> int:
+        """Upsert ``updates``; returns how many partitions that touched.
+
+        All other partitions keep their files. A run that breaks off leaves each
+        partition as it was or as it should be, and doing it again gives the same rows.
+        """
+        columns = schema.fieldNames()
+        fresh = materialize(self._with_bucket(updates.select(*columns), keys), "updates")
+        # At most one number per partition of the table.
+        touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
+        if touched:
+            held = self._read_keyed(layer, table, schema).where(F.col(BUCKET).isin(touched))
+            merged = merge.upsert(held, fresh, keys, check_unique)
+            self._write_keyed(merged, layer, table, "dynamic")
+        return len(touched)
+
+    def _read_keyed(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        stored = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        path = self._keyed_path(layer, table)
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).parquet(path)
+
+    def keyed(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        return self._read_keyed(layer, table, schema).drop(BUCKET)
+
     # -- several tables at once ----------------------------------------------
     def write_together(self, tables: dict[str, DataFrame], layer: str, request_id: str) -> None:
         """Write one batch of several tables; close its ledger request afterwards."""

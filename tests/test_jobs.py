@@ -10,8 +10,6 @@ from stagehouse.plans import jobs
 from stagehouse.schemas import (
     COMPANY_XML,
     EMPLOYEE_XML,
-    EMPLOYMENT,
-    PERSONS,
     REGION_NDS,
     REGION_XML,
     SALES_TABLES,
@@ -25,7 +23,7 @@ from stagehouse.streaming.poll import watch_source
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "wh"))
+    return Warehouse(spark, str(tmp_path / "wh"), buckets=4)
 
 
 def source(spark, lines):
@@ -124,14 +122,65 @@ def test_employee_files(spark, warehouse, rows, tmp_path):
         (1, "CREATE"), (2, "CREATE"), (2, "UPDATE"), (3, "CREATE"),
     ]
     assert log.select("record_id").distinct().count() == 4
-    persons = warehouse.snapshot("nds", jobs.PERSONS_TABLE, PERSONS)
+    persons = jobs.current_persons(warehouse)
     # Both entries of 2 have one date: the later file wins.
     assert rows(persons, "id_employee", "first_name") == [(1, "A"), (2, "X"), (3, "A")]
-    employment = warehouse.snapshot("nds", jobs.EMPLOYMENT_TABLE, EMPLOYMENT)
+    employment = jobs.current_employment(warehouse)
     assert rows(employment, "id_employee") == [(1,), (2,), (3,)]
+    merged = rows(persons), rows(employment)
     jobs.rebuild_employees(warehouse)
-    assert rows(warehouse.snapshot("nds", jobs.PERSONS_TABLE)) == rows(persons)
-    assert rows(warehouse.snapshot("nds", jobs.EMPLOYMENT_TABLE)) == rows(employment)
+    assert (rows(jobs.current_persons(warehouse)), rows(jobs.current_employment(warehouse))) == merged
+
+
+def files_of(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_an_upsert_leaves_other_partitions_alone(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), buckets=8)
+    schema = REGION_NDS.fieldNames()
+    names = lambda ids, name: spark.createDataFrame(
+        [(i, name, *[None] * (len(schema) - 2)) for i in ids], REGION_NDS
+    )
+    assert warehouse.merge_keyed(names(range(40), "old"), "nds", "r", ["id_region"], REGION_NDS) == 8
+    before = files_of(tmp_path)
+    assert warehouse.merge_keyed(names([7], "new"), "nds", "r", ["id_region"], REGION_NDS) == 1
+    after = files_of(tmp_path / "wh")
+    kept = {f for f, at in after.items() if before.get(f) == at}
+    assert {f.split("key_bucket=")[1][0] for f in after if f not in kept} == {
+        f.split("key_bucket=")[1][0] for f in before if f not in after and "key_bucket=" in f
+    }
+    assert len({f.split("key_bucket=")[1][0] for f in kept}) == 7
+    assert warehouse.merge_keyed(names([], "none"), "nds", "r", ["id_region"], REGION_NDS) == 0
+    found = rows(warehouse.keyed("nds", "r", REGION_NDS), "id_region", "region_name")
+    assert found == [(i, "new" if i == 7 else "old") for i in range(40)]
+    with pytest.raises(Exception, match="duplicate key"):
+        warehouse.merge_keyed(names([1, 1], "twice"), "nds", "r", ["id_region"], REGION_NDS)
+    # A null key is a row of its own.
+    warehouse.merge_keyed(names([None], "null"), "nds", "r", ["id_region"], REGION_NDS)
+    assert warehouse.keyed("nds", "r", REGION_NDS).count() == 41
+
+
+def test_backlog_ends_where_one_at_a_time_ends(spark, tmp_path, rows):
+    one, all_at_once = (Warehouse(spark, str(tmp_path / name), buckets=2) for name in ("one", "all"))
+    for name, values in (
+        ("employee_1.xml", [xmlfiles.employee(1), xmlfiles.employee(2, date="2023-01-01")]),
+        ("employee_2.xml", [xmlfiles.employee("007")]),
+        ("employee_3.xml", [xmlfiles.employee(2, "X Y Z", date="2023-01-01"), xmlfiles.employee(3), xmlfiles.employee(3, "Q")]),
+        ("employee_4.xml", [xmlfiles.employee(1, "old", date="2000-01-01"), xmlfiles.employee(3, "W")]),
+    ):
+        path = put(tmp_path, name, EMPLOYEE_XML, values)
+        for warehouse in (one, all_at_once):
+            jobs.stage_file(warehouse, EMPLOYEE_XML, path, request_id=name)
+    taken = []
+    while (request := jobs.apply_employees(one)) is not None:
+        taken.append(request)
+    assert jobs.apply_all_employees(all_at_once) == sorted([*taken]) == [f"employee_{i}.xml" for i in range(1, 5)]
+    assert jobs.apply_all_employees(all_at_once) == []
+    for table in (jobs.employee_log, jobs.current_persons, jobs.current_employment):
+        assert rows(table(one)) == rows(table(all_at_once)), table
+    status = lambda w: rows(w.ledger.rows(), "filename", "status")
+    assert status(one) == status(all_at_once)
 
 
 def test_records_are_numbered_as_they_stand(spark, warehouse, tmp_path):
@@ -162,7 +211,7 @@ def test_a_broken_off_run_is_done_again(spark, warehouse, rows, tmp_path, monkey
     assert jobs.employee_log(warehouse).count() == 0
     assert jobs.apply_employees(warehouse) == request
     assert rows(jobs.employee_log(warehouse), "id_employee", "mode") == [(1, "CREATE")]
-    assert warehouse.snapshot("nds", jobs.PERSONS_TABLE, PERSONS).count() == 1
+    assert jobs.current_persons(warehouse).count() == 1
 
 
 def test_a_request_without_usable_rows_leaves_the_queue(spark, warehouse, tmp_path):
@@ -179,7 +228,7 @@ def test_region_files_upsert(spark, warehouse, rows, tmp_path):
     ):
         jobs.stage_file(warehouse, REGION_XML, put(tmp_path, name, REGION_XML, values))
         jobs.apply_regions(warehouse)
-    regions = warehouse.snapshot("nds", jobs.REGIONS_TABLE, REGION_NDS)
+    regions = jobs.current_regions(warehouse)
     assert rows(regions, "id_region", "region_name", "population", "f_value") == [
         (1, "new", 3, 7), (2, "two", 3, None),
     ]
@@ -247,7 +296,7 @@ def test_watched_folder(spark, warehouse, rows, tmp_path):
         ("DWH_AO_0regions", "companies_of_region.xml", "SUCCESS"),
         ("DWH_DSO_1STGemployees", "employee_1.xml", "SUCCESS"),
     ]
-    assert rows(warehouse.snapshot("nds", jobs.REGIONS_TABLE), "id_region") == [(1,)]
+    assert rows(jobs.current_regions(warehouse), "id_region") == [(1,)]
     run_watch(spark, tmp_path, warehouse, archive=str(tmp_path / "archive"))
     assert warehouse.ledger.rows().count() == 2
     put(queue, "employee_2.xml", EMPLOYEE_XML, [xmlfiles.employee(1, "Q Q Q")])
@@ -269,7 +318,7 @@ def test_a_broken_file_loads_once_it_is_repaired(spark, warehouse, rows, tmp_pat
     xmlfiles.write(queue / "region_1.xml", records)
     run_watch(spark, tmp_path, warehouse)
     assert rows(warehouse.ledger.rows(), "filename", "status") == [("region_1.xml", "SUCCESS")]
-    assert warehouse.snapshot("nds", jobs.REGIONS_TABLE).count() == 3
+    assert jobs.current_regions(warehouse).count() == 3
 
 
 # --- emissions --------------------------------------------------------------

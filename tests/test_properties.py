@@ -96,3 +96,40 @@ def test_upsert_and_insert_ignore(spark, seed, rows):
     frames = [spark.createDataFrame(list(d.items()), schema) for d in (target, updates)]
     assert rows(merge.upsert(*frames, ["k"])) == sorted({**target, **updates}.items())
     assert rows(merge.insert_ignore(*frames, ["k"])) == sorted({**updates, **target}.items())
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_backlog_capture(spark, seed):
+    rng = random.Random(seed)
+    names = ["r1", "r2", "r3", "r4", "bad"]
+    entries = [("old", rng.choice(["CREATE", "DELETE", None]), rng.randrange(20)) for _ in range(15)]
+    stage = spark.createDataFrame(
+        [stage_row(rng.choice(names), v, rng.choice([str(rng.randrange(25)), "07", None])) for v in range(90)], STAGE
+    )
+    dates = {n: at(rng.randrange(1, 9)) if rng.random() < 0.8 else None for n in names}
+    ledger = ledger_frame(spark, [(n, "FAILED" if n == "bad" else "SUCCESS", dates[n]) for n in names])
+    log = log_frame(spark, entries)
+    found = changes.capture_backlog(stage, log, ledger)
+    assert found.drop("turn").schema.fieldNames() == log.schema.fieldNames()
+    expected, after = [], list(entries)
+    for name in sorted(names[:-1], key=lambda n: (dates[n] is None, dates[n] or at(1), n)):
+        live = {i for _, mode, i in after if mode not in ("DELETE", None)}
+        new = [
+            (name, r.record_id, "UPDATE" if int(r.id_employee) in live else "CREATE", int(r.id_employee))
+            for r in stage.collect()
+            if r.request_id == name and r.id_employee not in (None, "07")
+        ]
+        expected += new
+        after += [(name, mode, i) for _, _, mode, i in new]
+    got = [(r.request_id, r.record_id, r.mode, r.id_employee) for r in found.collect()]
+    assert sorted(got) == sorted(expected)
+
+
+def test_backlog_capture_looks_at_the_log_once(spark, tmp_path):
+    log_frame(spark, [("old", "CREATE", 1)]).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    stage = spark.createDataFrame([stage_row(r, 1, "1") for r in ("r1", "r2", "r3")], STAGE)
+    turns = spark.createDataFrame([(r, (False, at(1), r)) for r in ("r1", "r2", "r3")], "request_id string, turn struct<undated: boolean, load_date: timestamp_ntz, request_id: string>")
+    found = changes.classify_backlog(stage.join(turns, "request_id"), log)
+    assert {r.mode for r in found.collect()} == {"UPDATE"}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
