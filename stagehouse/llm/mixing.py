@@ -6,8 +6,8 @@ plus once more when its seeded hash falls under the fraction of the rate.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 ordered last; a source without words has target 0 and rate 0; repeated rows are
-documents of their own that draw the same number; ``with_copies`` draws by the id alone, as its
-SQL does, unless ``by_text`` is set, and ``mix`` by id and text, so rows that share an id, or have none, draw apart; an empty table gives an empty
+documents of their own that draw the same number; the draw goes by id and text, so rows
+that share an id, or have none, draw apart where their texts differ; an empty table gives an empty
 result; further columns are kept, and the columns made here replace columns of
 the same name.
 """
@@ -78,7 +78,6 @@ def with_copies(
     doc_id: str = "doc_id",
     source: str = "source",
     text: str = "text",
-    by_text: bool = False,
 ) -> DataFrame:
     """Every document once, with ``size``, ``source_size``, ``target`` and ``copies``.
 
@@ -91,7 +90,7 @@ def with_copies(
     kept = docs.drop(*[c for c in made if c not in (doc_id, source, text)])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(rate)
-    draw = uniform(seed, F.col(doc_id), *([F.xxhash64(text)] if by_text else []))
+    draw = uniform(seed, F.col(doc_id), F.md5(F.coalesce(F.col(text), F.lit(""))))
     copies = whole + F.when(draw < rate - whole, 1).otherwise(0)
     return (
         kept.join(targets, kept[source].eqNullSafe(targets["_source"]), "left")
@@ -103,7 +102,7 @@ def with_copies(
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each document as often as it is taken, with its ``copy`` number."""
-    taken = with_copies(docs, **{"by_text": True, **options})
+    taken = with_copies(docs, **options)
     numbered = taken.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return numbered.drop("size", "source_size", "target", "copies")
 
@@ -144,7 +143,7 @@ def mix_sql(documents: str = "documents") -> str:
     rated AS (
         SELECT d.*, t.source_size, t.target,
             CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-            ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+            ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
         FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
     copied AS (
         SELECT *, (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
