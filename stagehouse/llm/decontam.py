@@ -47,7 +47,8 @@ WEIGHT = 6
 SETS = 5000
 WINDOW = 13
 LEAST = 0.75
-BROADCAST_SEEDS = 1_000_000
+# Seeds are rows of bounded size: hashes of at most 3 x WINDOW tokens around them, so this many take about 80 MB.
+BROADCAST_SEEDS = 200_000
 # Scripts written without spaces: Thai and Lao, Myanmar, Khmer, Kana and marks, Han.
 UNSPACED = (
     r"\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}"
@@ -134,18 +135,18 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
-    """``hits`` carry doc_tokens, item_tokens and ``start``; keeps the confirmed ones.
+    """``hits`` carry doc_tokens, the item's tokens ``around`` the hit, and ``start``; keeps the confirmed ones.
 
-    ``start`` may be negative (the item's beginning lies before the document);
+    Every window that overlaps holds a seed, so the windows that hold the hit are
+    all there is to look at. ``start`` may be negative (the item's beginning lies before the document);
     places outside the document agree with nothing. The agreement is a
     generator's output, so that it is computed once per hit.
     """
-    start, size = F.col("start"), F.size("item_tokens")
-    width = F.least(size, F.lit(window))
+    first, width = F.col("start") + F.col("around_at"), F.least(F.col("item_size"), F.lit(window))
     agree = F.transform(
-        F.col("item_tokens"),
+        F.col("around"),
         lambda token, i: F.when(
-            (start + i >= 0) & (F.get(F.col("doc_tokens"), F.greatest(start + i, F.lit(0))) == token), 1
+            (first + i >= 0) & (F.xxhash64(F.get(F.col("doc_tokens"), F.greatest(first + i, F.lit(0)))) == token), 1
         ).otherwise(0),
     )
     sums = F.transform(
@@ -183,10 +184,13 @@ def _overlaps(
     for n, mine in own.items():
         for head, some in _headed(mine):
             placed = _positions(items.where(size == n), "item_tokens", some)
+            around_at = F.greatest(F.col("at") - window + 1, F.lit(0))
+            around = F.slice("item_tokens", around_at + 1, 3 * window)
             seeds.append(
                 _seeds(placed, "item_tokens", some).select(
                     "seed", F.lit(head).alias("begins"), _head("item_tokens", head).alias("head"), "item_id",
-                    F.col("at").alias("item_at"), "item_tokens",
+                    F.col("at").alias("item_at"), F.size("item_tokens").alias("item_size"), around_at.alias("around_at"),
+                    F.transform(around, lambda token: F.xxhash64(token)).alias("around"),
                 )
             )
     seeds = materialize(_union(seeds).distinct(), "item-seeds")
@@ -203,12 +207,13 @@ def _overlaps(
         keyed = _tokenized(docs, "doc_tokens", "doc_id", F.xxhash64("text").alias("tag"))
         placed = _union([_seeds(_positions(keyed, "doc_tokens", mine), "doc_tokens", mine) for _, mine in heads])
         met = placed.select("seed", "doc_id", "tag", "at").join(seeds, "seed")
-        met = met.select("doc_id", "tag", "at", "item_id", "item_at", "item_tokens")
+        met = met.select("doc_id", "tag", "at", "item_id", "item_at", "item_size", "around_at", "around")
         met = met.withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
         same = keyed["doc_id"].eqNullSafe(met["_id"]) & (keyed["tag"] == met["_tag"])
         hits = keyed.join(met, same).drop("_id", "_tag")
     hits = hits.withColumn("start", F.col("at") - F.col("item_at"))
-    return _confirm(hits.select("doc_id", "tag", "item_id", "start", "doc_tokens", "item_tokens"), window, least)
+    kept = ("doc_id", "tag", "item_id", "start", "doc_tokens", "item_size", "around_at", "around")
+    return _confirm(hits.select(*kept), window, least)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *args, **options) -> DataFrame:
@@ -225,8 +230,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *args, **options) -> Dat
     )
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents no item overlaps, all columns kept; other texts of an id, or without one, stay."""
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, least_tokens: int = 1, **options) -> DataFrame:
+    """The documents no item overlaps, all columns kept; other texts of an id, or without one, stay.
+
+    Items of fewer than ``least_tokens`` tokens are left out: with the default none is, and an
+    item of one word takes every document that has the word.
+    """
+    if least_tokens > 1:
+        benchmark = benchmark.where(F.size(tokens(F.col("text"))) >= least_tokens)
     found = _overlaps(docs, benchmark, **options)
     found = materialize(found.select(F.col("doc_id").alias("_found"), F.col("tag").alias("_tag")).distinct(), "contaminated")
     same = docs["doc_id"].eqNullSafe(found["_found"]) & (F.xxhash64(docs["text"]) == found["_tag"])

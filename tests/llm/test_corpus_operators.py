@@ -420,6 +420,20 @@ def test_stages_keep_other_texts_of_an_id(spark, tmp_path):
     assert not any(r.held_out for r in ctw.op4_lm_score(spark, str(tmp_path)).collect() if r.doc_id is None)
 
 
+def test_decontamination_takes_long_items(spark):
+    long = " ".join(f"long{k}" for k in range(20_000))
+    part = " ".join(f"long{k}" if k % 9 else f"other{k}" for k in range(7000, 7040))
+    rows = [(1, f"before {long} after", "a"), (2, f"before {part} after", "a"), (3, " ".join(f"clean{k}" for k in range(400)), "a")]
+    bench = spark.createDataFrame([(1, long), (2, "long3 long9")], "item_id long, text string")
+    found = [
+        sorted(tuple(r) for r in decontam.contaminated(documents(spark, rows), bench, broadcast_seeds=few).collect())
+        for few in (1_000_000, 0)
+    ]
+    assert found[0] == found[1] == [(1, 1, 13, 13, 1), (2, 1, 12, 13, -6999)]
+    kept = decontam.without_contaminated(documents(spark, [(4, "the long3 long9 pair", "a")]), bench, least_tokens=3)
+    assert kept.count() == 1
+
+
 def test_mix_meets_targets_and_limits(spark):
     rows = [(k, "w " * (1 + k % 5), "abc"[k % 3] if k % 20 else None) for k in range(4000)]
     out = mixing.with_copies(documents(spark, rows)).collect()
@@ -431,6 +445,14 @@ def test_mix_meets_targets_and_limits(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_mix_meets_targets_where_rows_share_an_id(spark, one_id):
+    rows = [(one_id, f"w{i} some words in it", "a") for i in range(1000)] + [(i, "some words " * 200, "b") for i in range(20)]
+    out = mixing.with_copies(documents(spark, rows)).where("source = 'a'").collect()
+    target, taken = out[0].target, sum(r.size * r.copies for r in out)
+    assert target % out[0].source_size and abs(taken - target) < 0.1 * target
+
+
 def test_chat_round_trip_and_order(spark):
     odd = "␛ </s> ␛␛[INST] <<SYS>>\n[/ROLE] \\ $1"
     rows = [
