@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ from stagehouse.session import materialize
 
 DEPTH = 5
 TOP = 3
-BATCH = 4 << 20
+BATCH = 6 << 20
 BUCKET = 8 << 20
 # Codes gathered before they are counted.
 GATHERED = 1 << 22
@@ -282,13 +283,22 @@ def _edges(known: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(known, bounds), [len(known)]])
 
 
+def _small(x: np.ndarray) -> bytes:
+    """Numbers by significance, compressed: what batches and buckets send each other is most of the disk used."""
+    return zstandard.ZstdCompressor(level=3).compress(B.planes(x))
+
+
+def _large(data: bytes, kind: type) -> np.ndarray:
+    return B.from_planes(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def _packed(code: np.ndarray) -> bytes:
     """Sorted codes as the steps between them, which are small."""
-    return B.planes(np.diff(code, prepend=B.U(0)))
+    return _small(np.diff(code, prepend=B.U(0)))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(B.from_planes(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(_large(data, np.uint64), dtype=np.uint64)
 
 
 def _ask(buckets: int):
@@ -307,9 +317,9 @@ def _ask(buckets: int):
                 "bucket": full,
                 "batch": frame["batch"].iloc[0],
                 "words": [known[edge[k] : edge[k + 1]].tobytes() for k in full],
-                "n": [n[edge[k] : edge[k + 1]].tobytes() for k in full],
+                "n": [_small(n[edge[k] : edge[k + 1]]) for k in full],
                 "codes": [_packed(seen[begin[k] : begin[k + 1]]) for k in full],
-                "times": [B.planes(times[begin[k] : begin[k + 1]]) for k in full],
+                "times": [_small(times[begin[k] : begin[k + 1]]) for k in full],
             }
         )
 
@@ -321,7 +331,7 @@ def _summed(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     known, total = np.zeros(0, dtype=np.uint64), np.zeros(0)
     held, size = [], 0
     for i, (code, times) in enumerate(zip(frame["codes"], frame["times"], strict=True)):
-        held.append((_unpacked(code), B.from_planes(times, np.int32)))
+        held.append((_unpacked(code), _large(times, np.int32)))
         size += len(held[-1][0])
         if size >= GATHERED or i + 1 == len(frame):
             both, place = np.unique(np.concatenate([known, *[c for c, _ in held]]), return_inverse=True)
@@ -334,12 +344,12 @@ def _answer(upper):
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         """Sum a bucket's counts over all batches; each batch gets those of the words and codes it asked for."""
         asked = [np.frombuffer(x, dtype=np.uint64) for x in frame["words"]]
-        given = [np.frombuffer(x, dtype=np.int32) for x in frame["n"]]
+        given = [_large(x, np.int32) for x in frame["n"]]
         known, place = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(place, weights=np.concatenate(given), minlength=len(known)).astype(np.int64)
         answers, at = [], 0
         for words in asked:
-            answers.append(B.planes(total[place[at : at + len(words)]]))
+            answers.append(_small(total[place[at : at + len(words)]]))
             at += len(words)
         code, times = _summed(frame)
         log = mixed_log10(code, times, upper.value).astype(np.float32) if len(code) else np.zeros(0, dtype=np.float32)
@@ -350,7 +360,7 @@ def _answer(upper):
                 "batch": frame["batch"],
                 "bucket": frame["bucket"],
                 "counts": answers,
-                "logs": [B.planes(log[np.searchsorted(code, x)]) for x in wanted],
+                "logs": [_small(log[np.searchsorted(code, x)]) for x in wanted],
                 "kinds": np.where(first, (total > 0).sum(), 0),
                 "tokens": np.where(first, total.sum(), 0),
             }
@@ -365,7 +375,7 @@ def _score(buckets: int, tokens: int, kinds: int, ends: int):
         known, place, owner = _batch_words(raw)
         answers = answers.sort_values("bucket")
         none = np.zeros(0, dtype=np.int64)
-        counts = np.concatenate([none, *[B.from_planes(x, np.int64) for x in answers["counts"]]])
+        counts = np.concatenate([none, *[_large(x, np.int64) for x in answers["counts"]]])
         log = np.log10(counts + 0.1)[place]
         n = len(raw)
         n_words = np.bincount(owner, minlength=n)
@@ -374,7 +384,7 @@ def _score(buckets: int, tokens: int, kinds: int, ends: int):
         known_words = np.bincount(owner, weights=counts[place] > 0, minlength=n).astype(np.int64)
         sizes = np.fromiter((len(t) for t in raw), dtype=np.int64, count=n)
         _, at, _ = _batch_codes(raw, buckets)
-        logs = np.concatenate([none.astype(np.float32), *[B.from_planes(x, np.float32) for x in answers["logs"]]])
+        logs = np.concatenate([none.astype(np.float32), *[_large(x, np.float32) for x in answers["logs"]]])
         model = np.bincount(np.repeat(np.arange(n), sizes), weights=logs[at], minlength=n)
         return pd.DataFrame(
             {
