@@ -50,8 +50,12 @@ SEEN = 2
 POSTINGS = 2_000_000
 # Sets of a list that one tile holds on a side.
 LIST_BLOCK = 512
+# Subsets a set is enumerated into at most, however long lists are.
+MOST_SUBSETS = 256
+# Orders that name leaders of lists: lists of one group share their leaders, so a group has few pairs a member.
+LEADERS = 3
 # Bytes of text whose postings are packed together.
-PART = 12 << 20
+PART = 8 << 20
 
 ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -128,9 +132,11 @@ def subset_sizes(n: int) -> list[tuple[int, int]]:
 
 
 def boundary(mean_list: float) -> int:
-    """Largest size whose subsets cost no more than scanning its prefix lists."""
+    """Largest size whose subsets cost no more than scanning its prefix lists, and are at most ``MOST_SUBSETS``."""
     n = 0
-    while sum(comb(n + 1, k) for _, k in subset_sizes(n + 1)) <= (n + 2 - (3 * n + 6) // 4) * max(1.0, mean_list):
+    while sum(comb(n + 1, k) for _, k in subset_sizes(n + 1)) <= min(
+        MOST_SUBSETS, (n + 2 - (3 * n + 6) // 4) * max(1.0, mean_list)
+    ):
         n += 1
     return n
 
@@ -266,8 +272,12 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
     key, sig, n = key[new], sig[new], n[new]
     step = np.floor(np.log2(np.maximum(n, 1)) * 4).astype(np.int64)
-    # Another leader in every list, so that a group of copies hangs together by many of them.
-    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ key), step, key))
+    # Lists as numbers in the order of their keys, which compress to little.
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    key = (np.cumsum(new) - 1).astype(np.uint64) + (B.U(int(frame["bucket"].iloc[0])) << B.U(36))
+    # The leader comes first by one of a few orders that all lists share; what leaders miss is found across parts.
+    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ ODD[(B.mix64(key) % B.U(LEADERS)).astype(np.int64)]), step, key))
     key, sig, n, step = key[order], sig[order], n[order], step[order]
     head = np.ones(len(key), dtype=bool)
     head[1:] = (key[1:] != key[:-1]) | (step[1:] != step[:-1])
