@@ -118,6 +118,33 @@ def _positions(rows: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
     return rows.where(last >= 0).withColumn("at", F.explode(F.sequence(F.lit(0), last)))
 
 
+def _first_near(at: Column, window: int) -> Column:
+    """Where the tokens begin that windows holding the token ``at`` can reach."""
+    return F.greatest(at - window + 1, F.lit(0))
+
+
+def _near(array: str, at: Column, window: int) -> Column:
+    return F.slice(array, _first_near(at, window) + 1, 3 * window)
+
+
+def _item_positions(items: DataFrame, masks: Sequence[str], window: int) -> DataFrame:
+    """One row per position of an item where the shortest mask fits, with the tokens near it and not the whole item."""
+    last = F.size("item_tokens") - min(map(len, masks))
+    places = F.transform(
+        F.sequence(F.lit(0), last), lambda at: F.struct(at.alias("item_at"), _near("item_tokens", at, window).alias("near"))
+    )
+    placed = items.where(last >= 0).select("item_id", F.size("item_tokens").alias("item_size"), F.explode(places).alias("place"))
+    placed = placed.select("item_id", "item_size", "place.*")
+    return placed.withColumn("around_at", _first_near(F.col("item_at"), window)).withColumn("at", F.col("item_at") - F.col("around_at"))
+
+
+def _doc_near(hits: DataFrame, window: int) -> DataFrame:
+    """The tokens near a hit in place of the whole document: ``near``, its beginning ``near_at``, and ``at`` counted from it."""
+    at = F.col("at")
+    near = hits.withColumn("near", _near("doc_tokens", at, window)).withColumn("near_at", _first_near(at, window))
+    return near.drop("doc_tokens").withColumn("at", at - F.col("near_at"))
+
+
 def _seeds(placed: DataFrame, array: str, masks: Sequence[str]) -> DataFrame:
     """One row per position and mask that fits there: adds ``seed``."""
     hashed = [F.when(F.col("at") + len(m) <= F.size(array), _hash(array, F.col("at"), m)) for m in masks]
@@ -135,18 +162,19 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _confirm(hits: DataFrame, window: int, least: float) -> DataFrame:
-    """``hits`` carry doc_tokens, the item's tokens ``around`` the hit, and ``start``; keeps the confirmed ones.
+    """``hits`` carry the tokens near the hit, the item's ``around`` it, and ``start``; keeps the confirmed ones.
 
     Every window that overlaps holds a seed, so the windows that hold the hit are
     all there is to look at. ``start`` may be negative (the item's beginning lies before the document);
     places outside the document agree with nothing. The agreement is a
     generator's output, so that it is computed once per hit.
     """
-    first, width = F.col("start") + F.col("around_at"), F.least(F.col("item_size"), F.lit(window))
+    first = F.col("start") + F.col("around_at") - F.col("near_at")
+    width = F.least(F.col("item_size"), F.lit(window))
     agree = F.transform(
         F.col("around"),
         lambda token, i: F.when(
-            (first + i >= 0) & (F.xxhash64(F.get(F.col("doc_tokens"), F.greatest(first + i, F.lit(0)))) == token), 1
+            (first + i >= 0) & (F.xxhash64(F.get(F.col("near"), F.greatest(first + i, F.lit(0)))) == token), 1
         ).otherwise(0),
     )
     sums = F.transform(
@@ -183,14 +211,11 @@ def _overlaps(
     seeds = []
     for n, mine in own.items():
         for head, some in _headed(mine):
-            placed = _positions(items.where(size == n), "item_tokens", some)
-            around_at = F.greatest(F.col("at") - window + 1, F.lit(0))
-            around = F.slice("item_tokens", around_at + 1, 3 * window)
+            placed = _item_positions(items.where(size == n), some, window)
             seeds.append(
-                _seeds(placed, "item_tokens", some).select(
-                    "seed", F.lit(head).alias("begins"), _head("item_tokens", head).alias("head"), "item_id",
-                    F.col("at").alias("item_at"), F.size("item_tokens").alias("item_size"), around_at.alias("around_at"),
-                    F.transform(around, lambda token: F.xxhash64(token)).alias("around"),
+                _seeds(placed, "near", some).select(
+                    "seed", F.lit(head).alias("begins"), _head("near", head).alias("head"), "item_id", "item_at",
+                    "item_size", "around_at", F.transform("near", lambda token: F.xxhash64(token)).alias("around"),
                 )
             )
     seeds = materialize(_union(seeds).distinct(), "item-seeds")
@@ -201,7 +226,7 @@ def _overlaps(
         for head, mine in heads:
             known = F.broadcast(seeds.where(F.col("begins") == head).select("head").distinct())
             placed = _positions(texts, "doc_tokens", mine).withColumn("head", _head("doc_tokens", head))
-            found.append(_seeds(placed.join(known, "head", "left_semi"), "doc_tokens", mine))
+            found.append(_seeds(_doc_near(placed.join(known, "head", "left_semi"), window), "near", mine))
         hits = _union(found).join(F.broadcast(seeds.drop("head", "begins")), "seed")
     else:
         keyed = _tokenized(docs, "doc_tokens", "doc_id", F.xxhash64("text").alias("tag"))
@@ -210,9 +235,9 @@ def _overlaps(
         met = met.select("doc_id", "tag", "at", "item_id", "item_at", "item_size", "around_at", "around")
         met = met.withColumnRenamed("doc_id", "_id").withColumnRenamed("tag", "_tag")
         same = keyed["doc_id"].eqNullSafe(met["_id"]) & (keyed["tag"] == met["_tag"])
-        hits = keyed.join(met, same).drop("_id", "_tag")
-    hits = hits.withColumn("start", F.col("at") - F.col("item_at"))
-    kept = ("doc_id", "tag", "item_id", "start", "doc_tokens", "item_size", "around_at", "around")
+        hits = _doc_near(keyed.join(met, same).drop("_id", "_tag"), window)
+    hits = hits.withColumn("start", F.col("near_at") + F.col("at") - F.col("item_at"))
+    kept = ("doc_id", "tag", "item_id", "start", "near", "near_at", "item_size", "around_at", "around")
     return _confirm(hits.select(*kept), window, least)
 
 
