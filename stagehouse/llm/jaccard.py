@@ -53,7 +53,7 @@ LIST_BLOCK = 512
 # Subsets a set is enumerated into at most, however long lists are.
 MOST_SUBSETS = 256
 # Orders that name leaders of lists: lists of one group share their leaders, so a group has few pairs a member.
-LEADERS = 3
+LEADERS = 8
 # Bytes of text whose postings are packed together.
 PART = 8 << 20
 
@@ -277,7 +277,7 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     new[1:] = key[1:] != key[:-1]
     key = (np.cumsum(new) - 1).astype(np.uint64) + (B.U(int(frame["bucket"].iloc[0])) << B.U(36))
     # The leader comes first by one of a few orders that all lists share; what leaders miss is found across parts.
-    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ ODD[(B.mix64(key) % B.U(LEADERS)).astype(np.int64)]), step, key))
+    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ B.mix64(B.mix64(key) % B.U(LEADERS) + B.U(1))), step, key))
     key, sig, n, step = key[order], sig[order], n[order], step[order]
     head = np.ones(len(key), dtype=bool)
     head[1:] = (key[1:] != key[:-1]) | (step[1:] != step[:-1])
