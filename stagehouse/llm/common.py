@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,14 @@ def parts_for(total: int, each: int, least: int = 1) -> int:
     return max(least, math.ceil(total / each))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker outlives its tasks and would keep it for idle."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def uniform(seed: str, *keys: Column) -> Column:
     """A number in [0, 1) that depends on the seed and the keys only (52 bits of MD5)."""
     parts = [F.coalesce(k.cast("string"), F.lit("null")) for k in keys]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import parts_for, read_table
+from stagehouse.llm.common import parts_for, read_table, release_memory
 from stagehouse.llm.graph import components
 from stagehouse.session import materialize
 
@@ -182,6 +182,7 @@ def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 )
             )
             yield pd.concat(parts, ignore_index=True)
+    release_memory()
 
 
 def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
@@ -244,6 +245,7 @@ def _postings(hot, limit: int, buckets: int):
                     (int(k), table.tobytes(), n[part][where].tobytes(), key[part].tobytes(), place.astype(kind).tobytes())
                 )
             yield pd.DataFrame(rows, columns=["bucket", "sigs", "sizes", "keys", "places"])
+        release_memory()
 
     return emit
 
@@ -282,6 +284,7 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     head = np.ones(len(key), dtype=bool)
     head[1:] = (key[1:] != key[:-1]) | (step[1:] != step[:-1])
     lead = sig[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))] if len(key) else sig
+    release_memory()
     return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, "lead": lead})
 
 
@@ -344,6 +347,7 @@ def _exact_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stop = np.cumsum(n)
             whole = hashes.view(np.int64)
             yield pd.DataFrame({"sig": sig, "members": [whole[e - k : e] for e, k in zip(stop, n, strict=True)]})
+    release_memory()
 
 
 class _Checker:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import read_table, uniform
+from stagehouse.llm.common import read_table, release_memory, uniform
 
 # Insults.
 INSULTS = (
@@ -328,6 +328,7 @@ def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None
         for batch in batches:
             scores, codes = held.value.score(B.as_bytes(batch.tolist()))
             yield pd.DataFrame({"code": codes, "junk": scores[:, 0], "toxic": scores[:, 1]})
+        release_memory()
 
     @F.pandas_udf("junk double, toxic double")
     def posteriors(codes: pd.Series, junk: pd.Series, toxic: pd.Series) -> pd.DataFrame:

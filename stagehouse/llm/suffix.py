@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import parts_for, read_table, text_bytes
+from stagehouse.llm.common import parts_for, read_table, release_memory, text_bytes
 from stagehouse.session import materialize
 
 LENGTH = 100
@@ -50,7 +50,7 @@ CORE = LENGTH - WINDOW + 1
 # A text longer than this is worked on in pieces that overlap.
 PIECE = 1 << 19
 # Suffixes sorted into one array of a batch.
-ARRAY = 1 << 19
+ARRAY = 1 << 18
 BUCKET = 16 << 20
 FIRST_ID = -(1 << 63)
 # What an entry says: a suffix; a core with several surroundings; a repeat; a block to expand.
@@ -251,6 +251,8 @@ def _emit(buckets: int, expand: bool):
                     held, size = [], 0
         if held:
             yield flush()
+            held.clear()
+        release_memory()
 
     return emit
 
@@ -323,6 +325,8 @@ def _scan(frame: pd.DataFrame) -> pd.DataFrame:
     parts = [(doc[opened], start[opened], count[opened], np.full(len(opened), EXPAND, dtype=np.uint8))]
     parts += [(*r, np.full(len(r[0]), REPEAT, dtype=np.uint8)) for r in levels.repeats]
     doc, start, count, kind = (np.concatenate(c) for c in zip(*parts, *aside, strict=True))
+    del levels, parts, aside, several
+    release_memory()
     return pd.DataFrame({"doc": doc, "start": start, "count": count.astype(np.int32), "kind": kind.astype(np.int32)})
 
 
