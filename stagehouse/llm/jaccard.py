@@ -21,7 +21,7 @@ the whole shingle hash; what the driver holds is the frequency table of at most
 
 Defined cases: without words the set is empty and links with nothing; a null id
 links with nothing and is its own (null) component; rows that share an id are one
-node with the links of each text; repeated rows are one set; an empty table gives
+node with the links of each text (``without_near_duplicates`` judges each text by itself); repeated rows are one set; an empty table gives
 no rows; further columns are ignored, or kept by ``without_near_duplicates``.
 """
 
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from stagehouse.llm import bytesops as B
 from stagehouse.llm.common import parts_for, read_table, release_memory
 from stagehouse.llm.graph import components
+from stagehouse.operators.joins import unplaced
 from stagehouse.session import materialize
 
 SHINGLE = 5
@@ -383,8 +384,19 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     return _placed(docs, [])
 
 
+def _shared_ids(sets: DataFrame) -> DataFrame:
+    """(doc_id, sig, low): the sets of each id that has several, and the first of them; empty sets have no ``sig``."""
+    filled = F.when(F.col("n") > 0, F.col("sig"))
+    owned = sets.where("doc_id is not null").select("doc_id", filled.alias("sig")).distinct()
+    several = owned.groupBy("doc_id").agg(F.min("sig").alias("low"), F.count("*").alias("times")).where("times > 1")
+    return materialize(owned.join(unplaced(several.drop("times")), "doc_id"), "shared-ids")
+
+
 def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
-    """The components, also with ``tag``, a hash of the text, where ``tag`` names it."""
+    """The components; rows of one id are one node.
+
+    Where ``tag`` names a column, it holds a hash of the text and every text of an id is a node of its own.
+    """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     texts = docs.withColumn("text", F.col("text").cast("binary"))
@@ -414,6 +426,11 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     led = lists.where("lead <> sig").select(*order("lead", "sig")).distinct()
     links = checker.links(led)
+    shared = None if tag else _shared_ids(sets)
+    if shared is not None and shared.isEmpty():
+        shared = None
+    if shared is not None:
+        links = links.union(shared.where("sig <> low").select(*order("low", "sig")).distinct())
     placed = components(links)
     known = lists.join(placed.withColumnRenamed("node", "sig"), "sig", "left").select(
         "key", "sig", "n", F.coalesce("component", "sig").alias("part")
@@ -446,8 +463,15 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
         "sig", "n", "rep", F.coalesce("component", "sig").alias("part")
     )
     roots = named.groupBy("part").agg(F.min("rep").alias("root"))
-    rooted = named.join(roots, "part").select("sig", "n", F.col("root").alias("component"))
+    rooted = named.join(unplaced(roots), "part").select("sig", "n", F.col("root").alias("component"))
     joined = sets.join(rooted, ["sig", "n"], "left")
+    if shared is not None:
+        # An empty text has no links of its own, but its id may have some.
+        firsts = shared.select("doc_id", "low").distinct().join(rooted.withColumnRenamed("sig", "low").drop("n"), "low")
+        firsts = firsts.select("doc_id", F.col("component").alias("of_id"))
+        joined = joined.join(unplaced(firsts), "doc_id", "left").withColumn(
+            "component", F.coalesce("component", "of_id")
+        )
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", *tag, F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 

@@ -170,6 +170,17 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, limit):
         assert r.n_shingles in {len(s) for s in sets[r.doc_id]}
 
 
+def test_jaccard_takes_rows_of_one_id_as_one_node(spark):
+    other, third = ("".join(f"{w}{k} " for k in range(60)) for w in ("other", "third"))
+    rows = [(5, BASE, "a"), (6, other, "a"), (7, BASE, "a"), (7, other, "a"), (7, None, "a"), (8, third, "a")]
+    rows += [(9, third, "b"), (9, "", "b"), (10, None, "b"), (10, "", "b"), (None, other, "b"), (None, BASE, "b")]
+    got = jaccard.similarity_components(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (6, 5), (7, 5), (8, 8), (9, 8), (10, 10), (None, None)}
+    kept = jaccard.without_near_duplicates(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.text) for r in kept if r.text and r.doc_id} == {(5, BASE), (6, other), (8, third)}
+
+
 def test_jaccard_subsets_cover_every_linking_pair():
     for s in range(1, 12):
         for t in range(s, 4 * s // 3 + 1):
