@@ -63,6 +63,9 @@ class GivenSales:
     def count(self, table: str) -> int:
         return self.load(table).count()
 
+    def load_from(self, table: str, low: int | None) -> DataFrame:
+        return self.load(table)
+
 
 def _brand_number() -> Column:
     return F.substring("p_brand", 7, 9).cast("long")

@@ -275,6 +275,8 @@ _XML_EMPLOYEES = """
         CAST(CAST(birth_date AS DATE) AS VARCHAR) AS birth_date,
         CAST(date_devations AS VARCHAR) AS date_devations, uik, CAST(uik_num AS VARCHAR) AS uik_num
     FROM stg_emp"""
+_MONTH_KEY = "concat_ws('|', coalesce(CAST(sale_year AS VARCHAR), '-'), coalesce(CAST(sale_month AS VARCHAR), '-'))"
+_DAY_KEY = "coalesce(strftime(invoice_date, '%Y-%m-%d'), '-')"
 _CANONICAL = "id_employee = CAST(CAST(id_employee AS BIGINT) AS VARCHAR)"
 SELECTS.update(
     {
@@ -305,6 +307,24 @@ SELECTS.update(
             FROM stg_emp JOIN events ON event_id = record_id WHERE {_CANONICAL}""",
         "job_initial_load": SELECTS["sales_by_employee"],
         "job_repeated_load": SELECTS["average_sales_by_day_of_week_shifted"],
+        "job_incremental_load": " UNION ALL ".join(
+            f"SELECT '{mart}' AS mart, {key} AS key, CAST({value} AS DOUBLE) AS value FROM ({SELECTS[mart]})"
+            for mart, value, key in [
+                ("sales_trends_by_month", "total_sales", _MONTH_KEY),
+                ("sales_with_moving_average", "moving_average", _MONTH_KEY),
+                ("sales_growth_by_month", "sales_growth", _MONTH_KEY),
+                ("average_sales_by_day_of_week", "average_sale", "day_of_week"),
+                ("average_sales_by_seller", "average_sale", "coalesce(sales_person, '-')"),
+                ("sales_by_service", "total_sales", "coalesce(service, '-')"),
+                ("customer_age_groups", "customer_count", "age_group"),
+                (
+                    "sales_by_country_and_region",
+                    "total_sales",
+                    f"concat_ws('|', coalesce(country, '-'), coalesce(resort, '-'), {_DAY_KEY})",
+                ),
+                ("sales_by_employee", "total_price", f"concat_ws('|', coalesce(sales_person, '-'), {_DAY_KEY})"),
+            ]
+        ),
         "job_emissions": SELECTS["emissions_fact"],
         "job_emissions_incremental": """
             SELECT 'address' AS table_name, id, concat_ws('|', coalesce(postcode, '-'), coalesce(region, '-'),

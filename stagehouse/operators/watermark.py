@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagehouse.operators.joins import unplaced
@@ -35,24 +35,30 @@ def high_watermark(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.agg(F.max(F.struct(*keys)).alias("k")).select("k.*")
 
 
+def past_mark(keys: Sequence[str], mark: Sequence[object]) -> Column:
+    """Whether the key lies past ``mark``, part by part, a null before everything else.
+
+    Spelled out in plain comparisons, which parquet and JDBC scans evaluate
+    themselves; the leading one alone also prunes row groups and slices.
+    """
+    beyond: Column | None = None
+    for key, value in reversed(list(zip(keys, mark, strict=True))):
+        greater = F.col(key).isNotNull() if value is None else F.col(key) > F.lit(value)
+        equal = F.col(key).isNull() if value is None else F.col(key) == F.lit(value)
+        beyond = greater if beyond is None else greater | (equal & beyond)
+    lead = mark[0]
+    return beyond if lead is None else (F.col(keys[0]) >= F.lit(lead)) & beyond
+
+
 def rows_after(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key lies past the greatest key of ``target``.
 
-    The mark is a single row, so it is read first and compared as a literal
+    The mark is a single row, so it is read first and compared as literals
     that the scan can use. An empty target gives all rows. Rows that arrive
     later with a smaller key are missed; :func:`rows_not_loaded` finds those.
     """
     mark = target.agg(F.max(F.struct(*keys)).alias("k")).first()["k"]
-    if mark is None:
-        return source
-    schema = target.select(*keys).schema
-    limit = F.struct(*[F.lit(mark[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
-    beyond = F.struct(*keys) > limit
-    lead = mark[keys[0]]
-    if lead is not None:
-        # Implied by the tuple comparison, and simple enough to be pushed down.
-        beyond = (F.col(keys[0]) >= F.lit(lead)) & beyond
-    return source.where(beyond)
+    return source if mark is None else source.where(past_mark(keys, mark))
 
 
 def rows_not_loaded(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -166,9 +166,25 @@ def load_marts(
     labels: tuple[str, ...] = SUNDAY_FIRST,
     buckets: AgeBuckets = HISTORY,
 ) -> None:
-    """Reload the nine marts. Growth and moving average read the monthly mart
-    just written, so the fact is summed by month once."""
+    """Reload the nine marts from the star of ``layer``."""
     fact = warehouse.snapshot(layer, "fact_sale")
+    customers = warehouse.snapshot(layer, "dim_customer")
+    write_marts(warehouse, layer, fact, fact, fact, customers, labels, buckets)
+
+
+def write_marts(
+    warehouse: Warehouse,
+    layer: str,
+    by_seller: DataFrame,
+    by_service: DataFrame,
+    by_place: DataFrame,
+    customers: DataFrame,
+    labels: tuple[str, ...] = SUNDAY_FIRST,
+    buckets: AgeBuckets = HISTORY,
+) -> None:
+    """Write the nine marts out of the fact, or of its sums by seller and date,
+    service, and place and date. Growth and moving average read the monthly mart
+    just written, so months are summed once."""
 
     def dim(name: str) -> DataFrame:
         return warehouse.snapshot(layer, f"dim_{name}")
@@ -176,19 +192,19 @@ def load_marts(
     def write(df: DataFrame, name: str) -> Callable[[], None]:
         return lambda: _reload(warehouse, df, "dds", name)
 
-    _reload(warehouse, marts.monthly_sales(fact), "dds", "sales_trends_by_month")
+    _reload(warehouse, marts.monthly_sales(by_seller), "dds", "sales_trends_by_month")
     monthly = warehouse.snapshot("dds", "sales_trends_by_month")
     tables = {
         "sales_with_moving_average": marts.moving_average(monthly),
         "sales_growth_by_month": marts.growth(monthly),
-        "average_sales_by_day_of_week": marts.average_sales_by_day_of_week(fact, labels),
-        "average_sales_by_seller": marts.average_sales_by_seller(fact, dim("seller")),
-        "sales_by_service": marts.sales_by_service(fact, dim("service")),
-        "customer_age_groups": marts.customer_age_groups(dim("customer"), buckets),
+        "average_sales_by_day_of_week": marts.average_sales_by_day_of_week(by_seller, labels),
+        "average_sales_by_seller": marts.average_sales_by_seller(by_seller, dim("seller")),
+        "sales_by_service": marts.sales_by_service(by_service, dim("service")),
+        "customer_age_groups": marts.customer_age_groups(customers, buckets),
         "sales_by_country_and_region": marts.sales_by_country_and_region(
-            fact, dim("country"), dim("resort")
+            by_place, dim("country"), dim("resort")
         ),
-        "sales_by_employee": marts.sales_by_employee(fact, dim("seller")),
+        "sales_by_employee": marts.sales_by_employee(by_seller, dim("seller")),
     }
     side_by_side([write(df, name) for name, df in tables.items()])
 

@@ -87,6 +87,43 @@ def _measure(name: str) -> Column:
     raise ValueError(f"unknown measure {name}")
 
 
+def service_terms(stage: Mapping[str, DataFrame]) -> DataFrame:
+    """What a line takes from its service: a row per service that has a resort."""
+    return (
+        stage["service"]
+        .select("service_id", "sl_id", "price")
+        .join(stage["service_line"].select("sl_id", "resort_id"), "sl_id")
+        .join(stage["resort"].select("resort_id", "country_id"), "resort_id")
+        .select("service_id", "price", "sl_id", "resort_id", "country_id")
+    )
+
+
+def place_lines(
+    lines: DataFrame,
+    invoices: DataFrame,
+    customers: DataFrame,
+    terms: DataFrame,
+    measure: str = "price",
+) -> DataFrame:
+    """Every line with its fact columns, ``placed`` where invoice, customer and service are known.
+
+    For loads that come in parts: :func:`fact_sale` leaves out a line whose
+    other tables lack its keys, here it can wait for them.
+    """
+    known = invoices.select("inv_id", "cust_id", "invoice_date").join(
+        customers.select("cust_id", F.col("sales_id").alias("seller_id")), "cust_id"
+    )
+    placed = F.col("_invoice").isNotNull() & F.col("_service").isNotNull()
+    return (
+        lines.select("inv_id", "service_id", "days", "nb_guests")
+        .join(terms.withColumn("_service", F.lit(True)), "service_id", "left")
+        .join(known.withColumn("_invoice", F.lit(True)), "inv_id", "left")
+        .withColumn("price", _measure(measure))
+        .withColumn("placed", placed)
+        .drop("_invoice", "_service")
+    )
+
+
 def fact_sale(stage: Mapping[str, DataFrame], measure: str = "price") -> DataFrame:
     """One row per invoice line with its invoice, seller, service, resort and country.
 

@@ -17,6 +17,10 @@ class TableSource(Protocol):
 
     def count(self, table: str) -> int: ...
 
+    def load_from(self, table: str, low: int | None) -> DataFrame:
+        """At least the rows whose first column is ``low`` or more; all where it is null."""
+        ...
+
 
 @dataclass(frozen=True)
 class FrameSource:
@@ -27,6 +31,9 @@ class FrameSource:
     def load(self, table: str) -> DataFrame:
         return self.tables[table]
 
+    def load_from(self, table: str, low: int | None) -> DataFrame:
+        return self.load(table)
+
     def count(self, table: str) -> int:
         return self.load(table).count()
 
@@ -42,6 +49,10 @@ class ParquetSource:
     def load(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}{self.suffix}")
 
+    def load_from(self, table: str, low: int | None) -> DataFrame:
+        """The whole table: what the caller compares is pushed into the scan."""
+        return self.load(table)
+
     def count(self, table: str) -> int:
         return self.load(table).count()
 
@@ -60,9 +71,10 @@ class JdbcSource:
     def _options(self) -> dict[str, str]:
         return {"fetchsize": str(self.fetch_size), **self.properties}
 
-    def bounds_query(self, table: str) -> str:
+    def bounds_query(self, table: str, low: int | None = None) -> str:
         key = SPLIT_COLUMN[table]
-        return f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {self.db_schema}.{table}"
+        past = "" if low is None else f" WHERE {key} >= {int(low)}"
+        return f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {self.db_schema}.{table}{past}"
 
     def count_query(self, table: str) -> str:
         return f"SELECT COUNT(*) AS n FROM {self.db_schema}.{table}"
@@ -85,22 +97,27 @@ class JdbcSource:
         }
 
     def load(self, table: str) -> DataFrame:
-        low, high = self._query(self.bounds_query(table)).first()
-        return self.spark.read.jdbc(
-            self.url, properties=self._options(), **self.slice_options(table, low, high)
+        return self.load_from(table, None)
+
+    def load_from(self, table: str, low: int | None) -> DataFrame:
+        """Slices over the keys from ``low`` on, so that a small delta is not one slice of many."""
+        first, last = self._query(self.bounds_query(table, low)).first()
+        rows = self.spark.read.jdbc(
+            self.url, properties=self._options(), **self.slice_options(table, first, last)
         )
+        return rows if low is None else rows.where(F.col(SPLIT_COLUMN[table]) >= F.lit(low))
 
     def count(self, table: str) -> int:
         """Counted by the database, which sends one row."""
         return self._query(self.count_query(table)).first()[0]
 
 
-def read_table(source: TableSource, table: str) -> DataFrame:
+def read_table(source: TableSource, table: str, low: int | None = None) -> DataFrame:
     """A snapshot of ``table`` with its declared columns only.
 
     The select reaches the scan, so parquet and JDBC read no other column.
+    With ``low``, rows whose first column is smaller may be left out.
     """
     schema = SALES_TABLES[table]
-    return source.load(table).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    rows = source.load(table) if low is None else source.load_from(table, low)
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
