@@ -7,11 +7,13 @@ shingles, frequent ones last, so any two sets that link share a list; the order
 changes only the cost. The boundary is where subsets begin to cost more than list
 scans, by the counted sizes and frequencies.
 
-Links are looked for in two steps, so that a large group of copies never becomes
-all its pairs. First every list's sets are checked against a leader of about
-their size, another one in each list. Then, over the components so found, pairs of a list that lie in
-different components are checked, tile by tile within tasks; pairs in one component
-cannot change the result.
+Links are looked for in three steps, so that a large group of copies never becomes
+all its pairs. First every list's sets are checked against leaders of about their
+size that come first in orders of all sets, so that a group has few of them. Over
+the components so found, sets are checked against a leader of another component
+that differs from list to list. Last, pairs of a list that still lie in different
+components are checked, tile by tile within tasks; pairs in one component cannot
+change the result.
 A check compares sizes, then parity sketches (their distance never exceeds the
 symmetric difference, so this drops no link), then the exact sets.
 
@@ -51,6 +53,8 @@ SEEN = 2
 POSTINGS = 2_000_000
 # Sets of a list that one tile holds on a side.
 LIST_BLOCK = 512
+# Orders of the sets by which all lists choose a leader.
+SHARED = 2
 # Subsets a set is enumerated into at most, however long lists are.
 MOST_SUBSETS = 256
 # Bytes of text whose postings are packed together.
@@ -277,14 +281,25 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     new = np.ones(len(key), dtype=bool)
     new[1:] = key[1:] != key[:-1]
     key = (np.cumsum(new) - 1).astype(np.uint64) + (B.U(int(frame["bucket"].iloc[0])) << B.U(36))
-    # Another leader in every list, so that a group of copies hangs together by many of them.
-    order = np.lexsort((B.mix64(sig.view(np.uint64) ^ key), step, key))
-    key, sig, n, step = key[order], sig[order], n[order], step[order]
     head = np.ones(len(key), dtype=bool)
-    head[1:] = (key[1:] != key[:-1]) | (step[1:] != step[:-1])
-    lead = sig[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))] if len(key) else sig
+
+    def leaders(seed: np.ndarray | np.uint64) -> np.ndarray:
+        """First set of each list and size class in an order of the sets."""
+        order = np.lexsort((B.mix64(sig.view(np.uint64) ^ seed), step, key))
+        head[1:] = (key[order][1:] != key[order][:-1]) | (step[order][1:] != step[order][:-1])
+        first = order[np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))]
+        lead = np.empty_like(sig)
+        lead[order] = sig[first]
+        return lead
+
+    # Orders that all lists share pick few leaders; an order of its own picks another one in every list.
+    led = {f"lead{k}": leaders(ODD[k]) if len(key) else sig for k in range(SHARED)}
+    led["lead"] = leaders(key) if len(key) else sig
     release_memory()
-    return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, "lead": lead})
+    return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, **led})
+
+
+LISTED = ", ".join(["key long, sig long, n int", *(f"lead{k} long" for k in range(SHARED)), "lead long"])
 
 
 def _near_pairs(n, part, side, sketch, both: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -420,22 +435,31 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
         _postings(hot, boundary(mean_list), buckets),
         "bucket int, sigs binary, sizes binary, keys binary, places binary",
     )
-    lists = packed.groupBy("bucket").applyInPandas(_lists, "key long, sig long, n int, lead long")
+    lists = packed.groupBy("bucket").applyInPandas(_lists, LISTED)
     lists = materialize(lists, "lists")
     checker = _Checker(docs, classes)
     order = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    led = lists.where("lead <> sig").select(*order("lead", "sig")).distinct()
-    links = checker.links(led)
+    first = F.array(*[f"lead{k}" for k in range(SHARED)])
+    led = lists.select("sig", F.explode(F.array_distinct(first)).alias("lead")).where("lead <> sig")
+    links = checker.links(led.select(*order("lead", "sig")).distinct())
     shared = None if tag else _shared_ids(sets)
     if shared is not None and shared.isEmpty():
         shared = None
     if shared is not None:
         links = links.union(shared.where("sig <> low").select(*order("low", "sig")).distinct())
+
+    def in_parts(placed: DataFrame) -> DataFrame:
+        return lists.join(placed.withColumnRenamed("node", "sig"), "sig", "left").select(
+            "key", "sig", "n", "lead", F.coalesce("component", "sig").alias("part")
+        )
+
+    known = in_parts(components(links))
+    heads = known.where("lead = sig").select("key", "lead", F.col("part").alias("lead_part"))
+    led = known.where("lead <> sig").join(heads, ["key", "lead"]).where("part <> lead_part")
+    second = checker.links(led.select(*order("lead", "sig")).distinct())
+    links = links.union(second)
     placed = components(links)
-    known = lists.join(placed.withColumnRenamed("node", "sig"), "sig", "left").select(
-        "key", "sig", "n", F.coalesce("component", "sig").alias("part")
-    )
-    known = materialize(known, "known-parts")
+    known = materialize(in_parts(placed).drop("lead"), "known-parts")
     mixed = known.groupBy("key").agg(
         F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")
     )
