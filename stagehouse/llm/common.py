@@ -15,7 +15,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+# Bytes of rows that go to a Python worker at a time (a longer row goes alone).
+BATCH = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: 10,000 rows, Spark's own bound, are gigabytes where texts are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import parts_for, read_table, release_memory
+from stagehouse.llm.common import bound_batches, parts_for, read_table, release_memory
 from stagehouse.llm.graph import components
 from stagehouse.operators.joins import unplaced
 from stagehouse.session import materialize
@@ -48,8 +48,9 @@ SHINGLE = 5
 # A shingle is frequent when it makes up more than one in HOT of all; so there are at most HOT.
 HOT = 1 << 20
 HOT_LEAST = 10
-# Reported per block of texts from this many on.
+# A task reports the shingles that occur this often among so many gathered ones.
 SEEN = 2
+GATHERED = 1 << 22
 POSTINGS = 2_000_000
 # Sets of a list that one tile holds on a side.
 LIST_BLOCK = 512
@@ -145,55 +146,57 @@ def boundary(mean_list: float) -> int:
 
 
 def _summaries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per text (``times`` -1), and of about every ``GATHERED`` shingles those that occur several times."""
+    held: list[np.ndarray] = []
+    size, tagged = 0, False
+
+    def row(doc_id, tag, n, sig, sketch, times) -> pd.DataFrame:
+        tags = {"tag": tag} if tagged else {}
+        return pd.DataFrame({"doc_id": doc_id, **tags, "n": n, "sig": sig, "sketch": sketch, "times": times})
+
+    def flush() -> pd.DataFrame:
+        hashes = np.concatenate(held)
+        held.clear()
+        hashes.sort()
+        at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, dtype=int)
+        times = np.diff(np.append(at, len(hashes)))
+        often = times >= SEEN
+        none = pd.array([None] * int(often.sum()), dtype="Int64")
+        return row(none, none, 0, hashes[at[often]].view(np.int64), [b""] * len(none), times[often])
+
     for frame in frames:
         raw = B.as_bytes(frame["text"].tolist())
-        held, parts = [], []
+        tagged = "tag" in frame
         for first, last in B.blocks(raw):
             owner, hashes = shingle_sets(raw[first:last])
             n, sig = _signatures(last - first, owner, hashes)
+            whole = frame.iloc[first:last]
+            tag = whole["tag"].astype("Int64") if tagged else None
+            yield row(whole["doc_id"].astype("Int64"), tag, n, sig, sketches(n, owner, hashes), -1)
             held.append(hashes)
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": frame["doc_id"].iloc[first:last].astype("Int64"),
-                        **({"tag": frame["tag"].iloc[first:last].astype("Int64")} if "tag" in frame else {}),
-                        "n": n,
-                        "sig": sig,
-                        "sketch": sketches(n, owner, hashes),
-                        "times": -1,
-                    }
-                )
-            )
-        if held:
-            hashes = np.concatenate(held)
-            held.clear()
-            hashes.sort()
-            at = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, dtype=int)
-            times = np.diff(np.append(at, len(hashes)))
-            often = times >= SEEN
-            hashes = hashes[at]
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": pd.array([None] * int(often.sum()), dtype="Int64"),
-                        **({"tag": pd.array([None] * int(often.sum()), dtype="Int64")} if "tag" in frame else {}),
-                        "n": 0,
-                        "sig": hashes[often].view(np.int64),
-                        "sketch": [b""] * int(often.sum()),
-                        "times": times[often],
-                    }
-                )
-            )
-            yield pd.concat(parts, ignore_index=True)
+            size += len(hashes)
+            if size >= GATHERED:
+                yield flush()
+                size = 0
+    if held:
+        yield flush()
     release_memory()
 
 
 def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
-    """Texts in batches of bounded bytes."""
+    """Texts in batches of bounded bytes, whatever the size of the frames."""
+    held: list[bytes] = []
+    size = 0
     for frame in frames:
         raw = B.as_bytes(frame["text"].tolist())
-        for first, last in B.blocks(raw, PART):
-            yield raw[first:last]
+        for first, last in B.blocks(raw):
+            held.extend(raw[first:last])
+            size += sum(map(len, raw[first:last]))
+            if size >= PART:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def _postings(hot, limit: int, buckets: int):
@@ -413,6 +416,7 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
     Where ``tag`` names a column, it holds a hash of the text and every text of an id is a node of its own.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select("doc_id", "text")
     texts = docs.withColumn("text", F.col("text").cast("binary"))
     schema = ", ".join(["doc_id long", *(f"{t} long" for t in tag), "n int, sig long, sketch binary, times int"])

@@ -26,11 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import read_table, release_memory, uniform
+from stagehouse.llm.common import bound_batches, read_table, release_memory, uniform
 
 # Insults.
 INSULTS = (
@@ -258,6 +258,17 @@ class Classifier:
         odds = np.log(share / (1 - share)) + (np.log(tables[1]) - np.log(tables[0]))[one, patterns].sum(1)
         return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
+    def posterior_of(self, fault: str, code: Column, curated: Column) -> Column:
+        """:meth:`posterior` of a vote code and a curated vote as an expression, which needs no worker of its own."""
+        tables, share = self.tables[fault]
+        gain = np.log(tables[1]) - np.log(tables[0])
+        first, last = (0, 5) if fault == "junk" else (5, 6)
+        votes_ = [F.floor(code / 3 ** (5 - k)) % 3 for k in range(first, last)] + [F.coalesce(curated, F.lit(0))]
+        odds = F.lit(float(np.log(share / (1 - share))))
+        for given, vote in zip(gain.tolist(), votes_, strict=True):
+            odds = odds + F.get(F.array(*[F.lit(g) for g in given]), vote.cast("int"))
+        return 1 / (1 + F.exp(-F.least(F.greatest(odds, F.lit(-500.0)), F.lit(500.0))))
+
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Scores (text, fault) and vote codes."""
         scores, codes = np.zeros((len(texts), len(FAULTS))), np.zeros(len(texts), dtype=np.int64)
@@ -319,6 +330,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Classifie
 
 def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None) -> DataFrame:
     """All columns of ``docs`` plus junk and toxic scores and posteriors and ``keep``."""
+    bound_batches(docs.sparkSession)
     model = model or fit(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast(model)
     made = ("junk_score", "toxic_score", "junk_posterior", "toxic_posterior", "keep")
@@ -330,26 +342,20 @@ def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None
             yield pd.DataFrame({"code": codes, "junk": scores[:, 0], "toxic": scores[:, 1]})
         release_memory()
 
-    @F.pandas_udf("junk double, toxic double")
-    def posteriors(codes: pd.Series, junk: pd.Series, toxic: pd.Series) -> pd.DataFrame:
-        patterns = _patterns(codes.to_numpy(), junk.to_numpy(), toxic.to_numpy())
-        return pd.DataFrame({f: held.value.posterior(f, patterns[f].astype(int)) for f in FAULTS})
-
     base = docs.drop(*made).withColumn("_scored", scored(F.col("text").cast("binary")))
     curated = _label_votes(labels)
     joined = base.join(curated, base["doc_id"].eqNullSafe(curated["_labelled"]), "left")
-    given = [F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("_junk", "_toxic")]
-    judged = joined.withColumn("_posterior", posteriors(F.col("_scored.code"), *given)).withColumns(
+    judged = joined.withColumns(
         {
             "junk_score": F.col("_scored.junk"),
             "toxic_score": F.col("_scored.toxic"),
-            "junk_posterior": F.col("_posterior.junk"),
-            "toxic_posterior": F.col("_posterior.toxic"),
+            "junk_posterior": model.posterior_of("junk", F.col("_scored.code"), F.col("_junk")),
+            "toxic_posterior": model.posterior_of("toxic", F.col("_scored.code"), F.col("_toxic")),
         }
     )
     limit = F.lit(LIMIT)
     faulty = F.greatest("junk_score", "toxic_score", "junk_posterior", "toxic_posterior") >= limit
-    return judged.withColumn("keep", ~faulty).drop("_scored", "_posterior", "_labelled", "_junk", "_toxic")
+    return judged.withColumn("keep", ~faulty).drop("_scored", "_labelled", "_junk", "_toxic")
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

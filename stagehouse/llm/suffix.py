@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import parts_for, read_table, release_memory, text_bytes
+from stagehouse.llm.common import bound_batches, parts_for, read_table, release_memory, text_bytes
 from stagehouse.session import materialize
 
 LENGTH = 100
@@ -405,6 +405,7 @@ CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text
 
 
 def _deduplicated(docs: DataFrame, with_text: bool) -> DataFrame:
+    bound_batches(docs.sparkSession)
     total = text_bytes(docs)
     numbered = _numbered(docs)
     whole, single = _find(numbered, total)
