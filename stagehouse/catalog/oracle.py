@@ -35,6 +35,23 @@ _LOG = """request_id, record_id, mode, id_employee, fio, id_region, id_company,
     j_faktor, x_faktor, birth_date, date_devations, uik, uik_num"""
 _COPY = """(SELECT * FROM fx_invoice_line
     WHERE inv_id <= (SELECT MAX(o_orderkey) // 2 FROM orders))"""
+_DRIFT = """
+    WITH here AS (
+        SELECT *, (inv_id // 512) % 7 = 3 AS hit FROM fx_invoice_line),
+    moved AS (
+        SELECT CASE WHEN hit AND inv_id % 5 = 0 THEN inv_id + 1000000000 ELSE inv_id END AS inv_id, service_id,
+            CASE WHEN hit AND inv_id % 5 = 1 THEN days + 1 ELSE days END AS days, nb_guests FROM here),
+    a AS (SELECT inv_id, service_id,
+            string_agg(concat(days, ':', nb_guests), ',' ORDER BY days, nb_guests) AS held
+        FROM fx_invoice_line GROUP BY ALL),
+    b AS (SELECT inv_id, service_id,
+            string_agg(concat(days, ':', nb_guests), ',' ORDER BY days, nb_guests) AS held
+        FROM moved GROUP BY ALL),
+    found AS (
+        SELECT COALESCE(a.inv_id, b.inv_id) AS inv_id, COALESCE(a.service_id, b.service_id) AS service_id,
+            CASE WHEN b.held IS NULL THEN 'new' WHEN a.held IS NULL THEN 'gone' ELSE 'changed' END AS change
+        FROM a FULL JOIN b ON a.inv_id = b.inv_id AND a.service_id = b.service_id
+        WHERE a.held IS DISTINCT FROM b.held)"""
 _NAME = "split_part(fio, ' ', {}) AS {}"
 _PERSON = """id_employee, split_part(fio, ' ', 1) AS first_name,
     split_part(fio, ' ', 2) AS last_name, split_part(fio, ' ', 3) AS sur_name, birth_date"""
@@ -75,6 +92,20 @@ SELECTS.update(
                 id_region, id_company, l_faktor, j_faktor, x_faktor, birth_date, date_devations,
                 uik, uik_num
             FROM stg_emp""",
+        "range_drift": f"""SELECT * FROM ({_DRIFT}
+            SELECT inv_id // 512 * 512 AS range_low, COUNT(*) FILTER (change = 'new') AS n_new,
+                COUNT(*) FILTER (change = 'gone') AS n_gone, COUNT(*) FILTER (change = 'changed') AS n_changed
+            FROM found GROUP BY 1)""",
+        "row_drift": f"""SELECT * FROM ({_DRIFT}
+            SELECT inv_id // 512 * 512 AS range_low, inv_id, service_id, change FROM found)""",
+        "typed_quarantine": """
+            SELECT record_id, fio,
+                CASE WHEN record_id % 11 <> 0 AND record_id % 13 <> 0 THEN id_region END AS id_region,
+                concat_ws(',', CASE WHEN record_id % 11 = 0 THEN 'id_region' END,
+                    CASE WHEN record_id % 13 = 0 THEN 'birth_date' END) AS rejected,
+                CASE WHEN record_id % 11 = 0 THEN 'n/a'
+                    WHEN record_id % 13 = 0 THEN CAST(id_region AS VARCHAR) END AS raw_region
+            FROM stg_emp""",
         "typed_regions": """
             SELECT CAST(id_region AS BIGINT) AS id_region, region_name, region_parent,
                 CAST(round(CAST(population AS DECIMAL(12,2)), 0) AS BIGINT) AS population,

@@ -13,7 +13,7 @@ from stagehouse.catalog import inputs
 from stagehouse.catalog.inputs import given
 from stagehouse.functions import address, dates, text
 from stagehouse.functions.buckets import REPEATED
-from stagehouse.operators import changes, filters, keys, merge, typing, watermark
+from stagehouse.operators import changes, drift, filters, keys, merge, typing, watermark
 from stagehouse.operators.lookup import lookup, lookup_codes_by_name
 from stagehouse.plans import emissions, employees, marts, reference, star
 from stagehouse.schemas import (
@@ -140,6 +140,28 @@ def typed_projection(spark, sf_dir):
     return plain(typing.to_typed(stage, EMPLOYEE_NDS, keep=("request_id", "record_id")))
 
 
+@query
+def typed_quarantine(spark, sf_dir):
+    """Employees, some with regions or dates that do not parse: what is loaded and what is set aside."""
+    stage = inputs.employee_stage(spark, sf_dir)
+    number = F.col("record_id").cast("long")
+    damaged = stage.withColumns(
+        {
+            "id_region": F.when(number % 11 == 0, "n/a").otherwise(F.col("id_region")),
+            "birth_date": F.when(number % 13 == 0, "soon").otherwise(F.col("birth_date")),
+        }
+    )
+    good, rejects = typing.split_rejects(damaged, EMPLOYEE_NDS, keep=("record_id",), most=0.5)
+    loaded = good.select(
+        "record_id", "fio", "id_region", F.lit("").alias("rejected"), F.lit(None).cast("string").alias("raw_region")
+    )
+    value = lambda name: F.get_json_object("raw", f"$.{name}")
+    aside = rejects.select(
+        "record_id", value("fio"), F.lit(None).cast("long"), F.array_join("rejected", ","), value("id_region")
+    )
+    return loaded.unionAll(aside)
+
+
 @query
 def typed_regions(spark, sf_dir):
     return plain(reference.typed_regions(inputs.region_stage(spark, sf_dir)))
@@ -436,6 +458,28 @@ def high_watermark_key(spark, sf_dir):
     return watermark.high_watermark(_source_and_copy(spark, sf_dir)[1], LINE_KEY)
 
 
+def _drifted_copy(lines: DataFrame) -> DataFrame:
+    """As many rows, but in some spans of the order numbers lines are renumbered or changed."""
+    here = F.floor(F.col("inv_id") / 512) % 7 == 3
+    moved = F.when(here & (F.col("inv_id") % 5 == 0), F.col("inv_id") + 1_000_000_000)
+    longer = F.when(here & (F.col("inv_id") % 5 == 1), F.col("days") + 1)
+    return lines.select(
+        F.coalesce(moved, "inv_id").alias("inv_id"), "service_id", F.coalesce(longer, "days").alias("days"), "nb_guests"
+    )
+
+
+@query
+def range_drift(spark, sf_dir):
+    lines = _source_and_copy(spark, sf_dir)[0]
+    return drift.range_drift(lines, _drifted_copy(lines), LINE_KEY, leaf=512)
+
+
+@query
+def row_drift(spark, sf_dir):
+    lines = _source_and_copy(spark, sf_dir)[0]
+    return drift.row_drift(lines, _drifted_copy(lines), LINE_KEY, leaf=512)
+
+
 @query
 def rows_after_watermark(spark, sf_dir):
     return watermark.rows_after(*_source_and_copy(spark, sf_dir), LINE_KEY)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagehouse.functions.text import blank_to_null
+from stagehouse.session import materialize
 
 
 def _timestamp(column: Column, fmt: str | None, strict: bool) -> Column:
@@ -64,6 +65,42 @@ def to_typed(
     return df.select(*keep, *columns, F.array_compact(F.array(*failed)).alias("_rejected"))
 
 
+class TooManyRejected(ValueError):
+    """More rows failed their casts than the load may leave out."""
+
+
+def split_rejects(
+    df: DataFrame,
+    target: T.StructType,
+    blank_null: tuple[str, ...] = (),
+    timestamp_format: str | None = None,
+    keep: tuple[str, ...] = (),
+    most: float = 1.0,
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows, and the rows that do not parse, in one pass over ``df``.
+
+    Rejects carry the ``keep`` columns, the names of the columns at fault in
+    ``rejected`` and all values as they came in ``raw`` (JSON). A share of
+    rejects above ``most`` raises :class:`TooManyRejected` before either is
+    handed out; the rows are counted while they are written.
+    """
+    raw = F.struct(*df.columns)
+    rows = to_typed(
+        df.withColumn("_raw", raw), target, blank_null, timestamp_format, "quarantine", (*keep, "_raw")
+    )
+    faulty = F.size("_rejected") > 0
+    seen = Observation()
+    rows = rows.withColumn("_raw", F.when(faulty, F.to_json("_raw"))).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(faulty).alias("rejected")
+    )
+    rows = materialize(rows, "typed")
+    count, rejected = seen.get["rows"], seen.get["rejected"]
+    if rejected > most * count:
+        raise TooManyRejected(f"{rejected} of {count} rows do not parse")
+    good = rows.where(~faulty).drop("_raw", "_rejected")
+    return good, rows.where(faulty).select(*keep, F.col("_rejected").alias("rejected"), F.col("_raw").alias("raw"))
+
+
 def tag_batch(df: DataFrame, request_id: str) -> DataFrame:
     """Put the batch id in front of every row."""
     return df.select(F.lit(request_id).alias("request_id"), "*")
