@@ -19,13 +19,15 @@ from stagehouse import ledger
 from stagehouse.functions.buckets import HISTORY, REPEATED, AgeBuckets
 from stagehouse.functions.dates import SUNDAY_FIRST
 from stagehouse.functions.text import route_by_name
-from stagehouse.operators import changes, keys, merge, watermark
+from stagehouse.operators import changes, drift, keys, merge, watermark
+from stagehouse.operators.typing import split_rejects
 from stagehouse.plans import emissions, employees, marts, reference, star
 from stagehouse.schemas import (
     ADDRESS,
     COMPANY_NDS,
     COMPANY_XML,
     EMPLOYEE_LOG,
+    EMPLOYEE_NDS,
     EMPLOYEE_XML,
     EMPLOYMENT,
     ENVIRONMENTAL_EMISSIONS,
@@ -253,12 +255,30 @@ def last_load_finished(warehouse: Warehouse) -> bool:
     return newest is not None and not loads.where(done).isEmpty()
 
 
-def refresh_if_changed(source: TableSource, warehouse: Warehouse, **options) -> bool:
-    """Load anew when the row counts differ or the newest load did not finish."""
+def value_drift(source: TableSource, warehouse: Warehouse) -> DataFrame:
+    """Ranges of invoice numbers whose lines differ from the staged ones, however many there are."""
+    name, schema = STAGE_NAMES["invoice_line"], SALES_TABLES["invoice_line"]
+    request = changes.pick(changes.latest_request(warehouse.ledger.rows(), name))
+    staged = warehouse.staged(name, schema, request).select(*schema.fieldNames())
+    lines = read_table(source, "invoice_line").select(*schema.fieldNames())
+    return drift.range_drift(lines, staged, ["inv_id", "service_id"])
+
+
+def refresh_if_changed(
+    source: TableSource, warehouse: Warehouse, values: bool = False, **options
+) -> bool:
+    """Load anew when the row counts differ or the newest load did not finish.
+
+    ``values=True`` also reads the lines of both sides, and loads when they
+    differ in anything else.
+    """
     changed = (
         not last_load_finished(warehouse)
         or source_drift(source, warehouse).first()["changed"]
     )
+    if not changed and values:
+        with job_scratch(warehouse.spark):
+            changed = not value_drift(source, warehouse).isEmpty()
     if changed:
         repeated_load(source, warehouse, **options)
     return changed
@@ -487,12 +507,36 @@ def rebuild_employees(warehouse: Warehouse) -> None:
         warehouse.replace_keyed(employees.employment_of(newest), "nds", EMPLOYMENT_TABLE, key)
 
 
-def apply_all_employees(warehouse: Warehouse, strict_text_key: bool = True) -> list[str]:
+REJECTS = struct("request_id record_id:long rejected raw")
+
+
+def rejected_employees(warehouse: Warehouse) -> DataFrame:
+    """Employee records that did not parse: their request, the columns at fault, all values as JSON."""
+    return warehouse.batches("rejects", LOG_TABLE, REJECTS)
+
+
+def _set_aside(warehouse: Warehouse, staged: DataFrame, most: float) -> DataFrame:
+    """``staged`` without the records that do not parse; those go to the rejects under their request."""
+    read = staged.drop("turn")
+    _, rejects = split_rejects(read, EMPLOYEE_NDS, keep=("request_id", "record_id"), most=most)
+    named = rejects.withColumns(
+        {"record_id": F.col("record_id").cast("long"), "rejected": F.array_join("rejected", ",")}
+    )
+    warehouse.append_batch(named.select(*REJECTS.fieldNames()), "rejects", LOG_TABLE)
+    left = staged.join(rejects.select("request_id", "record_id"), ["request_id", "record_id"], "left_anti")
+    # Written, or Catalyst would move the strict casts that follow below the join.
+    return materialize(left, "accepted")
+
+
+def apply_all_employees(
+    warehouse: Warehouse, strict_text_key: bool = True, most_rejected: float | None = None
+) -> list[str]:
     """Work off the queue in one pass; the applied requests, oldest first.
 
     The same tables as one request at a time, with one look at the log, one merge of each
     current table and one write of all batches. A value that does not
-    cast fails the pass before anything is written.
+    cast fails the pass before anything is written, unless ``most_rejected`` sets
+    the share of records that may be left out; they go to :func:`rejected_employees`.
     """
     requests = warehouse.ledger.rows().where(F.col("table_name") == EMPLOYEE_XML.table)
     waiting = changes.waiting_requests(
@@ -505,6 +549,8 @@ def apply_all_employees(warehouse: Warehouse, strict_text_key: bool = True) -> l
     with job_scratch(warehouse.spark):
         waiting = materialize(waiting, "waiting")
         staged = staged_files(warehouse, EMPLOYEE_XML).join(waiting, "request_id")
+        if most_rejected is not None:
+            staged = _set_aside(warehouse, staged, most_rejected)
         found = changes.classify_backlog(staged, employee_log(warehouse), strict_text_key)
         _apply_changes(warehouse, queue, found, ["turn", "record_id"])
     return queue

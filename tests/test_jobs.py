@@ -15,6 +15,7 @@ from stagehouse.schemas import (
     SALES_TABLES,
     TYPE_COMPANY,
 )
+from stagehouse.operators.typing import TooManyRejected
 from stagehouse.sinks.warehouse import Warehouse
 from stagehouse.sources.tables import FrameSource
 from stagehouse.streaming.folder import watch_folder
@@ -73,6 +74,16 @@ def test_repeated_load_follows_the_source(spark, warehouse, rows, tmp_path):
     assert not jobs.refresh_if_changed(grown, warehouse)
 
 
+def test_a_refresh_may_look_at_values(spark, warehouse, rows):
+    jobs.initial_load(source(spark, [1, 2]), warehouse)
+    assert not jobs.refresh_if_changed(source(spark, [2, 1]), warehouse, values=True)
+    other = source(spark, [1, 3])
+    assert not jobs.refresh_if_changed(other, warehouse)
+    assert rows(jobs.value_drift(other, warehouse)) == [(0, 1, 1, 0)]
+    assert jobs.refresh_if_changed(other, warehouse, values=True)
+    assert not jobs.refresh_if_changed(other, warehouse, values=True)
+
+
 def test_a_failed_staging_is_recorded(spark, warehouse):
     broken = FrameSource({"country": spark.createDataFrame([], SALES_TABLES["country"])})
     with pytest.raises(KeyError):
@@ -221,6 +232,33 @@ def test_a_request_without_usable_rows_leaves_the_queue(spark, warehouse, tmp_pa
     assert warehouse.ledger.rows().first().status == ledger.EMPTY
 
 
+def test_records_that_do_not_parse_may_be_set_aside(spark, warehouse, rows, tmp_path):
+    files = {
+        "employee_1.xml": [xmlfiles.employee(1), xmlfiles.employee(2, date="soon"), xmlfiles.employee("x", region="y")],
+        "employee_2.xml": [xmlfiles.employee(3), xmlfiles.employee(2)],
+        "employee_3.xml": [xmlfiles.employee(4, region="far")],
+    }
+    requests = [
+        jobs.stage_file(warehouse, EMPLOYEE_XML, put(tmp_path, name, EMPLOYEE_XML, values), request_id=name)
+        for name, values in files.items()
+    ]
+    with pytest.raises(TooManyRejected, match="3 of 6"):
+        jobs.apply_all_employees(warehouse, most_rejected=0.4)
+    assert jobs.employee_log(warehouse).isEmpty()
+    assert jobs.apply_all_employees(warehouse, most_rejected=0.5) == requests
+    log = jobs.employee_log(warehouse)
+    assert sorted(rows(log, "id_employee", "mode")) == [(1, "CREATE"), (2, "CREATE"), (3, "CREATE")]
+    aside = jobs.rejected_employees(warehouse)
+    assert sorted(rows(aside, "request_id", "rejected")) == [
+        ("employee_1.xml", "date_devations"),
+        ("employee_1.xml", "id_employee,id_region"),
+        ("employee_3.xml", "id_region"),
+    ]
+    assert aside.where("get_json_object(raw, '$.id_region') = 'far'").count() == 1
+    # The request that had nothing else leaves the queue.
+    assert jobs.apply_all_employees(warehouse, most_rejected=0.5) == []
+
+
 def test_region_files_upsert(spark, warehouse, rows, tmp_path):
     for name, values in (
         ("region_1.xml", [xmlfiles.region(1, "old"), xmlfiles.region(2, "two")]),
