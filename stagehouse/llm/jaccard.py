@@ -13,10 +13,15 @@ size that come first in orders of all sets, so that a group has few of them. Ove
 the components so found, sets are checked against a leader of another component
 that differs from list to list. Last, pairs of a list that still lie in different
 components are checked, tile by tile within tasks; pairs in one component cannot
-change the result.
+change the result. There a first pass only names sets that have a candidate partner,
+and a second one names their pairs by finer sketches.
 A check compares sizes, then parity sketches (their distance never exceeds the
 symmetric difference, so this drops no link), then the exact sets.
 
+A list keeps the sets that have a partner in it by size and by the place of its
+shingle in both: linked sets stay together in the list of the first shingle they
+share, where neither has had too many shingles before it.
+
 Lists travel as packed arrays in buckets of bounded size and are taken apart by
 the whole shingle hash; what the driver holds is the frequency table of at most
 ``HOT`` shingles, which bounds its broadcast.
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import bound_batches, parts_for, read_table, release_memory
+from stagehouse.llm.common import bound_batches, parts_for, read_table, release_memory, split_by_ids
 from stagehouse.llm.graph import components
 from stagehouse.operators.joins import unplaced
 from stagehouse.session import materialize
@@ -54,6 +59,12 @@ GATHERED = 1 << 22
 POSTINGS = 2_000_000
 # Sets of a list that one tile holds on a side.
 LIST_BLOCK = 512
+# Neighbours in a list that a set's places are held against; in longer lists all sets stay.
+NEIGHBOURS = 64
+# Times as many bits have the finer sketches, by which pairs are named after sets without a partner are gone.
+FINE = 4
+# Places in a set travel as this many parts of its size.
+PLACES = 1000
 # Orders of the sets by which all lists choose a leader.
 SHARED = 2
 # Subsets a set is enumerated into at most, however long lists are.
@@ -106,9 +117,9 @@ def _signatures(size: int, owner: np.ndarray, hashes: np.ndarray) -> tuple[np.nd
     return n, B.mix64(sums[stop] - sums[stop - n] + n.astype(np.uint64)).view(np.int64)
 
 
-def sketches(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray) -> list[bytes]:
-    """Parities of the shingles that fall on each bit; about as many bits as shingles, a power of two."""
-    bits = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+def sketches(n: np.ndarray, owner: np.ndarray, hashes: np.ndarray, times: int = 1) -> list[bytes]:
+    """Parities of the shingles that fall on each bit; about ``times`` as many bits as shingles, a power of two."""
+    bits = times * np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
     begin = np.zeros(len(n) + 1, dtype=np.int64)
     np.cumsum(bits, out=begin[1:])
     place = begin[owner] + ((hashes >> B.U(20)).astype(np.int64) & (bits[owner] - 1))
@@ -200,12 +211,12 @@ def _parts(frames: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
 
 
 def _postings(hot, limit: int, buckets: int):
-    """Keys of all sets of a batch, packed by bucket: set table (signature, size), keys, places in the table."""
+    """Keys of all sets of a batch, packed by bucket: set table (signature, size), keys, places in the table and in the set."""
 
     def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent = hot.value
         for raw in _parts(frames):
-            keys, sigs, sizes = [], [], []
+            keys, sigs, sizes, depths = [], [], [], []
             for first, last in B.blocks(raw):
                 owner, hashes = shingle_sets(raw[first:last])
                 n, sig = _signatures(last - first, owner, hashes)
@@ -221,6 +232,7 @@ def _postings(hot, limit: int, buckets: int):
                 keys.append(hashes[chosen])
                 sigs.append(sig[owner[chosen]])
                 sizes.append(n[owner[chosen]])
+                depths.append(place[chosen] * PLACES // n[owner[chosen]])
                 begin = np.cumsum(n) - n
                 for k in np.flatnonzero((n > 0) & (n <= limit)):
                     members = np.sort(B.mix64(hashes[begin[k] : begin[k] + n[k]]))
@@ -232,33 +244,59 @@ def _postings(hot, limit: int, buckets: int):
                     keys.append(B.mix64(np.array(made, dtype=np.uint64)))
                     sigs.append(np.full(len(made), sig[k]))
                     sizes.append(np.full(len(made), n[k]))
+                    depths.append(np.zeros(len(made), dtype=np.int64))
             if not keys:
                 continue
             key, sig, n = np.concatenate(keys), np.concatenate(sigs), np.concatenate(sizes).astype(np.int32)
+            depth = np.minimum(np.concatenate(depths), 255).astype(np.uint8)
             bucket = ((key >> B.U(40)) % B.U(buckets)).astype(np.int64)
             order = np.lexsort((sig, key, bucket))
-            key, sig, n, bucket = key[order], sig[order], n[order], bucket[order]
+            key, sig, n, depth, bucket = key[order], sig[order], n[order], depth[order], bucket[order]
             new = np.ones(len(key), dtype=bool)
             new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
-            key, sig, n, bucket = key[new], sig[new], n[new], bucket[new]
+            key, sig, n, depth, bucket = key[new], sig[new], n[new], depth[new], bucket[new]
             edge = np.searchsorted(bucket, np.arange(buckets + 1))
             rows = []
             for k in np.flatnonzero(np.diff(edge)):
                 part = slice(edge[k], edge[k + 1])
                 table, where, place = np.unique(sig[part], return_index=True, return_inverse=True)
                 kind = np.uint16 if len(table) <= 1 << 16 else np.uint32
-                rows.append(
-                    (int(k), table.tobytes(), n[part][where].tobytes(), key[part].tobytes(), place.astype(kind).tobytes())
-                )
-            yield pd.DataFrame(rows, columns=["bucket", "sigs", "sizes", "keys", "places"])
+                packed = (table, n[part][where], key[part], place.astype(kind), depth[part])
+                rows.append((int(k), *(column.tobytes() for column in packed)))
+            yield pd.DataFrame(rows, columns=["bucket", "sigs", "sizes", "keys", "places", "depths"])
         release_memory()
 
     return emit
 
 
+def reach(n: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """Thrice the largest partner of a set that is ``n`` large and has ``depth`` parts of its shingles before a shared one.
+
+    Where a shingle is the first that two sets share, they share no more than what either has from there on, and it
+    must be 3/7 of both sizes together. Linked sets stay together in the list of their first shared shingle.
+    """
+    before = -(-depth.astype(np.int64) * n // PLACES)
+    return 7 * (n - before) - 3 * n
+
+
+def _partnered(key: np.ndarray, n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which rows of lists (ordered by key) have another one in theirs that sizes and places allow to link."""
+    found = np.zeros(len(key), dtype=bool)
+    for apart in range(1, NEIGHBOURS + 1):
+        at = np.flatnonzero(key[apart:] == key[:-apart])
+        if not len(at):
+            return found
+        at = at[(most[at] >= 3 * n[at + apart]) & (most[at + apart] >= 3 * n[at])]
+        found[at] = True
+        found[at + apart] = True
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    size = np.diff(np.append(begin, len(key)))
+    return found | np.repeat(size > NEIGHBOURS + 1, size)
+
+
 def _lists(frame: pd.DataFrame) -> pd.DataFrame:
-    """Lists of two or more sets of a bucket, each row with the leader of its list and size class."""
-    keys, sigs, sizes = [], [], []
+    """Sets of a bucket's lists that may link there, each row with the leader of its list and size class."""
+    keys, sigs, sizes, depths = [], [], [], []
     for row in frame.itertuples():
         key, table = np.frombuffer(row.keys, dtype=np.uint64), np.frombuffer(row.sigs, dtype=np.int64)
         kind = np.uint16 if len(table) <= 1 << 16 else np.uint32
@@ -266,19 +304,23 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
         keys.append(key)
         sigs.append(table[place])
         sizes.append(np.frombuffer(row.sizes, dtype=np.int32)[place])
-    key, sig, n = np.concatenate(keys), np.concatenate(sigs), np.concatenate(sizes)
+        depths.append(np.frombuffer(row.depths, dtype=np.uint8))
+    key, sig, n, depth = (np.concatenate(x) for x in (keys, sigs, sizes, depths))
     order = np.argsort(key, kind="stable")
-    key, sig, n = key[order], sig[order], n[order]
+    key, sig, n, depth = key[order], sig[order], n[order], depth[order]
     shared = np.zeros(len(key), dtype=bool)
     same = key[1:] == key[:-1]
     shared[1:] |= same
     shared[:-1] |= same
-    key, sig, n = key[shared], sig[shared], n[shared]
-    order = np.lexsort((sig, n, key))
-    key, sig, n = key[order], sig[order], n[order]
+    key, sig, n, depth = key[shared], sig[shared], n[shared], depth[shared]
+    order = np.lexsort((depth, sig, n, key))
+    key, sig, n, depth = key[order], sig[order], n[order], depth[order]
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
-    key, sig, n = key[new], sig[new], n[new]
+    key, sig, n, depth = key[new], sig[new], n[new].astype(np.int64), depth[new]
+    most = reach(n, depth)
+    kept = _partnered(key, n, most)
+    key, sig, n, most = key[kept], sig[kept], n[kept], most[kept]
     step = np.floor(np.log2(np.maximum(n, 1)) * 4).astype(np.int64)
     # Lists as numbers in the order of their keys, which compress to little.
     new = np.ones(len(key), dtype=bool)
@@ -299,25 +341,25 @@ def _lists(frame: pd.DataFrame) -> pd.DataFrame:
     led = {f"lead{k}": leaders(ODD[k]) if len(key) else sig for k in range(SHARED)}
     led["lead"] = leaders(key) if len(key) else sig
     release_memory()
-    return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n, **led})
+    return pd.DataFrame({"key": key.view(np.int64), "sig": sig, "n": n.astype(np.int32), "most": most, **led})
 
 
-LISTED = ", ".join(["key long, sig long, n int", *(f"lead{k} long" for k in range(SHARED)), "lead long"])
+LISTED = ", ".join(["key long, sig long, n int, most long", *(f"lead{k} long" for k in range(SHARED)), "lead long"])
 
 
-def _near_pairs(n, part, side, sketch, both: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of one tile that differ in component and that sizes and sketches allow to link."""
+def _near_pairs(n, most, part, side, sketch, both: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of one tile that differ in component and that sizes, places and sketches allow to link."""
     size = np.array([len(x) for x in sketch])
     left, right = [], []
     for length in np.unique(size):
         some = np.flatnonzero((size == length) | (size == 2 * length))
         rows = [np.frombuffer(sketch[i], dtype=np.uint64) for i in some]
         bits = np.stack([r if len(r) * 8 == length else r[: len(r) // 2] ^ r[len(r) // 2 :] for r in rows])
-        m, group, short = n[some], part[some], size[some] == length
+        m, far, group, short = n[some], most[some], part[some], size[some] == length
         for at in range(0, len(some), 64):
             rest = slice(at, at + 64)
             allowed = (group[rest, None] != group) & (short[rest, None] | short)
-            allowed &= 4 * np.minimum(m[rest, None], m) >= 3 * np.maximum(m[rest, None], m)
+            allowed &= (far[rest, None] >= 3 * m) & (far >= 3 * m[rest, None])
             if both:
                 allowed &= side[some][rest, None] < side[some]
             else:
@@ -333,23 +375,40 @@ def _near_pairs(n, part, side, sketch, both: bool) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
-def _crossing(frame: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs across components in the lists (or tiles of a long list) of a task."""
+def _tile_pairs(frame: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Signatures of candidate pairs across components, by list (or tile of a long list) of a task."""
     frame = frame.sort_values(["key", "i", "j"], kind="stable")
-    columns = {c: frame[c].to_numpy() for c in ("key", "i", "j", "side", "sig", "n", "part", "sketch")}
+    columns = {c: frame[c].to_numpy() for c in ("key", "i", "j", "side", "sig", "n", "most", "part", "sketch")}
     key, i, j, sig = columns["key"], columns["i"], columns["j"], columns["sig"]
     edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-    found = []
     for low, high in zip([0, *edge.tolist()], [*edge.tolist(), len(key)], strict=True):
         tile = slice(low, high)
-        n, part, side, sketch = (columns[c][tile] for c in ("n", "part", "side", "sketch"))
-        a, b = _near_pairs(n.astype(np.int64), part, side, sketch, i[low] != j[low])
+        n, most, part, side, sketch = (columns[c][tile] for c in ("n", "most", "part", "side", "sketch"))
+        a, b = _near_pairs(n.astype(np.int64), most, part, side, sketch, i[low] != j[low])
         if len(a):
-            found.append(np.stack([np.minimum(sig[tile][a], sig[tile][b]), np.maximum(sig[tile][a], sig[tile][b])], 1))
+            yield sig[tile][a], sig[tile][b]
+
+
+def _partners(frame: pd.DataFrame) -> pd.DataFrame:
+    """Sets of a task that have a candidate partner in another component."""
+    found = [np.unique(np.concatenate(pair)) for pair in _tile_pairs(frame)]
+    return pd.DataFrame({"sig": np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *found]))})
+
+
+def _crossing(frame: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs across components of a task."""
+    found = [np.stack([np.minimum(a, b), np.maximum(a, b)], 1) for a, b in _tile_pairs(frame)]
     pairs = np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *found]), axis=0)
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
+def _finer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        n = frame["members"].map(len).to_numpy(dtype=np.int64)
+        hashes = np.concatenate([np.zeros(0, dtype=np.int64), *frame["members"]]).view(np.uint64)
+        yield pd.DataFrame({"sig": frame["sig"], "sketch": sketches(n, np.repeat(np.arange(len(n)), n), hashes, FINE)})
+
+
 def _may_link(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
     near = [_distance(x, y) <= m for x, y, m in zip(a, b, most, strict=True)]
     return pd.Series(near, dtype=bool)
@@ -381,22 +440,53 @@ class _Checker:
         sized = pairs.join(side("a"), "a").join(side("b"), "b")
         sized = sized.where(4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b"))
         close = F.pandas_udf(_may_link, "boolean")("sketch_a", "sketch_b", F.expr("(n_a + n_b) div 7"))
-        near = materialize(sized.where(close).select("a", "b", "n_a", "n_b"), "near")
+        near = materialize(sized.where(close).select("a", "b"), "near")
         ends = near.select(F.col("a").alias("sig")).union(near.select("b")).distinct()
+        return self.exact(near, self.sets(ends))
+
+    def sets(self, ends: DataFrame) -> DataFrame:
+        """The shingles (sig, members) of the signatures ``ends``."""
         ids = materialize(
             self.classes.join(ends, "sig", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "ends"
         )
         texts = self.docs.join(ids, "doc_id", "left_semi").select(F.col("text").cast("binary").alias("text"))
         sets = texts.mapInPandas(_exact_sets, "sig long, members array<long>")
-        sets = materialize(sets.join(ends, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
+        return materialize(sets.join(ends, "sig", "left_semi").dropDuplicates(["sig"]), "sets")
+
+    def exact(self, near: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs ``near`` that link."""
         left = sets.select(F.col("sig").alias("a"), F.col("members").alias("set_a"))
         right = sets.select(F.col("sig").alias("b"), F.col("members").alias("set_b"))
         both = near.join(left, "a").join(right, "b")
         shared = F.size(F.array_intersect("set_a", "set_b"))
-        linked = both.where(7 * shared >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        linked = both.where(7 * shared >= 3 * (F.size("set_a") + F.size("set_b"))).select("a", "b")
         return materialize(linked, "linked")
 
 
+def _tiles(known: DataFrame, sketched: DataFrame, tasks: int) -> DataFrame:
+    """Sets of the lists that reach over several components, dealt to ``tasks``, or to more where lists are long."""
+    mixed = known.groupBy("key").agg(
+        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")
+    )
+    mixed = materialize(mixed.where("low <> high").select("key", "size"), "mixed-lists")
+    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    open_lists = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
+    # A block meets every block of its list, itself included; lists of one block share a task by bucket.
+    meets = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda j: F.struct(
+            F.least("block", j).alias("i"), F.greatest("block", j).alias("j"),
+            F.when(F.col("block") > j, 1).otherwise(0).alias("side"),
+        ),
+    )
+    carried = ["key", "sig", "n", "most", "part", "sketch"]
+    open_lists = open_lists.join(sketched, "sig").select(
+        *carried, (blocks == 1).alias("whole"), F.explode(meets).alias("meet")
+    )
+    task = F.when(F.col("whole"), F.pmod("key", F.lit(tasks))).otherwise(F.xxhash64("key", "meet.i", "meet.j"))
+    return open_lists.select(*carried, "meet.*", task.alias("task"))
+
+
 def similarity_components(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``."""
     return _placed(docs, [])
@@ -437,7 +527,7 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
     buckets = parts_for(total // 4, POSTINGS)
     packed = texts.mapInPandas(
         _postings(hot, boundary(mean_list), buckets),
-        "bucket int, sigs binary, sizes binary, keys binary, places binary",
+        "bucket int, sigs binary, sizes binary, keys binary, places binary, depths binary",
     )
     lists = packed.groupBy("bucket").applyInPandas(_lists, LISTED)
     lists = materialize(lists, "lists")
@@ -454,37 +544,26 @@ def _placed(docs: DataFrame, tag: list[str]) -> DataFrame:
 
     def in_parts(placed: DataFrame) -> DataFrame:
         return lists.join(placed.withColumnRenamed("node", "sig"), "sig", "left").select(
-            "key", "sig", "n", "lead", F.coalesce("component", "sig").alias("part")
+            "key", "sig", "n", "most", "lead", F.coalesce("component", "sig").alias("part")
         )
 
-    known = in_parts(components(links))
-    heads = known.where("lead = sig").select("key", "lead", F.col("part").alias("lead_part"))
-    led = known.where("lead <> sig").join(heads, ["key", "lead"]).where("part <> lead_part")
+    placed = components(links)
+    heads = placed.select(F.col("node").alias("lead"), F.col("component").alias("lead_part"))
+    led = in_parts(placed).where("lead <> sig").join(heads, "lead", "left")
+    led = led.where(F.col("part") != F.coalesce("lead_part", "lead"))
     second = checker.links(led.select(*order("lead", "sig")).distinct())
     links = links.union(second)
     placed = components(links)
     known = materialize(in_parts(placed).drop("lead"), "known-parts")
-    mixed = known.groupBy("key").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("size")
-    )
-    mixed = materialize(mixed.where("low <> high").select("key", "size"), "mixed-lists")
-    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    open_lists = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("sig"), blocks).cast("int"))
-    # A block meets every block of its list, itself included; lists of one block share a task by bucket.
-    meets = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda j: F.struct(
-            F.least("block", j).alias("i"), F.greatest("block", j).alias("j"),
-            F.when(F.col("block") > j, 1).otherwise(0).alias("side"),
-        ),
-    )
-    open_lists = open_lists.join(classes.select("sig", "sketch"), "sig").select(
-        "key", "sig", "n", "part", "sketch", (blocks == 1).alias("whole"), F.explode(meets).alias("meet")
-    )
-    task = F.when(F.col("whole"), F.pmod("key", F.lit(4 * buckets))).otherwise(F.xxhash64("key", "meet.i", "meet.j"))
-    tiles = open_lists.select("key", "sig", "n", "part", "sketch", "meet.*", task.alias("task"))
-    crossing = tiles.groupBy("task").applyInPandas(_crossing, "a long, b long").distinct()
-    more = checker.links(crossing)
+    # Sets that have a candidate partner are few; only among these, finer sketches name the pairs.
+    open_sets = _tiles(known, classes.select("sig", "sketch"), 4 * buckets)
+    ends = open_sets.groupBy("task").applyInPandas(_partners, "sig long").distinct()
+    ends = materialize(ends, "partners")
+    sets_of = checker.sets(ends)
+    finer = materialize(sets_of.mapInPandas(_finer, "sig long, sketch binary"), "finer")
+    open_sets = _tiles(known.join(ends, "sig", "left_semi"), finer, 4 * buckets)
+    crossing = open_sets.groupBy("task").applyInPandas(_crossing, "a long, b long").distinct()
+    more = checker.exact(crossing, sets_of)
     if not more.isEmpty():
         placed = components(links.union(more))
     named = classes.join(placed.withColumnRenamed("node", "sig"), "sig", "left").select(
@@ -508,8 +587,9 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component (the smallest id); those without an id all stay, and so do other texts of an id."""
     placed = _placed(docs, ["tag"]).where("doc_id <> component_id")
     placed = materialize(placed.select(F.col("doc_id").alias("_copy"), F.col("tag").alias("_tag")).distinct(), "copies")
-    same = (docs["doc_id"] == placed["_copy"]) & (F.xxhash64(docs["text"]) == placed["_tag"])
-    return docs.join(placed, same, "left_anti")
+    maybe, others = split_by_ids(docs, "doc_id", placed.select("_copy"))
+    same = (maybe["doc_id"] == placed["_copy"]) & (F.xxhash64(maybe["text"]) == placed["_tag"])
+    return maybe.join(placed, same, "left_anti").union(others)
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

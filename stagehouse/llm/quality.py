@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagehouse.llm import bytesops as B
-from stagehouse.llm.common import bound_batches, read_table, release_memory, uniform
+from stagehouse.llm.common import bound_batches, read_table, release_memory, split_by_ids, uniform
 
 # Insults.
 INSULTS = (
@@ -328,8 +328,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_MOST) -> Classifie
     return model
 
 
-def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None) -> DataFrame:
-    """All columns of ``docs`` plus junk and toxic scores and posteriors and ``keep``."""
+def classify(docs: DataFrame, labels: DataFrame | None, model: Classifier | None = None) -> DataFrame:
+    """All columns of ``docs`` plus junk and toxic scores and posteriors and ``keep``; with a model, labels may be none."""
     bound_batches(docs.sparkSession)
     model = model or fit(docs, labels)
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -342,9 +342,14 @@ def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None
             yield pd.DataFrame({"code": codes, "junk": scores[:, 0], "toxic": scores[:, 1]})
         release_memory()
 
+    # Else a filter on the scores would have them computed twice.
+    scored = scored.asNondeterministic()
     base = docs.drop(*made).withColumn("_scored", scored(F.col("text").cast("binary")))
-    curated = _label_votes(labels)
-    joined = base.join(curated, base["doc_id"].eqNullSafe(curated["_labelled"]), "left")
+    if labels is None:
+        joined = base.withColumns({"_junk": F.lit(0), "_toxic": F.lit(0)})
+    else:
+        curated = _label_votes(labels)
+        joined = base.join(curated, base["doc_id"].eqNullSafe(curated["_labelled"]), "left")
     judged = joined.withColumns(
         {
             "junk_score": F.col("_scored.junk"),
@@ -360,7 +365,11 @@ def classify(docs: DataFrame, labels: DataFrame, model: Classifier | None = None
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with the columns they came with."""
-    return classify(docs, labels).where("keep").select(*docs.columns)
+    model = fit(docs, labels)
+    # Only texts that may have labels have to meet them.
+    labelled, others = split_by_ids(docs, "doc_id", labels.select("doc_id"))
+    kept = [classify(part, some, model).where("keep").select(*docs.columns) for part, some in ((labelled, labels), (others, None))]
+    return kept[0].union(kept[1])
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

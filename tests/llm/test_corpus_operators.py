@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stagehouse.llm import bytesops, chat, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc
+from stagehouse.llm import bytesops, chat, common, ctw, decontam, embed, jaccard, langid, mixing, quality, suffix, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc long"
 BASE = " ".join(f"word{i * 7919 % 997}" for i in range(120))
@@ -188,6 +188,71 @@ def test_jaccard_subsets_cover_every_linking_pair():
             assert least > s or (t, -(-3 * t // 4)) in jaccard.subset_sizes(s)
 
 
+def test_linked_sets_stay_in_the_list_of_their_first_shared_shingle():
+    rng = np.random.default_rng(8)
+    tried = 0
+    while tried < 300:
+        a = set(rng.integers(0, 1 << 40, int(rng.integers(4, 300))).tolist())
+        b = set(sorted(a, key=lambda x: x * 7919 % 1009)[: len(a) - int(rng.integers(0, len(a) // 4 + 1))])
+        b |= set(rng.integers(0, 1 << 40, int(rng.integers(0, len(a) // 6 + 1))).tolist())
+        if len(a & b) * 100 < 75 * len(a | b):
+            continue
+        tried += 1
+        n = np.array([len(a), len(b)])
+        place = np.array([sorted(x).index(min(a & b)) for x in (a, b)])
+        most = jaccard.reach(n, (place * jaccard.PLACES // n).astype(np.uint8))
+        assert jaccard._partnered(np.array([3, 3]), n, most).all()
+    # Sizes that cannot link go; a list too long to be held against itself stays whole.
+    far = np.array([10, 40])
+    assert not jaccard._partnered(np.array([3, 3]), far, jaccard.reach(far, np.zeros(2, dtype=np.uint8))).any()
+    many = 2 ** np.arange(jaccard.NEIGHBOURS + 2, dtype=float)
+    assert jaccard._partnered(np.full(len(many), 5), many, 4 * many).all() and len(many) > jaccard.NEIGHBOURS + 1
+
+
+def test_pairs_just_below_the_limit_are_not_all_checked(spark, monkeypatch):
+    """A group of texts that nearly link (about 0.70): the last step does not hand all its pairs to the exact check."""
+    rng = np.random.default_rng(9)
+    base, rows = [f"word{k}" for k in range(230)], []
+    for doc in range(40):
+        text = list(base)
+        for k, place in enumerate(rng.choice(45, 4, replace=False)):
+            text[5 * int(place) + 2] = f"own{doc}x{k}"
+        rows.append((doc, " ".join(text), "a"))
+    checked = []
+    exact = jaccard._Checker.exact
+
+    def counted(self, near, sets):
+        checked.append(near.count())
+        return exact(self, near, sets)
+
+    monkeypatch.setattr(jaccard._Checker, "exact", counted)
+    got = jaccard.similarity_components(documents(spark, rows)).collect()
+    want, _ = components_by_force(rows)
+    assert {r.doc_id: r.component_id for r in got} == {doc: want[doc] for doc, _, _ in rows}
+    assert checked[-1] < 40 * 39 // 2 // 4
+
+
+def test_split_by_ids_leaves_no_id_on_the_other_side(spark):
+    rows = spark.range(5000).select(F.expr("if(id = 4, null, int(id))").alias("doc_id"), F.lit("x").alias("text"))
+    for ids in ([], [None], [3, None], list(range(0, 5000, 9))):
+        maybe, others = common.split_by_ids(rows, "doc_id", spark.createDataFrame([(k,) for k in ids], "a long"))
+        maybe, others = ([r.doc_id for r in x.collect()] for x in (maybe, others))
+        assert len(maybe) + len(others) == 5000 and not {4 if k is None else k for k in ids} & {
+            4 if k is None else k for k in others
+        }
+        assert len(maybe) <= 2 * len(ids) + 200
+
+
+def test_accepted_takes_the_documents_classify_keeps(spark):
+    docs = documents(spark, [*ROWS, (None, BASE, "a")])
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
+    want = quality.classify(docs, labels).where("keep").select(*docs.columns).collect()
+    assert Counter(quality.accepted(docs, labels).collect()) == Counter(want)
+    # Texts are met with labels only where their id may have one.
+    plan = quality.accepted(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
+
+
 def test_sketch_distance_never_exceeds_difference():
     rng = np.random.default_rng(2)
     for _ in range(50):
