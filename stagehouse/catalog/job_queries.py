@@ -48,6 +48,7 @@ MART_ENTRIES = {
     "sales_by_country_and_region": ("total_sales", "country", "resort", "invoice_date"),
     "sales_by_employee": ("total_price", "sales_person", "invoice_date"),
 }
+ROOT = "records"
 
 
 def new_warehouse(spark: SparkSession) -> Warehouse:
@@ -55,15 +56,21 @@ def new_warehouse(spark: SparkSession) -> Warehouse:
 
 
 def write_xml(rows: DataFrame, record: RecordType) -> str:
-    """A folder of XML files with the staged ``rows`` as records."""
-    folder = scratch_path(rows.sparkSession, "files")
+    """A folder of XML files with the staged ``rows`` as records.
+
+    Spark's first task leaves a file even when it has no rows, and then one without
+    bytes, which no load takes; it becomes a document without records.
+    """
+    spark, folder = rows.sparkSession, scratch_path(rows.sparkSession, "files")
     elements = [F.col(name).alias(element) for element, name in record.elements.items()]
     (
         rows.select(*elements)
         .write.format("xml")
-        .options(rootTag="records", rowTag=xml.RECORD)
+        .options(rootTag=ROOT, rowTag=xml.RECORD)
         .save(folder)
     )
+    for path in xml.empty_files(spark, folder):
+        xml.write_no_records(spark, path, ROOT)
     return f"{folder}/*.xml"
 
 

@@ -32,7 +32,7 @@ def _chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def _empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Files without bytes; file sources skip them, so the file system is asked."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -47,6 +47,15 @@ def _empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return found
 
 
+def write_no_records(spark: SparkSession, path: str, root: str) -> None:
+    """A whole document without records, in place of the file ``path``."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(place, True)
+    out.write(bytearray(f"<{root}>\n</{root}>\n".encode()))
+    out.close()
+
+
 def check_complete(spark: SparkSession, path: str | list[str]) -> None:
     """Raise when a file has no bytes or lacks the end of its root element.
 
@@ -54,7 +63,7 @@ def check_complete(spark: SparkSession, path: str | list[str]) -> None:
     between two records. What follows the last record of a whole file is the
     closing root tag, so each file has exactly one chunk like that.
     """
-    empty = _empty_files(spark, path)
+    empty = empty_files(spark, path)
     if empty:
         raise ValueError(f"XML file is empty: {empty[0]}")
     is_tail = ~F.col("value").rlike(START) & F.col("value").rlike(rf"(?s)(</[^>]+|/)>{AFTER}$")
