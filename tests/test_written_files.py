@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagehouse.catalog import inputs, job_queries
+from stagehouse.schemas import EMPLOYEE_XML
 
 KEPT = "spark.sql.files.maxPartitionBytes"
 
@@ -47,3 +48,9 @@ def test_employee_job_with_a_first_task_without_rows(spark, split_tables, rows):
         (user, name, f"u{user}", "x", datetime.datetime(ts.year, ts.month, ts.day) - datetime.timedelta(days=user))
         for user, (name, ts) in sorted(last.items())
     ]
+
+
+def test_xml_employees_with_a_first_task_without_rows(spark, split_tables, rows):
+    folder = split_tables("events", [event(i) for i in range(60)])
+    stage = inputs.employee_stage(spark, folder)
+    assert rows(job_queries.xml_employees(spark, folder)) == rows(stage, *EMPLOYEE_XML.stage_columns)
