@@ -54,3 +54,10 @@ def test_xml_employees_with_a_first_task_without_rows(spark, split_tables, rows)
     folder = split_tables("events", [event(i) for i in range(60)])
     stage = inputs.employee_stage(spark, folder)
     assert rows(job_queries.xml_employees(spark, folder)) == rows(stage, *EMPLOYEE_XML.stage_columns)
+
+
+def test_xml_employees_split_with_a_first_task_without_rows(spark, split_tables, rows):
+    folder = split_tables("events", [event(i) for i in range(60)])
+    stage = inputs.employee_stage(spark, folder)
+    found = rows(job_queries.xml_employees_split(spark, folder))
+    assert found == rows(stage, *EMPLOYEE_XML.stage_columns)
