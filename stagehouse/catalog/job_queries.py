@@ -89,10 +89,11 @@ def dated_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_batches(warehouse: Warehouse, record: RecordType, stage: DataFrame, name: str) -> None:
-    """The three deliveries of a kind, each as files, staged in turn."""
+    """The three deliveries of a kind, each as files, staged in turn; one without rows never came."""
     for number in range(3):
         path = write_xml(changes.rows_of(stage, f"{name}-{number}"), record)
-        jobs.stage_file(warehouse, record, path)
+        if xml.has_records(warehouse.spark, path):
+            jobs.stage_file(warehouse, record, path)
 
 
 # --- XML files --------------------------------------------------------------

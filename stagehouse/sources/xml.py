@@ -47,6 +47,11 @@ def empty_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return found
 
 
+def has_records(spark: SparkSession, path: str | list[str]) -> bool:
+    """Whether any file has a record; reading ends at the first."""
+    return not _chunks(spark, path).where(F.col("value").rlike(START)).isEmpty()
+
+
 def write_no_records(spark: SparkSession, path: str, root: str) -> None:
     """A whole document without records, in place of the file ``path``."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

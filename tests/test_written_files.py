@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stagehouse.catalog import inputs, job_queries
+from stagehouse.catalog.queries import upsert_regions
 from stagehouse.schemas import EMPLOYEE_XML
 
 KEPT = "spark.sql.files.maxPartitionBytes"
@@ -61,3 +62,27 @@ def test_xml_employees_split_with_a_first_task_without_rows(spark, split_tables,
     stage = inputs.employee_stage(spark, folder)
     found = rows(job_queries.xml_employees_split(spark, folder))
     assert found == rows(stage, *EMPLOYEE_XML.stage_columns)
+
+
+def customer(key):
+    return (key, f"C{key}", key % 5, key + 0.25, ("BUILDING", "MACHINERY")[key % 2])
+
+
+def test_region_job_with_a_first_task_without_rows(spark, split_tables, rows):
+    folder = split_tables("customer", [customer(key) for key in range(60)])
+    assert rows(job_queries.job_regions_file(spark, folder)) == rows(upsert_regions(spark, folder))
+
+
+def test_region_job_takes_the_newest_delivery_that_has_rows(spark, tmp_path, rows):
+    put(spark, tmp_path, "customer", [customer(key) for key in (0, 1, 3, 4)])
+    found = job_queries.job_regions_file(spark, str(tmp_path))
+    assert rows(found, "id_region", "region_name") == [(1, "C1"), (3, "old C3"), (4, "C4")]
+    assert rows(found) == rows(upsert_regions(spark, str(tmp_path)))
+
+
+def test_jobs_without_any_delivery(spark, tmp_path, rows):
+    for table in ("customer", "events", "part"):
+        put(spark, tmp_path, table, [])
+    assert rows(job_queries.job_regions_file(spark, str(tmp_path))) == []
+    assert rows(job_queries.job_companies_file(spark, str(tmp_path))) == []
+    assert rows(job_queries.job_employees_files(spark, str(tmp_path))) == []
