@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stagehouse.catalog import inputs, job_queries
 from stagehouse.catalog.queries import upsert_regions
-from stagehouse.schemas import EMPLOYEE_XML
+from stagehouse.schemas import EMPLOYEE_XML, REGION_XML
 
 KEPT = "spark.sql.files.maxPartitionBytes"
 
@@ -86,3 +86,9 @@ def test_jobs_without_any_delivery(spark, tmp_path, rows):
     assert rows(job_queries.job_regions_file(spark, str(tmp_path))) == []
     assert rows(job_queries.job_companies_file(spark, str(tmp_path))) == []
     assert rows(job_queries.job_employees_files(spark, str(tmp_path))) == []
+
+
+def test_xml_regions_with_a_first_task_without_rows(spark, split_tables, rows):
+    folder = split_tables("customer", [customer(key) for key in range(60)])
+    stage = inputs.region_stage(spark, folder)
+    assert rows(job_queries.xml_regions(spark, folder)) == rows(stage, *REGION_XML.stage_columns)
